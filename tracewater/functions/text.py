@@ -65,7 +65,7 @@ def null_if_na(col: Column) -> Column:
     return F.nullif(col, F.lit("NA"))
 
 
-def comma_decimal(col: Column, digits: int | None = None) -> Column:
-    """A number as text with a decimal comma."""
-    shown = col if digits is None else F.round(col, digits)
-    return F.translate(shown.cast("string"), ".", ",")
+def comma_decimal(col: Column) -> Column:
+    """A number as text with a decimal comma, without exponent or trailing zeros."""
+    fixed = F.regexp_replace(col.try_cast("decimal(38,15)").cast("string"), r"\.?0+$", "")
+    return F.translate(F.coalesce(fixed, col.cast("string")), ".", ",")

@@ -60,10 +60,15 @@ def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def first_of_rest(df: DataFrame, value: str, order: Column) -> DataFrame:
-    """Group by every column but ``value`` and keep its first non-null value under ``order``."""
-    rest = [c for c in df.columns if c != value]
-    return df.groupBy(*rest).agg(F.min_by(value, F.when(F.col(value).isNotNull(), order)).alias(value))
+def first_of_rest(df: DataFrame, value: str, order: Sequence[str]) -> DataFrame:
+    """Group by every other column and keep the first ``value``, null included.
+
+    ``order`` columns decide which is first and are not part of the group,
+    unless ``order`` is ``value`` itself.
+    """
+    rest = [c for c in df.columns if c != value and c not in order]
+    ranked = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")) for c in order])
+    return df.groupBy(*rest).agg(F.min_by(value, ranked).alias(value))
 
 
 def coverage(df: DataFrame, matched: Column, keys: Sequence[str], by: Sequence[str] = (), digits: int = 1) -> DataFrame:

@@ -19,9 +19,9 @@ LISTING = ["division", "branch", "sub_branch", "compartment", "substance_group",
 def with_code_forms(activity: DataFrame, code: str = "code") -> DataFrame:
     """Replace the written code by its forms: as written, dotted, plain, padded."""
     forms = code_forms(F.col(code))
-    return activity.withColumns(
-        {"code_decimal": forms["decimal"], "code_plain": forms["plain"], "code_padded": forms["padded"]}
-    ).withColumnRenamed(code, "code_written") if code != "code_written" else activity
+    return activity.withColumns({f"code_{name}": form for name, form in forms.items()}).withColumnRenamed(
+        code, "code_written"
+    )
 
 
 def branchless(navigator: DataFrame) -> DataFrame:

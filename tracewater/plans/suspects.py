@@ -37,7 +37,7 @@ def parameter_list(
     grouped = group_text(coded, ids, "substance_group", "groups", first_tag=SINGLE_SUBSTANCES)
     repeated = repeated_keys(grouped, *repeat_keys)
     affected = in_set(grouped, repeated, ["cas"])
-    repaired = first_of_rest(affected, "groups", F.col("groups")).where(F.col("cas") != NO_CAS)
+    repaired = first_of_rest(affected, "groups", ["groups"]).where(F.col("cas") != NO_CAS)
     return append(not_in_set(grouped, repeated, ["cas"]), repaired.select(*grouped.columns)).distinct()
 
 

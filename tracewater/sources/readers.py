@@ -124,27 +124,23 @@ def scan_domain_table(spark: SparkSession, folder: str, sep: str = ";") -> DataF
     return table.select(*known, *[c for c in table.columns if c not in known])
 
 
-_POINT = "array<double>"
-
-
 def scan_polygons(spark: SparkSession, folder: str, properties: dict[str, str], lines: bool = False) -> DataFrame:
     """GeoJSON polygons and multipolygons, one row per feature with a ``rings`` column.
 
     ``properties`` maps property names to types. A third coordinate is
     dropped. ``lines`` reads one feature per line, which splits over tasks;
-    otherwise each file is one feature collection.
+    otherwise each file is one feature collection, as map services deliver it.
     """
     props = ", ".join(f"`{n}`: {t}" for n, t in properties.items())
-    feature = f"struct<geometry: struct<type: string, coordinates: string>, properties: struct<{props}>>"
+    geometry, record = "struct<type: string, coordinates: string>", f"struct<{props}>"
     if lines:
-        rows = spark.read.schema(feature[len("struct<") : -1].replace("geometry:", "geometry", 1).replace(
-            ", properties:", ", properties", 1)).json(folder)
+        features = spark.read.schema(f"geometry {geometry}, properties {record}").json(folder)
     else:
-        rows = (
-            spark.read.option("multiLine", True).schema(f"features array<{feature}>").json(folder)
-            .select(F.explode("features").alias("f")).select("f.*")
-        )
-    return rows.select(
+        pages = spark.read.option("multiLine", True).schema(
+            f"features array<struct<geometry: {geometry}, properties: {record}>>"
+        ).json(folder)
+        features = pages.select(F.explode("features").alias("f")).select("f.*")
+    return features.select(
         *[F.col("properties")[n].alias(n) for n in properties],
         rings_from_coordinates(F.col("geometry.type"), F.col("geometry.coordinates")).alias("rings"),
     )
@@ -152,8 +148,8 @@ def scan_polygons(spark: SparkSession, folder: str, properties: dict[str, str],
 
 def rings_from_coordinates(kind: Column, coordinates: Column) -> Column:
     """Coordinate text of a polygon or multipolygon to rings of ``x, y``."""
-    single = F.from_json(coordinates, f"array<array<{_POINT}>>")
-    several = F.flatten(F.from_json(coordinates, f"array<array<array<{_POINT}>>>"))
+    single = F.from_json(coordinates, "array<array<array<double>>>")
+    several = F.flatten(F.from_json(coordinates, "array<array<array<array<double>>>>"))
     rings = F.when(kind == "Polygon", single).when(kind == "MultiPolygon", several)
     return F.transform(
         rings, lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))

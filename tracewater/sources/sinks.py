@@ -14,13 +14,15 @@ from tracewater.functions.text import comma_decimal
 BOM = "﻿"
 
 
-def write_per_value(df: DataFrame, path: str, column: str, fmt: str = "parquet") -> None:
+def write_per_value(df: DataFrame, path: str, column: str, fmt: str = "parquet", **options: object) -> None:
     """One folder per value of ``column``.
 
     The rebalance hint gathers a value's rows into few files, and still cuts a
     value that holds much of the data over several tasks.
     """
-    df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).format(fmt).save(path)
+    df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).format(fmt).options(
+        **options
+    ).save(path)
 
 
 def write_stage(df: DataFrame, path: str) -> DataFrame:
