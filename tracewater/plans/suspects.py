@@ -77,7 +77,7 @@ def enrich_compounds(substances: DataFrame, compounds: DataFrame, order: Sequenc
     keeps its properties, and a missing SMILES counts as one value.
     """
     wanted = keep_first(substances, ["cas"], [*order], drop_null_keys=True).select("cas", *[c for c in order if c != "cas"])
-    first = keep_first(compounds, ["cas"], [F.col("cid").cast("bigint").asc_nulls_last(), "cid"], drop_null_keys=True)
+    first = keep_first(compounds, ["cas"], [F.col("cid").try_cast("bigint").asc_nulls_last(), "cid"], drop_null_keys=True)
     found = strict_join(wanted, first.where(F.col("cid").isNotNull()), ["cas"], "inner")
     found = found.withColumn("smiles", F.trim("smiles"))
     return keep_first_chain(found, [["smiles"]], [*order])

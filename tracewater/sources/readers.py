@@ -47,12 +47,12 @@ def scan_landed(
 ) -> DataFrame:
     """A workbook sheet landed as delimited text, with ``preamble`` title lines above its header.
 
-    Title lines are recognised by position within each file, so every file is
-    read by one task; sheets are small by the limits of the workbook format.
+    Title lines are told by their position in the file, so each file is read
+    by one task. The workbook format bounds that: a sheet holds at most 2^20
+    rows. Cells must not contain line breaks.
     """
     if not preamble:
         return scan_delimited(spark, folder, schema, sep=sep, file_column=None)
-    # Whole sheets as text: a sheet holds at most 2^20 rows.
     lines = spark.read.text(folder, wholetext=True).select(
         F.posexplode(F.split(F.regexp_replace("value", "^﻿", ""), "\r?\n")).alias("line", "value")
     )
@@ -60,7 +60,7 @@ def scan_landed(
     row = F.from_csv("value", _ddl(schema), {"sep": sep})
     return body.select(row.alias("r")).select(
         *[
-            null_if_na(F.col("r")[f.name]).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col("r")[f.name]
+            (null_if_na(F.col("r")[f.name]) if isinstance(f.dataType, T.StringType) else F.col("r")[f.name]).alias(f.name)
             for f in schema.fields
             if not f.name.startswith("_")
         ]
