@@ -43,9 +43,8 @@ def scan_landed_sheet(spark, sf):
     folder = shared_folder(spark, "sheets")
     line = F.concat_ws(";", F.col("s_suppkey").cast("string"), "s_name", F.col("s_acctbal").cast("string"))
     titles = "Bijlage\n\ncode;name;balance"
-    table(spark, sf, "supplier").select(line.alias(titles)).write.csv(
-        folder, sep="\u0001", quote="\u0000", header=True, maxRecordsPerFile=1_000_000
-    )
+    writer = table(spark, sf, "supplier").select(line.alias(titles)).write.option("maxRecordsPerFile", 1_000_000)
+    writer.csv(folder, sep="\u0001", quote="\u0000", header=True)
     return readers.scan_landed(spark, folder, struct("code name balance:d"), preamble=2)
 
 

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tracewater.functions.chemistry import DEFAULT_RULES, ORGANIC_CLASSES, Rule, chemical_class
 from tracewater.operators.first import keep_first, keep_first_chain
-from tracewater.operators.joins import full_merge, in_set, not_in_set, null_safe_join, strict_join
+from tracewater.operators.joins import full_merge, null_safe_join, strict_join
 from tracewater.operators.order import sort_nulls_last
 from tracewater.operators.reshape import group_text
-from tracewater.operators.rows import append, first_of_rest, repeated_keys
+from tracewater.operators.rows import repeated_keys
 
 # Fixed values of the inputs.
 SINGLE_SUBSTANCES = "Individuele stoffen"
@@ -25,9 +25,10 @@ def parameter_list(
 ) -> DataFrame:
     """Substances with their parameter codes and all their groups in one text ``groups``.
 
-    ``detail`` are the substance columns to keep. Substances that still occur
-    more than once are repaired by CAS number: one row per content, and rows
-    whose CAS number is the no-CAS mark or missing are dropped there.
+    ``detail`` are the substance columns to keep. Of substances that still
+    occur more than once, all rows sharing their CAS number are repaired: one
+    row per content, and none where the CAS number is the no-CAS mark or
+    missing.
     """
     listed = bridge.select("substance_group", *detail).distinct()
     coded = null_safe_join(
@@ -35,10 +36,11 @@ def parameter_list(
     )
     ids = [*detail, "id", "codes", "omschrijving"]
     grouped = group_text(coded, ids, "substance_group", "groups", first_tag=SINGLE_SUBSTANCES)
-    repeated = repeated_keys(grouped, *repeat_keys)
-    affected = in_set(grouped, repeated, ["cas"])
-    repaired = first_of_rest(affected, "groups", ["groups"]).where(F.col("cas") != NO_CAS)
-    return append(not_in_set(grouped, repeated, ["cas"]), repaired.select(*grouped.columns)).distinct()
+    affected = repeated_keys(grouped, *repeat_keys).select("cas").distinct().withColumn("__affected", F.lit(True))
+    checked = null_safe_join(grouped, affected, ["cas"])
+    # Rows differ in more than ``groups`` already, so the repair has nothing to
+    # fold; what it does is drop affected rows without a CAS number.
+    return checked.where(F.col("__affected").isNull() | (F.col("cas") != NO_CAS)).drop("__affected")
 
 
 def plant_alias(df: DataFrame, aliases: Mapping[str, str], column: str = "plant") -> DataFrame:
