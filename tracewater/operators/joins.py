@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,7 +84,7 @@ def strict_join(
     zeros there, and no null key can match anyway.
     """
     pairs, prepared, shown = _prepare(left, right, on, suffix)
-    missing = reduce(lambda a, b: a | b, [F.col(f"`{l}`").isNull() for l, _ in pairs])
+    missing = reduce(or_, [F.col(f"`{l}`").isNull() for l, _ in pairs])
     spread = F.when(missing, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(_SPREAD)))
     left_side = left.withColumn("__spread", F.coalesce(spread, F.lit(0).cast("bigint")))
     right_side = prepared.dropna(subset=[_aside(r) for _, r in pairs]).withColumn(
@@ -157,33 +157,44 @@ def full_merge(
     clash = set(left.columns) & set(right_payload)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    right = right.select(*[F.col(f"`{r}`").alias(_aside(r)) for r in rk], *[F.col(f"`{c}`") for c in right_payload])
-    ra = [_aside(r) for r in rk]
+    types = {f.name: f.dataType for f in [*right.schema.fields, *left.schema.fields]}
     names = [*left.columns, *right_payload]
-    types = {f.name: f.dataType for f in [*left.schema.fields, *right.schema.fields]}
-
-    def complete(df: DataFrame, have: dict[str, str]) -> DataFrame:
-        return df.select(
-            *[
-                (F.col(f"`{have[n]}`") if n in have else F.lit(None).cast(types[n])).alias(n)
-                for n in names
-            ]
-        )
-
-    left_full, right_full = left.dropna(subset=lk), right.dropna(subset=ra)
-    left_null = left.where(reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in lk]))
-    right_null = right.where(reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in ra]))
-    match = reduce(and_, [F.col(f"`{l}`") == F.col(r) for l, r in zip(lk, ra)])
-
-    own_left = {c: c for c in left.columns}
-    own_right = {c: c for c in right_payload} | dict(zip(lk, ra))
-    merged = (
-        complete(left_full.join(right_full, match, "inner"), {n: n for n in names})
-        .unionByName(complete(left_full.join(right_full.select(*ra).distinct(), match, "left_anti"), own_left))
-        .unionByName(complete(right_full.join(left_full.select(*[f"`{c}`" for c in lk]).distinct(), match, "left_anti"), own_right))
-        .unionByName(complete(left_null, own_left))
-        .unionByName(complete(right_null, own_right))
-    )
+    key_of = dict(zip(lk, rk))
+
+    def complete(df: DataFrame, side: str) -> DataFrame:
+        """All output columns; those of the other side are null unless ``side`` is both."""
+        out = []
+        for n in names:
+            if n in left.columns and side != "r":
+                value = F.col(f"l.`{n}`")
+            elif side == "l" or (side == "r" and n in left.columns and n not in key_of):
+                value = F.lit(None).cast(types[n])
+            else:
+                value = F.col(f"r.`{key_of.get(n, n)}`")
+            out.append(value.alias(n))
+        return df.select(*out)
+
+    def filled(keys: list[str]) -> Column:
+        # Spelled as isNotNull: the filter Spark infers for an inner join is
+        # then already there, and both uses of a side are the same subplan.
+        return reduce(and_, [F.col(f"`{c}`").isNotNull() for c in keys])
+
+    def missing(keys: list[str]) -> Column:
+        return reduce(or_, [F.col(f"`{c}`").isNull() for c in keys])
+
+    def keys_of(df: DataFrame, keys: list[str]) -> DataFrame:
+        return df.select(*[F.col(f"`{c}`") for c in keys]).distinct()
+
+    left_full, right_full = left.where(filled(lk)), right.where(filled(rk))
+    match = reduce(and_, [F.col(f"l.`{l}`") == F.col(f"r.`{r}`") for l, r in pairs])
+    parts = [
+        complete(left_full.alias("l").join(right_full.alias("r"), match, "inner"), "both"),
+        complete(left_full.alias("l").join(keys_of(right_full, rk).alias("r"), match, "left_anti"), "l"),
+        complete(right_full.alias("r").join(keys_of(left_full, lk).alias("l"), match, "left_anti"), "r"),
+        complete(left.where(missing(lk)).alias("l"), "l"),
+        complete(right.where(missing(rk)).alias("r"), "r"),
+    ]
+    merged = reduce(lambda a, b: a.unionByName(b), parts)
     replaced = {c for l, r, _ in coalesce for c in (l, r)}
     return merged.select(
         *[F.col(f"`{c}`") for c in names if c not in replaced],

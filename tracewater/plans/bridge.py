@@ -10,7 +10,6 @@ from tracewater.operators.columns import col_range
 from tracewater.operators.first import keep_first
 from tracewater.operators.joins import in_each_column, null_safe_join
 from tracewater.operators.reshape import pivot_flags
-from tracewater.operators.rows import append, except_rows
 
 IDENTITY = ["division", "substance_group", "substance", "cas"]
 LISTING = ["division", "branch", "sub_branch", "compartment", "substance_group", "substance", "cas", "emission_status"]
@@ -24,20 +23,34 @@ def with_code_forms(activity: DataFrame, code: str = "code") -> DataFrame:
     )
 
 
+def _identities(listing: DataFrame) -> DataFrame:
+    """Each (division, group, substance, CAS) once, and whether any branch lists it."""
+    return listing.groupBy(*IDENTITY).agg(F.max(F.col("branch").isNotNull()).alias("in_branch"))
+
+
 def branchless(navigator: DataFrame) -> DataFrame:
-    """Substances listed for a division that no branch of it lists."""
-    without = navigator.where(F.col("branch").isNull()).select(*IDENTITY)
-    within = navigator.where(F.col("branch").isNotNull()).select(*IDENTITY)
-    return except_rows(without, within)
+    """Substances listed for a division that no branch of it lists.
+
+    As a set this is the branch-less identities minus those within a branch;
+    one grouping answers it, nulls compare equal.
+    """
+    return _identities(navigator).where(~F.col("in_branch")).drop("in_branch")
 
 
 def clean_listing(navigator: DataFrame) -> DataFrame:
-    """Named substances of the branch lists, plus those only a division lists."""
-    named = navigator.where(F.col("substance").isNotNull())
-    added = in_each_column(named, branchless(named), IDENTITY)
-    return append(
-        named.where(F.col("branch").isNotNull()).select(*LISTING), added.select(*LISTING)
-    ).distinct()
+    """Named substances of the branch lists, plus those only a division lists.
+
+    Added are rows whose division, group, substance and CAS each occur among
+    the branch-less ones, independently. The four memberships are tested on
+    the identities, which are far fewer than the rows, and the rows are
+    joined once.
+    """
+    listing = navigator.where(F.col("substance").isNotNull()).select(*LISTING).distinct()
+    identities = _identities(listing)
+    lone = identities.where(~F.col("in_branch"))
+    added = in_each_column(identities.select(*IDENTITY), lone, IDENTITY).withColumn("__added", F.lit(True))
+    marked = null_safe_join(listing, added, IDENTITY)
+    return marked.where(F.col("branch").isNotNull() | F.col("__added")).select(*LISTING)
 
 
 def substance_properties(names: DataFrame, pmt: DataFrame) -> DataFrame:
