@@ -103,7 +103,7 @@ def test_region(navigator, names, pmt, activity, companies, selection):
 
 
 def test_region_side_reports(companies, selection, rows):
-    assert rows(region.unselected_counts(region.code_counts(companies), selection)) == [("Bath", 1, 1), ("Heugem", 0, 1)]
+    assert rows(region.unselected_counts(region.code_counts(companies), selection)) == [("Bath", 1, 1), ("Heugem", 1, 1)]
     totals = region.group_totals(companies, selection)
     assert rows(totals) == [("Bath", "Chemie", 2), ("Bath", "Landbouw", 1), ("Dinther", "Landbouw", 1)]
     assert rows(region.top_groups(totals, 1).select("plant", "main_group")) == [("Bath", "Chemie"), ("Dinther", "Landbouw")]

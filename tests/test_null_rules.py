@@ -120,10 +120,11 @@ def test_first_of_rest_keeps_null_first(frame, rows):
 
 
 def test_coverage(frame):
-    df = frame("k string, m string", ("a", "x"), ("b", None), ("b", None))
+    df = frame("k string, m string", ("a", "x"), ("b", None), (None, None))
     r = rowsets.coverage(df, F.col("m").isNotNull(), ["k"]).first()
-    assert (r.n_rows, r.n_matched, r.n_unmatched, r.matched_pct, r.n_k) == (3, 1, 2, 33.3, 2)
-    assert rowsets.coverage(df.where("false"), F.col("m").isNotNull(), ["k"]).first().matched_pct is None
+    assert (r.n_rows, r.n_matched, r.n_unmatched, r.matched_pct, r.n_k) == (3, 1, 2, 33.3, 3)
+    empty = rowsets.coverage(df.where("false"), F.col("m").isNotNull(), ["k"]).first()
+    assert empty.matched_pct is None and empty.n_k == 0
 
 
 def test_pivot_measures_without_a_status(frame, rows):

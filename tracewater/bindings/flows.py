@@ -21,11 +21,13 @@ _STATUS_LABELS = {"Emissie verwacht": "expected", "Emissie mogelijk": "possible"
 
 # -- roles ---------------------------------------------------------------------
 
-_SUBSTANCE_SQL = "p_name || ' ' || (p_size // 5)"
+# Names, sub-branches and codes are cut so that each meets a bounded number of
+# rows on the other side: the flows grow linearly with the tables.
+_SUBSTANCE_SQL = "split_part(p_name, ' ', 2) || ' ' || (p_partkey // 8)"
 NAVIGATOR_SQL = f"""SELECT CASE WHEN p_type = 'PROMO' THEN 'Individuele stoffen' ELSE 'ZZS ' || p_type END AS substance_group,
       CASE WHEN p_name <> 'red plate' THEN {_SUBSTANCE_SQL} END AS substance,
       CASE WHEN p_size < 45 THEN 'C-' || (p_partkey // 4) END AS cas, 'D' || n_regionkey AS division,
-      CASE WHEN p_size % 5 <> 0 THEN p_brand END AS branch, CASE WHEN p_size > 40 THEN 'S45' END AS sub_branch,
+      CASE WHEN p_size % 5 <> 0 THEN p_brand END AS branch, CASE WHEN p_size <= 40 THEN 'S' || (p_partkey // 500) END AS sub_branch,
       'Water' AS compartment,
       CASE WHEN p_size <= 5 THEN 'Emissie verwacht' WHEN p_size = 6 THEN 'Gebruik verwacht' ELSE 'Emissie mogelijk' END AS emission_status
     FROM part JOIN nation ON p_brand = 'Brand#' || (n_nationkey + 1)"""
@@ -35,8 +37,8 @@ NAMES_SQL = f"""SELECT {_SUBSTANCE_SQL} AS name_nl, upper({_SUBSTANCE_SQL}) AS n
 PMT_SQL = """SELECT 'C-' || (p_partkey // 4) AS cas, max(p_name) AS pmt_name, max(p_size) / 50 AS pmt_score, max(p_brand) AS pmt_class
     FROM part WHERE p_size >= 20 GROUP BY 1"""
 _CODE_SQL = "CASE WHEN s_suppkey < 10 THEN '0' || s_suppkey ELSE s_suppkey::VARCHAR END"
-ACTIVITY_SQL = """SELECT 'D' || n_regionkey AS division, 'Brand#' || (n_nationkey + 1) AS branch,
-      CASE WHEN s_acctbal > 8000 THEN 'S45' END AS sub_branch,
+ACTIVITY_SQL = """SELECT 'D' || n_regionkey AS division, CASE WHEN s_acctbal > 2000 THEN 'Brand#' || (n_nationkey + 1) END AS branch,
+      CASE WHEN s_suppkey >= 25 THEN 'S' || (s_suppkey // 25) END AS sub_branch,
       CASE WHEN s_acctbal >= 0 THEN s_suppkey::VARCHAR END AS code, s_name AS code_name, 'A' || s_suppkey AS activity_nr
     FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 SELECTION_SQL = f"""SELECT left({_CODE_SQL}, 2) || '.' || substr({_CODE_SQL}, 3) AS code_decimal,
@@ -51,7 +53,7 @@ def _part_cas():
 
 
 def _substance():
-    return F.concat("p_name", F.lit(" "), F.floor(F.col("p_size") / 5).cast("string"))
+    return F.concat(F.split("p_name", " ")[1], F.lit(" "), F.floor(F.col("p_partkey") / 8).cast("string"))
 
 
 def navigator(spark, sf):
@@ -66,7 +68,7 @@ def navigator(spark, sf):
         F.when(size < 45, _part_cas()).alias("cas"),
         "division",
         F.when(size % 5 != 0, F.col("p_brand")).alias("branch"),
-        F.when(size > 40, "S45").alias("sub_branch"),
+        F.when(size <= 40, F.concat(F.lit("S"), F.floor(F.col("p_partkey") / 500).cast("string"))).alias("sub_branch"),
         F.lit("Water").alias("compartment"),
         F.when(size <= 5, "Emissie verwacht").when(size == 6, "Gebruik verwacht").otherwise("Emissie mogelijk").alias("emission_status"),
     )
@@ -103,8 +105,8 @@ def activity(spark, sf):
     key = F.col("s_suppkey").cast("string")
     return _with_nation(spark, sf).select(
         F.concat(F.lit("D"), F.col("n_regionkey").cast("string")).alias("division"),
-        F.concat(F.lit("Brand#"), (F.col("n_nationkey") + 1).cast("string")).alias("branch"),
-        F.when(F.col("s_acctbal") > 8000, "S45").alias("sub_branch"),
+        F.when(F.col("s_acctbal") > 2000, F.concat(F.lit("Brand#"), (F.col("n_nationkey") + 1).cast("string"))).alias("branch"),
+        F.when(F.col("s_suppkey") >= 25, F.concat(F.lit("S"), F.floor(F.col("s_suppkey") / 25).cast("string"))).alias("sub_branch"),
         F.when(F.col("s_acctbal") >= 0, key).alias("code"),
         F.col("s_name").alias("code_name"), F.concat(F.lit("A"), key).alias("activity_nr"),
     )

@@ -281,11 +281,14 @@ def group_all_but_first(spark, sf):
     "coverage_metrics",
     """SELECT d.lang, count(*) AS n_rows, count(l.quality) AS n_matched, count(*) - count(l.quality) AS n_unmatched,
               round(100.0 * count(l.quality) / count(*), 1) AS matched_pct,
-              count(DISTINCT d.source) AS n_source, count(DISTINCT d.n_chars) AS n_n_chars
+              count(DISTINCT nullif(d.source, 'src1')) + max(CASE WHEN d.source = 'src1' THEN 1 ELSE 0 END) AS n_source,
+              count(DISTINCT d.n_chars) AS n_n_chars
        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""",
 )
 def coverage_metrics(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    documents = table(spark, sf, "documents").select(
+        "doc_id", "lang", F.nullif("source", F.lit("src1")).alias("source"), "n_chars"
+    )
     labeled = joins.strict_join(documents, table(spark, sf, "labels"), ["doc_id"])
     return rows.coverage(labeled, F.col("quality").isNotNull(), ["source", "n_chars"], by=["lang"])
 

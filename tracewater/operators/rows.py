@@ -72,7 +72,10 @@ def first_of_rest(df: DataFrame, value: str, order: Sequence[str]) -> DataFrame:
 
 
 def coverage(df: DataFrame, matched: Column, keys: Sequence[str], by: Sequence[str] = (), digits: int = 1) -> DataFrame:
-    """Match report in one pass: rows, matched, unmatched, share in %, distinct keys."""
+    """Match report in one pass: rows, matched, unmatched, share in %, distinct keys.
+
+    A missing key counts as one distinct value.
+    """
     hit = F.count_if(matched)
     total = F.count(F.lit(1))
     return df.groupBy(*by).agg(
@@ -80,5 +83,8 @@ def coverage(df: DataFrame, matched: Column, keys: Sequence[str], by: Sequence[s
         hit.alias("n_matched"),
         (total - hit).alias("n_unmatched"),
         F.round(F.when(total > 0, 100.0 * hit / total), digits).alias("matched_pct"),
-        *[F.count_distinct(F.col(k)).alias(f"n_{k}") for k in keys],
+        *[
+            (F.count_distinct(F.col(k)) + F.coalesce(F.max(F.col(k).isNull().cast("int")), F.lit(0))).alias(f"n_{k}")
+            for k in keys
+        ],
     )

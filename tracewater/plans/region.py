@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from tracewater.functions.codes import plain_code
 from tracewater.functions.text import address_text, wrap_label
 from tracewater.operators.first import top_k_with_ties
-from tracewater.operators.joins import join_with_attribute, not_in_set, null_safe_join
+from tracewater.operators.joins import in_set, join_with_attribute, not_in_set, null_safe_join
 from tracewater.operators.order import sort_nulls_last
-from tracewater.operators.reshape import explode_parallel, pivot_measures
+from tracewater.operators.reshape import explode_parallel
 
 # Statuses that enter the list, and their column labels.
 STATUSES = {"Emissie verwacht": "expected", "Emissie mogelijk": "possible"}
-SUBSTANCE = ["substance", "cas", "name_nl", "name_uk", "ec_nr", "smiles", "emission_status", "compartment"]
+SUBSTANCE = ["substance", "cas", "name_nl", "name_uk", "ec_nr", "smiles", "compartment"]
 
 
 def company_codes(companies: DataFrame) -> DataFrame:
@@ -40,11 +40,12 @@ def selected_counts(counts: DataFrame, selection: DataFrame) -> DataFrame:
 
 
 def unselected_counts(counts: DataFrame, selection: DataFrame) -> DataFrame:
-    """Codes outside the selection, per plant: number of codes and of companies."""
+    """Codes outside the selection, per plant: number of codes and of companies.
+
+    ``counts`` holds each (plant, code) once, a missing code included.
+    """
     outside = not_in_set(counts, selection_codes(selection), [("code", "code_plain")])
-    return outside.groupBy("plant").agg(
-        F.count_distinct("code").alias("n_codes"), F.sum("n_companies").alias("n_companies")
-    )
+    return outside.groupBy("plant").agg(F.count(F.lit(1)).alias("n_codes"), F.sum("n_companies").alias("n_companies"))
 
 
 def with_substance_id(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -62,24 +63,31 @@ def region_suspects(
 ) -> DataFrame:
     """Per plant and substance: number of companies and of codes, by status; all plants in one job.
 
-    Companies are folded to (plant, code) counts before they meet the
-    substances, and the fan-out carries a short substance id; names and score
-    texts come back at the end.
+    Companies are folded to one row per (plant, code) before they meet the
+    substances, and the fan-out carries a short substance id only; names and
+    score texts come back at the end. As (plant, code) and (code, substance,
+    status) are unique on both sides, counting the pairs counts the codes, and
+    one aggregation gives all cells of the wide table.
     """
     described = [*SUBSTANCE, *scores]
-    listed = bridge.where(F.col("emission_status").isin(*statuses)).select("code_plain", "code_written", *described)
-    known = with_substance_id(listed.where(F.col("code_written").isNotNull()), described)
-    detail = known.groupBy("substance_id").agg(*[F.first(c).alias(c) for c in described])
-    links = known.select("code_plain", "substance_id").distinct()
+    listed = bridge.where(F.col("emission_status").isin(*statuses) & F.col("code_written").isNotNull())
+    known = with_substance_id(listed.select("code_plain", "emission_status", *described), described)
+    detail = known.select("substance_id", *described).distinct()
+    links = known.select("code_plain", "substance_id", "emission_status").distinct()
 
-    counts = selected_counts(code_counts(companies), selection).select("plant", "code", "n_companies").distinct()
+    allowed = selection_codes(selection).where(F.col("process").isNotNull())
+    counts = in_set(code_counts(companies), allowed, [("code", "code_plain")])
     met = null_safe_join(counts, links, [("code", "code_plain")], "inner")
-    totals = met.groupBy("plant", "substance_id").agg(
-        F.sum("n_companies").alias("total_companies"), F.count_distinct("code").alias("unique_codes")
-    )
-    ids = [c for c in described if c != "emission_status"]
-    full = totals.join(detail, "substance_id").select("plant", *described, "total_companies", "unique_codes")
-    return pivot_measures(full, ["plant", *ids], "emission_status", statuses, ["total_companies", "unique_codes"])
+    status = F.col("emission_status")
+    cells = {}
+    for value, label in statuses.items():
+        cells[f"total_companies_{label}"] = F.sum(F.when(status == value, F.col("n_companies")))
+        cells[f"unique_codes_{label}"] = F.nullif(F.count(F.when(status == value, 1)), F.lit(0))
+    wide = met.groupBy("plant", "substance_id").agg(*[c.alias(n) for n, c in cells.items()])
+    flags = {
+        label: F.when(F.col(f"total_companies_{label}").isNotNull(), 1) for label in statuses.values()
+    }
+    return wide.withColumns(flags).join(detail, "substance_id").select("plant", *described, *cells, *flags)
 
 
 def sorted_region_suspects(suspects: DataFrame, statuses: dict[str, str] = STATUSES) -> DataFrame:
