@@ -79,6 +79,14 @@ def test_domain_table(spark, tmp_path):
                             "eind_geldigheid": dt.date(2099, 12, 31), "guid": "g1"}
 
 
+def test_domain_overview(spark, tmp_path):
+    write(tmp_path / "o.csv", "X1;Elementtype;Voorkeurslabel;Metadata;Wijzigingsdatum;Begin geldigheid;Eind geldigheid\n"
+          "g;Domeintabel;Parameter;Id,Codes,Omschrijving;3 mei 2024 10:00:00;1 januari 2011;31 december 2099\n")
+    row = readers.scan_domain_overview(spark, str(tmp_path)).first()
+    assert (row.domain_table, row.kind, row.guid, row.columns) == ("Parameter", "Domeintabel", "g", ["Id", "Codes", "Omschrijving"])
+    assert (row.wijzigingsdatum, row.begin_geldigheid) == (dt.date(2024, 5, 3), dt.date(2011, 1, 1))
+
+
 def test_feature_collection(spark, tmp_path):
     square = [[0, 0, 9], [1, 0, 9], [1, 1, 9], [0, 0, 9]]
     doc = {"type": "FeatureCollection", "features": [

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from tracewater.bindings.registry import query, table
-from tracewater.functions.chemistry import chemical_class
+from tracewater.functions.chemistry import Rule, chemical_class
 from tracewater.functions.geodesy import to_rd, to_wgs84
 from tracewater.operators import density, spatial
 from tracewater.plans import emission, places, suspects
@@ -80,8 +80,6 @@ def classify_rules(spark, sf):
 )
 def classify_text(spark, sf):
     """A user's own rule list over whole texts."""
-    from tracewater.functions.chemistry import Rule
-
     rules = [
         Rule("Inorganic", "formula", "[1-9]", absent=True),
         Rule("Organic Ionic", "smiles", "%%%"),

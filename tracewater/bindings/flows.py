@@ -209,11 +209,11 @@ _BRIDGE_CTE = f"""
                 AND l.branch IS NOT DISTINCT FROM c.branch AND l.sub_branch IS NOT DISTINCT FROM c.sub_branch
              LEFT JOIN props p ON l.substance IS NOT DISTINCT FROM p.name_nl AND l.cas IS NOT DISTINCT FROM p.cas)"""
 
-_OWN_CODE = "CASE WHEN c_custkey // 15 < 10 THEN '0' || (c_custkey // 15) ELSE (c_custkey // 15)::VARCHAR END"
-_NATION_CODE = "CASE WHEN c_nationkey < 10 THEN '0' || c_nationkey ELSE c_nationkey::VARCHAR END"
-_COUNTS_CTE = f"""
-  company AS (SELECT n_name AS plant, {_NATION_CODE} AS code FROM customer JOIN nation ON c_nationkey = n_nationkey
-              UNION ALL SELECT n_name, {_OWN_CODE} FROM customer JOIN nation ON c_nationkey = n_nationkey
+OWN_CODE = "CASE WHEN c_custkey // 15 < 10 THEN '0' || (c_custkey // 15) ELSE (c_custkey // 15)::VARCHAR END"
+NATION_CODE = "CASE WHEN c_nationkey < 10 THEN '0' || c_nationkey ELSE c_nationkey::VARCHAR END"
+COUNTS_CTE = f"""
+  company AS (SELECT n_name AS plant, {NATION_CODE} AS code FROM customer JOIN nation ON c_nationkey = n_nationkey
+              UNION ALL SELECT n_name, {OWN_CODE} FROM customer JOIN nation ON c_nationkey = n_nationkey
               WHERE c_mktsegment <> 'BUILDING' OR c_mktsegment = 'MACHINERY'),
   sel AS (SELECT *, replace(code_decimal, '.', '') AS plain FROM ({SELECTION_SQL})),
   counts AS (SELECT plant, code, count(*) AS n FROM company GROUP BY ALL),
@@ -221,7 +221,7 @@ _COUNTS_CTE = f"""
 
 _DETAIL = "substance, cas, name_nl, name_uk, ec_nr, smiles, emission_status, compartment, pmt_name, pmt_score, pmt_class"
 _IDS = "substance, cas, name_nl, name_uk, ec_nr, smiles, compartment, pmt_name, pmt_score, pmt_class"
-_REGION_CTE = f"""{_BRIDGE_CTE}, {_COUNTS_CTE},
+_REGION_CTE = f"""{_BRIDGE_CTE}, {COUNTS_CTE},
   met AS (SELECT DISTINCT plant, code, n, {_DETAIL} FROM chosen JOIN bridge ON code = code_plain),
   per_status AS (SELECT plant, {_DETAIL}, CAST(sum(n) AS BIGINT) AS total, count(DISTINCT code) AS codes FROM met
                  WHERE emission_status IN ('Emissie verwacht', 'Emissie mogelijk') GROUP BY ALL),
@@ -299,7 +299,7 @@ def region_suspects(spark, sf):
 
 @query(
     "region_top_groups",
-    f"""WITH {_COUNTS_CTE}, totals AS (SELECT plant, main_group, CAST(sum(n) AS BIGINT) AS total FROM chosen GROUP BY ALL)
+    f"""WITH {COUNTS_CTE}, totals AS (SELECT plant, main_group, CAST(sum(n) AS BIGINT) AS total FROM chosen GROUP BY ALL)
         SELECT plant, main_group, total, main_group AS label FROM (
           SELECT *, rank() OVER (PARTITION BY plant ORDER BY total DESC) AS rk FROM totals) WHERE rk <= 20""",
 )
@@ -309,7 +309,7 @@ def region_top_groups(spark, sf):
 
 @query(
     "region_unselected",
-    f"""WITH {_COUNTS_CTE} SELECT plant, count(DISTINCT code) AS n_codes, CAST(sum(n) AS BIGINT) AS n_companies
+    f"""WITH {COUNTS_CTE} SELECT plant, count(DISTINCT code) AS n_codes, CAST(sum(n) AS BIGINT) AS n_companies
         FROM counts WHERE code NOT IN (SELECT plain FROM sel WHERE process IS NOT NULL) GROUP BY plant""",
 )
 def region_unselected(spark, sf):

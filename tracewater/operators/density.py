@@ -47,7 +47,8 @@ def kernel_density(
     against ``max_cells_per_point``.
     """
     spots = points.groupBy(*by, F.col(x).alias("__x"), F.col(y).alias("__y")).agg(F.count(F.lit(1)).alias("__n"))
-    totals = points.groupBy(*by).agg(F.count(F.lit(1)).alias("__total"))
+    # Taken from the spots: their exchange is reused, the points are not read again.
+    totals = spots.groupBy(*by).agg(F.sum("__n").alias("__total"))
     if isinstance(bandwidth, tuple):
         nodes = math.prod(2 * REACH * h / s + 1 for h, s in zip(bandwidth, step))
         if nodes > max_cells_per_point:

@@ -76,16 +76,21 @@ def strict_join(
     on: Sequence[str | Pair],
     how: str = "left",
     suffix: str = "_right",
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join where a null key matches nothing.
 
     A left join keeps its null-key rows. They would all hash to one task, so
     they carry a spreading number next to the key; the right side only holds
-    zeros there, and no null key can match anyway.
+    zeros there, and no null key can match anyway. The number is a hash of
+    ``spread_by``, by default the first column that is no key, so that other
+    columns can still be pruned.
     """
     pairs, prepared, shown = _prepare(left, right, on, suffix)
-    missing = reduce(or_, [F.col(f"`{l}`").isNull() for l, _ in pairs])
-    spread = F.when(missing, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(_SPREAD)))
+    left_keys = [l for l, _ in pairs]
+    spread_by = spread_by or [c for c in left.columns if c not in left_keys][:1] or left_keys
+    missing = reduce(or_, [F.col(f"`{l}`").isNull() for l in left_keys])
+    spread = F.when(missing, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread_by]), F.lit(_SPREAD)))
     left_side = left.withColumn("__spread", F.coalesce(spread, F.lit(0).cast("bigint")))
     right_side = prepared.dropna(subset=[_aside(r) for _, r in pairs]).withColumn(
         "__spread_r", F.lit(0).cast("bigint")

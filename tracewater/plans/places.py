@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tracewater.functions.geodesy import to_rd
 from tracewater.functions.text import normal_address
 from tracewater.operators.columns import match_names
+from tracewater.operators.density import density_bands, kernel_density
 from tracewater.operators.first import keep_first
 from tracewater.operators.joins import strict_join
 from tracewater.operators.rows import coverage
@@ -45,6 +46,29 @@ def location_report(located: DataFrame, address: str = "address") -> DataFrame:
     return coverage(single, F.col("found"), [address])
 
 
+def company_density(
+    addressed: DataFrame,
+    register: DataFrame,
+    step: tuple[float, float],
+    bandwidth: tuple[float, float] | DataFrame,
+    overrides: DataFrame | None = None,
+    by: Sequence[str] = ("plant",),
+    per_area: float = 1.0,
+    digits: int | None = None,
+) -> DataFrame:
+    """Where companies concentrate: density per grid node and its band, in metres of the national grid.
+
+    ``addressed`` has one row per company and selected code, so a company
+    with several codes weighs several times. Addresses not found take no part.
+    Density is per ``per_area`` square metres.
+    """
+    found = with_rd(locate(addressed, register, overrides).where(F.col("longitude").isNotNull()))
+    grid = kernel_density(found, by, "rd_x", "rd_y", step, bandwidth)
+    scaled = F.col("density") * F.lit(per_area)
+    grid = grid.withColumn("density", scaled if digits is None else F.round(scaled, digits))
+    return density_bands(found, grid, by, "rd_x", "rd_y", step)
+
+
 def with_rd(df: DataFrame, lon: str = "longitude", lat: str = "latitude") -> DataFrame:
     x, y = to_rd(F.col(lon), F.col(lat))
     return df.withColumns({"rd_x": x, "rd_y": y})

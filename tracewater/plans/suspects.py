@@ -58,7 +58,7 @@ def merged_suspects(
     names = parameter_names.select(
         "substance", F.col("id").alias("use_id"), F.col("codes").alias("use_code"), F.col("omschrijving").alias("use_text")
     ).distinct()
-    use = plant_alias(strict_join(region, names, ["substance"]), aliases or {})
+    use = plant_alias(strict_join(region, names, ["substance"], spread_by=["plant", "cas"]), aliases or {})
     merged = full_merge(
         use,
         emissions,
@@ -139,7 +139,8 @@ def final_list(merged: DataFrame, classified: DataFrame, groups: DataFrame, scor
     """Merged suspects with class, compound properties and group text, in the delivered column order."""
     compound = ["cid", "formula", "smiles", "inchi_key", "mass", "charge", "title", "chemical_class"]
     properties = classified.select("cas", *compound).withColumnRenamed("smiles", "compound_smiles")
-    classed = null_safe_join(merged, properties, ["cas"])
+    # No CAS number is missing among the properties, so missing ones need not meet there.
+    classed = strict_join(merged, properties, ["cas"], spread_by=["plant", "substance", "company"])
     named = null_safe_join(classed, groups.select("groups", "substance", "cas").distinct(), ["substance", "cas"])
     return named.select(*DISPLAY_NAMES, *scores)
 

@@ -124,6 +124,17 @@ def scan_domain_table(spark: SparkSession, folder: str, sep: str = ";") -> DataF
     return table.select(*known, *[c for c in table.columns if c not in known])
 
 
+def scan_domain_overview(spark: SparkSession, folder: str, sep: str = ";") -> DataFrame:
+    """A landed list of domain tables: name, kind, dates, its columns as an array, guid."""
+    table = rename_all(spark.read.option("sep", sep).option("header", True).csv(folder), domain_header)
+    day = {c: parse_date(F.col(c)) for c in ("wijzigingsdatum", "begin_geldigheid", "eind_geldigheid")}
+    return table.select(
+        F.col("voorkeurslabel").alias("domain_table"), F.col("elementtype").alias("kind"),
+        *[value.alias(name) for name, value in day.items()],
+        F.split("metadata", ",").alias("columns"), "guid",
+    )
+
+
 def scan_polygons(spark: SparkSession, folder: str, properties: dict[str, str], lines: bool = False) -> DataFrame:
     """GeoJSON polygons and multipolygons, one row per feature with a ``rings`` column.
 
