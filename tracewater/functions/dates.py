@@ -22,7 +22,14 @@ DUTCH_MONTHS = {
 }
 
 # Day first, then year first; with and without a time of day.
-_SHAPES = ["d-M-yyyy-H-m-s", "d-M-yyyy", "yyyy-M-d-H-m-s", "yyyy-M-d", "yyyyMMdd"]
+_DAY_FIRST, _YEAR_FIRST, _TIME = r"\d{1,2}-\d{1,2}-\d{4}", r"\d{4}-\d{1,2}-\d{1,2}", r"-\d{1,2}-\d{1,2}-\d{1,2}"
+_SHAPES = {
+    _DAY_FIRST: "d-M-yyyy",
+    _DAY_FIRST + _TIME: "d-M-yyyy-H-m-s",
+    _YEAR_FIRST: "yyyy-M-d",
+    _YEAR_FIRST + _TIME: "yyyy-M-d-H-m-s",
+    r"\d{8}": "yyyyMMdd",
+}
 
 EXPORT_STAMP = r"\d{4}-\d{2}-\d{2}-\d{6}"
 
@@ -32,7 +39,16 @@ def parse_date(col: Column) -> Column:
     months = F.create_map(*[F.lit(x) for pair in DUTCH_MONTHS.items() for x in pair])
     tokens = F.regexp_extract_all(F.lower(col), F.lit(r"(\d+|\p{L}+)"), 1)
     plain = F.array_join(F.transform(tokens, lambda t: F.coalesce(F.try_element_at(months, t), t)), "-")
-    return F.coalesce(*[F.try_to_timestamp(plain, F.lit(s)) for s in _SHAPES]).cast("date")
+
+    def parsed(text: Column) -> Column:
+        found = F.lit(None).cast("timestamp")
+        for shape, form in _SHAPES.items():
+            found = F.when(text.rlike(f"^{shape}$"), F.try_to_timestamp(text, F.lit(form))).otherwise(found)
+        return found.cast("date")
+
+    # Through a one-element array, so that the tokens are made once per row
+    # and not once per shape.
+    return F.transform(F.array(plain), parsed)[0]
 
 
 def export_time(path: Column) -> Column:

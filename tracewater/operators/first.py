@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewater.operators.joins import null_safe_join
+from tracewater.operators.joins import in_set, null_safe_join
 from tracewater.operators.order import nulls_last
 
 
@@ -53,7 +53,18 @@ def mark_duplicates(
     )
 
 
-def top_k_with_ties(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], k: int) -> DataFrame:
-    """The first ``k`` rows per group, plus every row tied with the k-th."""
-    place = F.rank().over(Window.partitionBy(*by).orderBy(*nulls_last(order)))
-    return df.withColumn("__place", place).where(F.col("__place") <= k).drop("__place")
+def top_k_with_ties(df: DataFrame, by: Sequence[str], order: Sequence[str], k: int) -> DataFrame:
+    """The first ``k`` rows per group, plus every row tied with the k-th.
+
+    Any number of rows may tie, so groups are not ranked row by row. Equal
+    rows are folded to their order values with a count; the first ``k`` values
+    of a group (cut before the shuffle, for ``k`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default) always
+    hold the answer; and the rows are kept by a semi join on those values.
+    """
+    values = [c.removeprefix("-") for c in order]
+    counted = df.groupBy(*by, *values).agg(F.count(F.lit(1)).alias("__n"))
+    in_order = Window.partitionBy(*by).orderBy(*nulls_last(order))
+    leading = counted.withColumn("__place", F.row_number().over(in_order)).where(F.col("__place") <= k)
+    before = F.coalesce(F.sum("__n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return in_set(df, leading.withColumn("__before", before).where(F.col("__before") < k), [*by, *values])

@@ -21,28 +21,30 @@ from pyspark.sql import functions as F
 BOX = ("min_x", "min_y", "max_x", "max_y")
 
 
-def edges_of(rings: Column) -> Column:
-    """``array<struct<x1,y1,x2,y2>>`` over all rings; open rings are closed."""
+# The predicates are SQL text over column or field names, one expression each:
+# lambdas over edge arrays read better there than as nested Column calls.
 
-    def ring_edges(ring: Column) -> Column:
-        following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
-        return F.zip_with(
-            ring,
-            following,
-            lambda a, b: F.struct(
-                a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
-            ),
-        )
 
-    return F.flatten(F.transform(rings, ring_edges))
+def edges_of(rings: str) -> Column:
+    """``array<struct<x1,y1,x2,y2>>`` over all rings; open rings are closed."""
+    return F.expr(
+        f"""flatten(transform({rings}, r -> zip_with(
+              r, concat(slice(r, 2, greatest(size(r) - 1, 0)), slice(r, 1, 1)),
+              (a, b) -> named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y))))"""
+    )
 
 
 def with_box(df: DataFrame, rings: str) -> DataFrame:
     """Add the bounding box columns of a polygon column."""
-    xs = F.transform(F.flatten(F.col(rings)), lambda p: p["x"])
-    ys = F.transform(F.flatten(F.col(rings)), lambda p: p["y"])
+
+    def bound(fn: str, axis: str) -> Column:
+        return F.expr(f"{fn}(transform(flatten({rings}), p -> p.{axis}))")
+
     return df.withColumns(
-        {"min_x": F.array_min(xs), "min_y": F.array_min(ys), "max_x": F.array_max(xs), "max_y": F.array_max(ys)}
+        {
+            "min_x": bound("array_min", "x"), "min_y": bound("array_min", "y"),
+            "max_x": bound("array_max", "x"), "max_y": bound("array_max", "y"),
+        }
     )
 
 
@@ -65,69 +67,48 @@ def within_box(points: DataFrame, x: str, y: str, area: DataFrame) -> DataFrame:
     )
 
 
-def on_edge(x: Column, y: Column, e: Column) -> Column:
-    cross = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-    return (
-        (cross == 0)
-        & (x >= F.least(e["x1"], e["x2"]))
-        & (x <= F.greatest(e["x1"], e["x2"]))
-        & (y >= F.least(e["y1"], e["y2"]))
-        & (y <= F.greatest(e["y1"], e["y2"]))
-    )
-
-
-def covers(edges: Column, x: Column, y: Column) -> Column:
-    """Whether the polygon with these edges covers the point, boundary included."""
-
-    def passes(e: Column) -> Column:
-        spans = (e["y1"] > y) != (e["y2"] > y)
-        # The ray to the right meets the edge; division only where it spans y.
-        at = (e["x2"] - e["x1"]) * (y - e["y1"]) / F.when(spans, e["y2"] - e["y1"]) + e["x1"]
-        return spans & (x < at)
+def _cross(e: str, x: str, y: str) -> str:
+    """Side of edge ``e`` on which the point lies: its sign, zero on the line."""
+    return f"(({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({e}.y2 - {e}.y1) * ({x} - {e}.x1))"
 
-    odd = F.size(F.filter(edges, passes)) % 2 == 1
-    return odd | F.exists(edges, lambda e: on_edge(x, y, e))
 
+def covers_sql(edges: str, x: str, y: str) -> str:
+    """Whether the polygon with these edges covers the point, boundary included.
 
-def _side(e: Column, x: Column, y: Column) -> Column:
-    return F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
+    Inside: a ray to the right passes an odd number of edges. An edge that
+    spans the point's height is never level, so its division is safe.
+    """
+    return f"""(size(filter({edges}, e -> (e.y1 > {y}) <> (e.y2 > {y})
+            AND {x} < (e.x2 - e.x1) * ({y} - e.y1) / nullif(e.y2 - e.y1, 0) + e.x1)) % 2 = 1
+        OR exists({edges}, e -> {_cross("e", x, y)} = 0
+            AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
+            AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)))"""
 
 
-def edges_meet(a: Column, b: Column) -> Column:
+def edges_meet_sql(a: str, b: str) -> str:
     """Whether two closed segments share a point."""
-    boxes = (
-        (F.least(a["x1"], a["x2"]) <= F.greatest(b["x1"], b["x2"]))
-        & (F.least(b["x1"], b["x2"]) <= F.greatest(a["x1"], a["x2"]))
-        & (F.least(a["y1"], a["y2"]) <= F.greatest(b["y1"], b["y2"]))
-        & (F.least(b["y1"], b["y2"]) <= F.greatest(a["y1"], a["y2"]))
+    boxes = " AND ".join(
+        f"least({p}.{v}1, {p}.{v}2) <= greatest({q}.{v}1, {q}.{v}2)" for v in "xy" for p, q in ((a, b), (b, a))
     )
-    return (
-        boxes
-        & (_side(a, b["x1"], b["y1"]) * _side(a, b["x2"], b["y2"]) <= 0)
-        & (_side(b, a["x1"], a["y1"]) * _side(b, a["x2"], a["y2"]) <= 0)
+    sides = " AND ".join(
+        f"signum({_cross(p, f'{q}.x1', f'{q}.y1')}) * signum({_cross(p, f'{q}.x2', f'{q}.y2')}) <= 0"
+        for p, q in ((a, b), (b, a))
     )
+    return f"({boxes} AND {sides})"
 
 
-def polygons_meet(edges_a: Column, starts_a: Column, edges_b: Column, starts_b: Column, box_a: dict[str, Column]) -> Column:
-    """Whether two polygons share a point.
+def polygons_meet_sql(a: str, b: str) -> str:
+    """Whether two polygons share a point, given ``{a}edges``, ``{a}starts``, ``{a}min_x`` … and the same for b.
 
-    Either two edges meet, or a ring of one lies inside the other. ``starts``
+    Either two edges meet, or a ring of one lies inside the other; ``starts``
     is one vertex per ring. Edges of b outside a's box are dropped before the
     pairwise test.
     """
-    near = F.filter(
-        edges_b,
-        lambda e: (F.least(e["x1"], e["x2"]) <= box_a["max_x"])
-        & (F.greatest(e["x1"], e["x2"]) >= box_a["min_x"])
-        & (F.least(e["y1"], e["y2"]) <= box_a["max_y"])
-        & (F.greatest(e["y1"], e["y2"]) >= box_a["min_y"]),
-    )
-    crossing = F.exists(near, lambda e: F.exists(edges_a, lambda d: edges_meet(d, e)))
-    return (
-        crossing
-        | F.exists(starts_a, lambda p: covers(edges_b, p["x"], p["y"]))
-        | F.exists(starts_b, lambda p: covers(edges_a, p["x"], p["y"]))
-    )
+    near = f"""filter({b}edges, e -> least(e.x1, e.x2) <= {a}max_x AND greatest(e.x1, e.x2) >= {a}min_x
+            AND least(e.y1, e.y2) <= {a}max_y AND greatest(e.y1, e.y2) >= {a}min_y)"""
+    return f"""(exists({near}, e -> exists({a}edges, d -> {edges_meet_sql("d", "e")}))
+        OR exists({a}starts, p -> {covers_sql(f"{b}edges", "p.x", "p.y")})
+        OR exists({b}starts, p -> {covers_sql(f"{a}edges", "p.x", "p.y")}))"""
 
 
 def _cells(df: DataFrame, size: float, x: tuple[Column, Column], y: tuple[Column, Column]) -> DataFrame:
@@ -148,14 +129,14 @@ def points_in_polygons(
 
     A point lies in one cell, so each pair meets once.
     """
-    areas = with_box(polygons.select(*keep, rings), rings).withColumn("__edges", edges_of(F.col(rings)))
-    areas = areas.select(*keep, "__edges", *[F.col(b).alias(f"__{b}") for b in BOX])
+    areas = with_box(polygons.select(*keep, rings), rings)
+    areas = areas.select(*keep, edges_of(rings).alias("__edges"), *[F.col(b).alias(f"__{b}") for b in BOX])
     areas = _cells(areas, cell, (F.col("__min_x"), F.col("__max_x")), (F.col("__min_y"), F.col("__max_y")))
     size = F.lit(float(cell))
-    placed = points.withColumn("__px", F.floor(F.col(x) / size)).withColumn("__py", F.floor(F.col(y) / size))
+    placed = points.withColumns({"__px": F.floor(F.col(x) / size), "__py": F.floor(F.col(y) / size)})
     met = placed.join(areas, (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy")))
-    in_box = (F.col(x).between(F.col("__min_x"), F.col("__max_x"))) & (F.col(y).between(F.col("__min_y"), F.col("__max_y")))
-    return met.where(in_box).where(covers(F.col("__edges"), F.col(x), F.col(y))).select(*points.columns, *keep)
+    in_box = F.expr(f"{x} BETWEEN __min_x AND __max_x AND {y} BETWEEN __min_y AND __max_y")
+    return met.where(in_box).where(F.expr(covers_sql("__edges", x, y))).select(*points.columns, *keep)
 
 
 def polygons_meeting(
@@ -166,33 +147,19 @@ def polygons_meeting(
     """Pairs of polygons that overlap or touch, as distinct ``left_keep`` + ``right_keep``."""
 
     def side(df: DataFrame, rings: str, keep: Sequence[str], tag: str) -> DataFrame:
-        boxed = with_box(df.select(*keep, rings), rings)
-        shaped = boxed.select(
+        shaped = with_box(df.select(*keep, rings), rings).select(
             *keep,
-            edges_of(F.col(rings)).alias(f"__{tag}edges"),
-            F.transform(F.filter(F.col(rings), lambda r: F.size(r) > 0), lambda r: r[0]).alias(f"__{tag}starts"),
-            *[F.col(b).alias(f"__{tag}{b}") for b in BOX],
+            edges_of(rings).alias(f"{tag}edges"),
+            F.expr(f"transform(filter({rings}, r -> size(r) > 0), r -> r[0])").alias(f"{tag}starts"),
+            *[F.col(b).alias(f"{tag}{b}") for b in BOX],
         )
-        celled = _cells(
-            shaped, cell, (F.col(f"__{tag}min_x"), F.col(f"__{tag}max_x")), (F.col(f"__{tag}min_y"), F.col(f"__{tag}max_y"))
-        )
-        return celled.withColumnsRenamed({"__cx": f"__{tag}cx", "__cy": f"__{tag}cy"})
+        bounds = [(F.col(f"{tag}min_{v}"), F.col(f"{tag}max_{v}")) for v in "xy"]
+        return _cells(shaped, cell, *bounds).withColumnsRenamed({"__cx": f"{tag}cx", "__cy": f"{tag}cy"})
 
-    a, b = side(left, left_rings, left_keep, "a"), side(right, right_rings, right_keep, "b")
-    box = lambda tag, name: F.col(f"__{tag}{name}")
-    same_cell = (F.col("__acx") == F.col("__bcx")) & (F.col("__acy") == F.col("__bcy"))
-    boxes_meet = (
-        (box("a", "min_x") <= box("b", "max_x"))
-        & (box("b", "min_x") <= box("a", "max_x"))
-        & (box("a", "min_y") <= box("b", "max_y"))
-        & (box("b", "min_y") <= box("a", "max_y"))
-    )
-    size = F.lit(float(cell))
+    a, b = side(left, left_rings, left_keep, "__a"), side(right, right_rings, right_keep, "__b")
+    boxes_meet = " AND ".join(f"{p}min_{v} <= {q}max_{v}" for v in "xy" for p, q in (("__a", "__b"), ("__b", "__a")))
     # The lower left corner of the shared box lies in exactly one shared cell.
-    once = (F.col("__acx") == F.floor(F.greatest(box("a", "min_x"), box("b", "min_x")) / size)) & (
-        F.col("__acy") == F.floor(F.greatest(box("a", "min_y"), box("b", "min_y")) / size)
-    )
-    exact = polygons_meet(
-        F.col("__aedges"), F.col("__astarts"), F.col("__bedges"), F.col("__bstarts"), {n: box("a", n) for n in BOX}
-    )
-    return a.join(b, same_cell & boxes_meet & once).where(exact).select(*left_keep, *right_keep).distinct()
+    once = " AND ".join(f"__ac{v} = floor(greatest(__amin_{v}, __bmin_{v}) / {float(cell)}D)" for v in "xy")
+    same_cell = (F.col("__acx") == F.col("__bcx")) & (F.col("__acy") == F.col("__bcy"))
+    met = a.join(b, same_cell & F.expr(boxes_meet) & F.expr(once))
+    return met.where(F.expr(polygons_meet_sql("__a", "__b"))).select(*left_keep, *right_keep).distinct()
