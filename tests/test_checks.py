@@ -32,7 +32,7 @@ def test_losses_totals_and_summary(frame, rows):
 def test_company_density_weighs_codes_and_skips_unknown(frame):
     companies = frame("plant string, address string", ("P", "Markt 1"), ("P", "Markt 1"), ("P", "Dorp 1"), ("P", "nergens"))
     register = frame("address string, latitude double, longitude double", ("markt 1", 52.0, 5.0), ("dorp 1", 52.3, 5.0))
-    bands = places.company_density(companies, register, (1000.0, 1000.0), (1500.0, 1500.0), per_area=1e6)
+    bands = places.company_density(companies, register, (1000.0, 1000.0), (1500.0, 1500.0))
     peak = bands.orderBy(bands.density.desc()).first()
     assert peak.band == 10
     # 52.0 N, 5.0 E lies near x = 128.4 km, y = 446.2 km: the address with two codes.

@@ -146,4 +146,4 @@ def company_density(spark, sf):
         (F.lit(51.5) + (F.col("c_custkey") % 97) / F.lit(97.0)).alias("latitude"),
         (F.lit(4.5) + F.col("c_nationkey") * F.lit(0.08) + F.col("c_acctbal") / 40000).alias("longitude"),
     )
-    return places.company_density(addressed, register, (_KM, _KM), (_KM, _KM), per_area=1e6, digits=9)
+    return places.company_density(addressed, register, (_KM, _KM), (_KM, _KM))

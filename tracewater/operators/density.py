@@ -83,7 +83,9 @@ def density_bands(
     A region of p % is bounded by the (1 - p/100) quantile of the density at
     the points, taken at each point's nearest node. Points are counted per
     node before the quantile, so its state grows with the grid, not with the
-    points. Nodes outside the widest region have no band.
+    points. Nodes outside the widest region have no band. ``density`` is read
+    twice: round it or write it out first, as sums of doubles need not come
+    out bit for bit the same again.
     """
     nearest = {
         "ix": F.floor((F.col(x) - F.lit(origin[0])) / F.lit(step[0]) + F.lit(0.5)),

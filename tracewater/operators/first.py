@@ -61,6 +61,8 @@ def top_k_with_ties(df: DataFrame, by: Sequence[str], order: Sequence[str], k: i
     of a group (cut before the shuffle, for ``k`` up to
     ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default) always
     hold the answer; and the rows are kept by a semi join on those values.
+    ``df`` is read twice: write it out first if its order values are sums of
+    doubles, which need not come out bit for bit the same again.
     """
     values = [c.removeprefix("-") for c in order]
     counted = df.groupBy(*by, *values).agg(F.count(F.lit(1)).alias("__n"))

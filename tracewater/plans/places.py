@@ -53,19 +53,19 @@ def company_density(
     bandwidth: tuple[float, float] | DataFrame,
     overrides: DataFrame | None = None,
     by: Sequence[str] = ("plant",),
-    per_area: float = 1.0,
-    digits: int | None = None,
+    per_area: float = 1e6,
+    digits: int = 9,
 ) -> DataFrame:
     """Where companies concentrate: density per grid node and its band, in metres of the national grid.
 
     ``addressed`` has one row per company and selected code, so a company
     with several codes weighs several times. Addresses not found take no part.
-    Density is per ``per_area`` square metres.
+    Density is per ``per_area`` square metres, by default per square
+    kilometre, rounded so that equal nodes compare equal.
     """
     found = with_rd(locate(addressed, register, overrides).where(F.col("longitude").isNotNull()))
     grid = kernel_density(found, by, "rd_x", "rd_y", step, bandwidth)
-    scaled = F.col("density") * F.lit(per_area)
-    grid = grid.withColumn("density", scaled if digits is None else F.round(scaled, digits))
+    grid = grid.withColumn("density", F.round(F.col("density") * F.lit(per_area), digits))
     return density_bands(found, grid, by, "rd_x", "rd_y", step)
 
 
