@@ -83,3 +83,76 @@ def test_result_does_not_depend_on_partitions(spark, skewed, lookup, rows, name)
         seen.append(rows(CASES[name](skewed.repartition(n), lookup)))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert seen[0] == seen[1] == seen[2]
+
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Limits low enough that the small hot key counts as skewed, as a big one does by default."""
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for key, value in SKEW_CONF.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def big_skew(spark):
+    """Two thirds of the rows under one key and without a key, written by 16 tasks."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), (F.col("id") % 500).cast("string")))
+    return spark.range(0, 120_000, 1, 16).select("id", key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+@pytest.mark.parametrize(
+    "name, n",
+    [("null_safe", 120_000), ("members", 80_000), ("full", 120_001)],
+)
+def test_hot_key_is_split_at_run_time(spark, small_limits, big_skew, name, n):
+    lookup = spark.createDataFrame([(f"k{i}", i) for i in range(500)] + [("hot", -1)] + ([("x", -2)] if name == "full" else [(None, -3)]), "k string, w int")
+    run = {
+        "null_safe": lambda: joins.null_safe_join(big_skew, lookup, ["k"]),
+        "members": lambda: joins.in_set(big_skew, lookup.where("k is null or k = 'hot'"), ["k"]),
+        "full": lambda: joins.full_merge(big_skew, lookup.where("k like 'k%' or k = 'hot' or k = 'x'"), ["k"]),
+    }[name]
+    df = run()
+    text = final_plan(df)
+    assert "SortMergeJoin(skew=true)" in text or "ShuffledHashJoin(skew=true)" in text
+    got = df.count()
+    # The merge also returns lookup keys that no row has.
+    extra = 0 if name != "full" else lookup.where("k like 'k%'").join(big_skew, ["k"], "left_anti").count()
+    assert got == n + extra
+
+
+def test_hot_cell_is_split_at_run_time(spark, small_limits):
+    from tracewater.operators.spatial import points_in_polygons
+
+    spread = F.pmod(F.xxhash64("id"), F.lit(4000)).cast("double")
+    points = spark.range(0, 60_000, 1, 16).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 5.0).otherwise(spread).alias("px"),
+        F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.pmod(spread * 7, F.lit(4000.0))).alias("py"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    )
+    corner = lambda x, y: F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y"))
+    area = spark.range(1).select(
+        F.lit("a").alias("plant"), F.array(F.array(corner(0, 0), corner(10, 0), corner(10, 10), corner(0, 10))).alias("rings")
+    )
+    df = points_in_polygons(points, "px", "py", area, "rings", ["plant"], 100.0)
+    assert "(skew=true)" in final_plan(df)
+    inside = points.where("px between 0 and 10 and py between 0 and 10").count()
+    assert df.count() == inside >= 20_000

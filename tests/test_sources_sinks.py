@@ -121,3 +121,18 @@ def test_stage_and_shared_folder(spark, frame):
     staged = sinks.write_stage(frame("a int", (1,), (2,)), folder)
     assert staged.count() == 2
     assert "FileScan parquet" in staged._jdf.queryExecution().toString()
+
+
+def test_shared_folder_follows_the_cluster_setting():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+        def set(self, key, value):
+            self[key] = value
+
+    class Session:
+        conf = Conf({"spark.checkpoint.dir": "hdfs://shared/checkpoints/"})
+
+    assert shared_folder(Session(), "bridge").startswith("hdfs://shared/checkpoints/bridge-")
+    assert "tracewater.shared.dir" not in Session.conf
