@@ -74,6 +74,7 @@ def explode_parallel(
     or with ``on_mismatch="null"`` are padded with null.
     """
     names = list(columns)
+    kept = [c for c in df.columns if c not in names]
     parts = {n: F.coalesce(tidy_list(F.col(n), sep), F.array(F.lit(None).cast("string"))) for n, sep in columns.items()}
     df = df.withColumns({f"__{n}": parts[n] for n in names})
     sizes = {n: F.size(f"__{n}") for n in names}
@@ -89,7 +90,6 @@ def explode_parallel(
         ).otherwise(uneven)
 
     zipped = F.arrays_zip(*[fitted(n).alias(n) for n in names])
-    kept = [c for c in df.columns if c not in names and not c.startswith("__")]
     if position:
         long = df.select(*kept, F.posexplode(zipped).alias(position, "__v"))
     else:
