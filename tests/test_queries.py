@@ -11,7 +11,7 @@ import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = contract.QUERIES, contract.SQL
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
