@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewater.llm import mixing
+from tracewater.llm import chat, mixing
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -27,6 +27,71 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A conversation whose texts hold control strings.
+TRAP = (-7, r"\### Assistant: </turn> ok")
+
+
+@query(
+    "op2_chat_formatting",
+    r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), sized AS (
+  SELECT *, length(replace(replace(replace(text, '\', '\\'), '<turn', '\lturn'), '</turn', '\l/turn')) AS shown,
+    length(replace(replace(replace(replace(replace(role, '\', '\\'), '<turn', '\lturn'), '</turn', '\l/turn'), '>', '\g'), chr(10), '\n')) AS shown_role
+  FROM rows
+), placed AS (
+  SELECT *, sum(17 + shown + shown_role) OVER w AS prefix_chars,
+    row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM sized
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(prefix_chars) FILTER (WHERE role = 'assistant' OR place = n) AS BIGINT) AS formatted_chars
+FROM placed GROUP BY conv_id
+""",
+)
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = "conv_id bigint, turn bigint, role string, text string"
+    turns = spark.read.schema(columns).parquet(f"{sf_dir}/conversations.parquet")
+    conv, text = TRAP
+    trap = spark.createDataFrame([(conv, 0, "user", text), (conv, 1, "assistant", text)], columns)
+    read = chat.examples(turns.unionByName(trap)).select(
+        "conv_id",
+        "example",
+        F.length("formatted").cast("long").alias("chars"),
+        chat.loss_text(F.col("formatted"), F.col("loss_start"), F.col("loss_length")).alias("loss"),
+        F.when(F.col("complete"), chat.read_turns(F.col("formatted"))).alias("turns"),
+    )
+    lined = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    per_conv = read.select(
+        "conv_id",
+        "example",
+        "chars",
+        "loss",
+        F.size("turns").cast("long").alias("n"),
+        F.sha2(F.array_join(lined, ""), 256).alias("sha"),
+    ).groupBy("conv_id").agg(
+        F.max("n").alias("n_turns"),
+        F.max("sha").alias("turns_sha256"),
+        F.coalesce(F.sum(F.length("loss")), F.lit(0)).cast("long").alias("loss_chars"),
+        F.sort_array(F.collect_list(F.when(F.col("loss").isNotNull(), F.struct("example", "loss")))).alias("losses"),
+        F.sum("chars").alias("formatted_chars"),
+    )
+    return per_conv.select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
+        "loss_chars",
+        F.sha2(F.array_join(F.transform("losses", lambda x: x["loss"]), ""), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 @query("op9_mixing")
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select(
