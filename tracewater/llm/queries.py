@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewater.llm import chat, mixing
+from tracewater.llm import chat, fingerprints, mixing
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -92,6 +92,37 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = documents(spark, sf_dir).select(
+        "doc_id",
+        F.coalesce("text", F.lit("")).alias("text"),
+        fingerprints.sketch(fingerprints.anchors(F.col("text"))).alias("sketch"),
+    )
+    stretches = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paired = fingerprints.with_next(own, "doc_id", ["text", "sketch"], stretches)
+    cut = F.floor(F.length("text") / 3).cast("int")
+    edited = paired.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.concat(
+            F.substring("text", F.lit(1), F.length("text") - cut), F.substring("following.text", F.lit(1), cut)
+        ).alias("edited"),
+        "sketch",
+        F.col("following.sketch").alias("next_sketch"),
+    )
+    sketched = edited.withColumn("edited_sketch", fingerprints.sketch(fingerprints.anchors(F.col("edited"))))
+    return sketched.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 @query("op9_mixing")
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select(
