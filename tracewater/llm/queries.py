@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewater.llm import chat, fingerprints, mixing
+from tracewater.llm import chat, fingerprints, mixing, quality
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -92,6 +92,18 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.schema("doc_id bigint, quality int, toxic int").parquet(f"{sf_dir}/labels.parquet")
+    weights = quality.fit(docs.filter(quality.fold(F.col("doc_id"), 3) != 1), labels)
+    scored = quality.score(docs, weights).drop("text")
+    held_out = F.coalesce(quality.fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @query("op7_fingerprints")
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = documents(spark, sf_dir).select(
