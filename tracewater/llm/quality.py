@@ -50,6 +50,10 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int):
     starts, ends = texts.words(data)
     hashed = texts.stretch_hash(texts.prefix(data), starts, ends)
     yield (hashed >> np.uint64(64 - bits)).astype(np.uint32), starts
+    again = np.zeros(len(starts), np.uint32)
+    again[1:] = hashed[1:] == hashed[:-1]
+    again[np.searchsorted(starts, offsets[:-1])[np.diff(np.searchsorted(starts, offsets)) > 0]] = 0
+    yield again + np.uint32(1), starts
 
 
 def _sparse(bits: int):
