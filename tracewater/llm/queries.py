@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewater.llm import chat, fingerprints, mixing, quality
+from tracewater.llm import chat, fingerprints, minhash, mixing, quality
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -135,6 +135,11 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_minhash")
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), width=2, percent=80)
+
+
 @query("op9_mixing")
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select(
