@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewater.llm import chat, fingerprints, minhash, mixing, quality
+from tracewater.llm import chat, fingerprints, minhash, mixing, quality, suffixes
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -104,6 +104,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return suffixes.removal_report(docs, suffixes.repeats(docs, keep="none"))
+
+
 @query("op7_fingerprints")
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = documents(spark, sf_dir).select(
