@@ -20,11 +20,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewater.llm.common import global_rank, keyed_uniform, stage, word_count
 
+_TIMES = "_times_taken"
 EDGE = 1e-9  # a fraction this near to 0 or 1 is whole
 
 
@@ -171,22 +172,15 @@ def apply_mix(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """``docs`` with every row as often as the mix takes it; columns of ``docs``."""
     key = ["doc_id", "text_hash", "source"]
     taken = decisions.groupBy(*key).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_m")).filter("_copies > 0")
-    keyed = docs.withColumn("_hash", F.xxhash64("text"))
-    joined = keyed.alias("a").join(
+    joined = docs.alias("a").join(
         taken.alias("b"),
-        F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a._hash") == F.col("b.text_hash"))
+        F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64("a.text") == F.col("b.text_hash"))
         & F.col("a.source").eqNullSafe(F.col("b.source")),
     )
+    single = joined.filter("b._m = 1").select("a.*", F.sequence(F.lit(1).cast("long"), "b._copies").alias(_TIMES))
     # m equal rows share the copies: the first ones take one more where they don't divide evenly.
-    single = joined.filter("_m = 1").select("a.*", F.col("_copies").alias("_take"))
-    from pyspark.sql import Window
-
-    nth = F.row_number().over(Window.partitionBy("a.doc_id", "a._hash", "a.source").orderBy(F.lit(1)))
-    share = F.floor(F.col("_copies") / F.col("_m")) + (nth <= F.col("_copies") % F.col("_m")).cast("long")
-    several = joined.filter("_m > 1").select("a.*", share.alias("_take"))
-    return (
-        single.unionByName(several)
-        .filter("_take > 0")
-        .withColumn("_take", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_take").cast("long"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    nth = F.row_number().over(Window.partitionBy("a.doc_id", "b.text_hash", "a.source").orderBy(F.lit(1)))
+    share = F.floor(F.col("b._copies") / F.col("b._m")) + (nth <= F.col("b._copies") % F.col("b._m")).cast("long")
+    numbered = joined.filter("b._m > 1").select("a.*", share.cast("long").alias(_TIMES))
+    several = numbered.filter(F.col(_TIMES) > 0).withColumn(_TIMES, F.sequence(F.lit(1).cast("long"), F.col(_TIMES)))
+    return single.unionByName(several).withColumn(_TIMES, F.explode(_TIMES)).drop(_TIMES)

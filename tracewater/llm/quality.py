@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewater.llm import texts
 
@@ -125,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     return train(order, bits, seed=seed)
 
 
-def _scored(weights, bits: int, keep: list[str]):
+def _scored(weights, bits: int, keep: list[str], name: str):
     def of(batches):
         numbers = weights.value
         for rows, data, offsets in texts.blocks(batches):
@@ -133,14 +134,13 @@ def _scored(weights, bits: int, keep: list[str]):
             for bucket, at in features(data, offsets, bits):
                 total += texts.per_text(numbers[bucket], at, offsets)
                 n += np.diff(np.searchsorted(at, offsets))
-            yield texts.table(rows, keep, score=1 / (1 + np.exp(-np.clip(total / n, -50, 50))))
+            yield texts.table(rows, keep, **{name: 1 / (1 + np.exp(-np.clip(total / n, -50, 50)))})
 
     return of
 
 
-def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
-    """``docs`` with ``score``: how likely label 1 is (0 to 1)."""
+def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name``, which they must not have yet: how likely label 1 is (0 to 1)."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    schema = docs.drop("score").schema.add("score", "double")
-    plain = docs.drop("score")
-    return plain.mapInArrow(_scored(shared, bits, plain.columns), schema)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.mapInArrow(_scored(shared, bits, docs.columns, name), schema)

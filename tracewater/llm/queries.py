@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewater.llm import chat, fingerprints, minhash, mixing, quality, suffixes
+from tracewater.llm import chat, fingerprints, minhash, mixing, pieces, quality, suffixes
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -151,3 +151,22 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op10_pieces")
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = pieces.load(PIECE_MODEL)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    read = pieces.decode(pieces.encode(docs, tables), tables)
+    text = F.coalesce("text", F.lit(""))
+    return read.select(
+        "doc_id",
+        F.length(text).cast("long").alias("n_chars"),
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join("ids", " "), 256).alias("pieces_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == text).alias("lossless"),
+    )

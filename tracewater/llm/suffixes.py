@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewater.llm import texts
-from tracewater.llm.common import stage
+from tracewater.llm.common import fresh, stage
 
 LENGTH, GRAM, MANY = 200, 32, 2000
 _PLACE = np.uint64((1 << 28) - 1)
@@ -322,12 +322,12 @@ def _joined(spans: list[dict], n: int) -> list[tuple[int, int]]:
     return out
 
 
-def _applied(columns: list[str], digest: bool):
+def _applied(columns: list[str], name: str, digest: bool):
     def of(batches):
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 n_bytes, n_removed, n_spans, kept = [], [], [], []
-                for text, spans in zip(part.column("text"), part.column("spans"), strict=True):
+                for text, spans in zip(part.column("text"), part.column(name), strict=True):
                     raw = (text.as_py() or "").encode()
                     cut = _joined(spans.as_py(), len(raw))
                     edges = [0, *[x for s in cut for x in s], len(raw)]
@@ -350,20 +350,21 @@ def _applied(columns: list[str], digest: bool):
     return of
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    lists = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    own = lists.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text"), "spans")
-    return hashed.join(own, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_text")), "left")
+def _with_spans(docs: DataFrame, spans: DataFrame, name: str) -> DataFrame:
+    lists = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias(name))
+    own = lists.select(F.col("doc_id").alias("b_doc"), F.col("text_hash").alias("b_text"), name).alias("b")
+    hashed = F.xxhash64(F.coalesce(F.col("a.text"), F.lit("")))
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.b_doc")) & (hashed == F.col("b.b_text"))
+    return docs.alias("a").join(own, same, "left").select("a.*", f"b.{name}")
 
 
 def apply_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with the spans cut out of ``text``; all its columns, in order."""
-    joined = _with_spans(docs, spans).select(*docs.columns, "spans")
-    return joined.mapInArrow(_applied(docs.columns, False), docs.schema)
+    name = fresh(docs, "spans")
+    return _with_spans(docs, spans, name).mapInArrow(_applied(docs.columns, name, False), docs.schema)
 
 
 def removal_report(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row, of the exact bytes."""
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return _with_spans(docs.select("doc_id", "text"), spans).select("doc_id", "text", "spans").mapInArrow(_applied([], True), schema)
+    return _with_spans(docs.select("doc_id", "text"), spans, "spans").mapInArrow(_applied([], "spans", True), schema)
