@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewater.llm import chat, fingerprints, minhash, mixing, pieces, quality, suffixes
+from tracewater.llm import chat, chunks, fingerprints, minhash, mixing, pieces, quality, suffixes
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -27,6 +27,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op1_chunk_dedup")
+def op1_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    cut = chunks.without_copies(docs, chunks.later_copies(docs))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + F.col("n_removed")
+    return cut.select("doc_id", n_bytes.alias("n_bytes"), "n_removed", "n_spans", "copied_from", "text")
+
+
 # A conversation whose texts hold control strings.
 TRAP = (-7, r"\### Assistant: </turn> ok")
 

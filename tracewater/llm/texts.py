@@ -93,11 +93,11 @@ def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return change[0::2], change[1::2]  # a block begins and ends with a space
 
 
-def prefix(data: np.ndarray) -> np.ndarray:
-    """Running polynomial sums, from which any stretch's hash follows."""
+def prefix(data: np.ndarray, values: np.ndarray = BYTE) -> np.ndarray:
+    """Running polynomial sums, from which any stretch's hash follows; ``values``: a number for each byte."""
     out = np.empty(len(data) + 1, np.uint64)
     out[0] = 0
-    np.cumsum(BYTE[data] * powers_to(BASE, len(data)), out=out[1:])
+    np.cumsum(values[data] * powers_to(BASE, len(data)), out=out[1:])
     return out
 
 
