@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewater.llm import chat, chunks, fingerprints, minhash, mixing, pieces, quality, suffixes
+from tracewater.llm import chat, chunks, fingerprints, forest, minhash, mixing, pieces, quality, suffixes
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -100,6 +100,12 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_forest")
+def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.schema("vec_id bigint, embedding array<float>").parquet(f"{sf_dir}/embeddings.parquet")
+    return forest.search(vectors, F.col("vec_id") % 20 == 0)
+
+
 @query("op5_quality")
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
