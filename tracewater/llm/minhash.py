@@ -14,8 +14,9 @@ centre only (the member whose coordinate values are the most common ones);
 collisions are counted over whole signatures, pairs below the threshold go,
 and the others are confirmed on their full sets. Where a list then still spans
 several components, its members outside the centre's component are compared
-with all its members, in blocks of ``BLOCK`` by ``BLOCK``: collisions first,
-then full sets. Two members of the centre's component need no comparison, since
+with all its members: collisions first, in blocks of ``WIDE`` by ``WIDE``
+signatures, then the full sets of those that meet, in blocks of ``BLOCK`` by
+``BLOCK``. Two members of the centre's component need no comparison, since
 a link between them changes nothing. So no pair that could join two components
 is left out, and no task holds more than two blocks.
 
@@ -36,7 +37,7 @@ from tracewater.llm import texts
 from tracewater.llm.common import stage
 from tracewater.llm.components import components
 
-COORDINATES, MATCHES, BLOCK = 24, 9, 512
+COORDINATES, MATCHES, BLOCK, WIDE = 24, 9, 512, 4096
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -168,6 +169,32 @@ def _links(width: int, coordinates: int, matches: int, percent: int):
     return of
 
 
+def _candidates(keys: list[str], matches: int, block: int):
+    """Task function on one wide block of signatures: the rows that meet, cut into blocks."""
+
+    def of(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        sig = np.stack([x.values.to_numpy() for x in group.column("signature")])
+        left = group.column("is_left").to_numpy()
+        comps = group.column("component").to_numpy()
+        sides = [np.flatnonzero(left), np.flatnonzero(~left)]
+        take, at_u, at_v = [], [], []
+        for u, l_at in enumerate(np.array_split(sides[0], -(-len(sides[0]) // block) or 1)):
+            for v, r_at in enumerate(np.array_split(sides[1], -(-len(sides[1]) // block) or 1)):
+                count = np.zeros((len(l_at), len(r_at)), np.int8)
+                for j in range(sig.shape[1]):
+                    count += sig[l_at, j][:, None] == sig[r_at, j][None, :]
+                meet = (count >= matches) & (comps[l_at][:, None] != comps[r_at][None, :])
+                rows = np.concatenate([l_at[meet.any(axis=1)], r_at[meet.any(axis=0)]])
+                take.append(rows)
+                at_u.append(np.full(len(rows), u))
+                at_v.append(np.full(len(rows), v))
+        rows = group.select([*keys, "doc_id", "component", "is_left"]).take(pa.array(np.concatenate(take)))
+        return rows.append_column("u", pa.array(np.concatenate(at_u))).append_column("v", pa.array(np.concatenate(at_v)))
+
+    return of
+
+
 def _confirm(docs: DataFrame, blocks: DataFrame, width: int, coordinates: int, matches: int, percent: int) -> DataFrame:
     """Links among the documents of each block: ``key`` columns, ``doc_id, component, is_left``."""
     keys = [c for c in blocks.columns if c not in ("doc_id", "component", "is_left")]
@@ -227,8 +254,8 @@ def near_duplicates(
         known.groupBy("centre").agg(F.count("*").alias("_n"), F.count_if(F.col("component") != F.col("main")).alias("_out")).filter("_out > 0"),
         "spread",
     )
-    rights = F.ceil(F.col("_n") / block).cast("int")
-    lefts = F.ceil(F.col("_out") / block).cast("int")
+    rights = F.ceil(F.col("_n") / WIDE).cast("int")
+    lefts = F.ceil(F.col("_out") / WIDE).cast("int")
     own_right, own_left = F.pmod(F.xxhash64("doc_id"), rights).cast("int"), F.pmod(F.xxhash64("doc_id"), lefts).cast("int")
     l_rows = outside.join(sizes, "centre").select(
         "centre", own_left.alias("i"), F.explode(F.sequence(F.lit(0), rights - 1)).alias("j"), "doc_id", "component", F.lit(True).alias("is_left")
@@ -236,7 +263,15 @@ def near_duplicates(
     r_rows = known.join(sizes, "centre").select(
         "centre", F.explode(F.sequence(F.lit(0), lefts - 1)).alias("i"), own_right.alias("j"), "doc_id", "component", F.lit(False).alias("is_left")
     )
-    more = stage(_confirm(docs, l_rows.unionByName(r_rows), *setup), "near")
+    wide = l_rows.unionByName(r_rows).join(heads, "doc_id")
+    meeting = stage(
+        wide.groupBy("centre", "i", "j").applyInArrow(
+            _candidates(["centre", "i", "j"], matches, block),
+            "centre long, i int, j int, doc_id long, component long, is_left boolean, u long, v long",
+        ),
+        "meeting",
+    )
+    more = stage(_confirm(docs, meeting, *setup), "near")
     if more.limit(1).count():
         roots = components(links.unionByName(more))
     named = stage(

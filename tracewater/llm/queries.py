@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewater.llm import chat, chunks, fingerprints, forest, minhash, mixing, pieces, quality, suffixes
+from tracewater.llm import chat, chunks, fingerprints, forest, minhash, mixing, pieces, quality, suffixes, suffixtree
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -100,6 +100,12 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_suffix_tree")
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(quality.fold(F.col("doc_id"), 5) == 1, F.lit(False))
+    return suffixtree.score(documents(spark, sf_dir), held_out)
+
+
 @query("op4_forest")
 def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.schema("vec_id bigint, embedding array<float>").parquet(f"{sf_dir}/embeddings.parquet")
