@@ -65,9 +65,11 @@ def test_address_shows_missing_parts(frame):
 
 
 def test_comma_decimal(frame):
-    df = frame("i int, v double", (0, 7498.12), (1, 100.0), (2, 0.0), (3, -0.25), (4, 1e10), (5, None), (6, 1e-4))
+    df = frame("i int, v double", (0, 7498.12), (1, 100.0), (2, 0.0), (3, -0.25), (4, 1e10), (5, None), (6, 1e-4),
+               (7, 4e-16), (8, -1.23456789e-12), (9, 1.7976931348623157e308), (10, -0.0), (11, float("nan")))
     got = [r[0] for r in df.orderBy("i").select(text.comma_decimal(F.col("v"))).collect()]
-    assert got == ["7498,12", "100", "0", "-0,25", "10000000000", None, "0,0001"]
+    assert got == ["7498,12", "100", "0", "-0,25", "10000000000", None, "0,0001",
+                   "0,0000000000000004", "-0,00000000000123456789", "17976931348623157" + "0" * 292, "0", "NaN"]
 
 
 def test_dates(frame):

@@ -134,13 +134,9 @@ def test_pivot_measures_without_a_status(frame, rows):
     assert rows(wide) == [(1, None, 4, None, 2, None, 1), (2, None, 5, None, 1, None, 1)]
 
 
-def test_pivot_flags_and_code_values(frame, rows):
+def test_pivot_flags(frame, rows):
     df = frame("id int, code string", (1, "20.1"), (1, "01.1"), (2, "20.1"), (2, None))
-    codes = reshape.code_values(df, "code")
-    assert codes == ["01.1", "20.1"]
-    assert rows(reshape.pivot_flags(df, ["id"], "code", codes)) == [(1, 1, 1), (2, None, 1)]
-    with pytest.raises(ValueError, match="long form"):
-        reshape.code_values(df, "code", limit=1)
+    assert rows(reshape.pivot_flags(df, ["id"], "code", ["01.1", "20.1"])) == [(1, 1, 1), (2, None, 1)]
 
 
 def test_group_text_puts_single_substances_first(frame, rows):

@@ -138,6 +138,23 @@ def test_hot_key_is_split_at_run_time(spark, small_limits, big_skew, name, n):
     assert got == n + extra
 
 
+def test_marks_of_missing_and_hot_keys_are_split_at_run_time(spark, small_limits, big_skew):
+    df = first.mark_duplicates(big_skew, ["k"], "again", known_flag="again_known")
+    text = final_plan(df)
+    assert "(skew=true)" in text and text.count("SortMergeJoin") + text.count("ShuffledHashJoin") == 1
+    counted = df.groupBy(F.col("k").isNull().alias("missing")).agg(F.count_if("again"), F.count_if("again_known"))
+    assert {tuple(r) for r in counted.collect()} == {(True, 40_000, 0), (False, 80_000, 80_000)}
+
+
+def test_top_k_on_double_sums_keeps_its_rows(spark):
+    rows = spark.range(30_000).select((F.col("id") % 40).alias("g"), (F.col("id") % 1000 / 3.0).alias("v"))
+    got = []
+    for n in (1, 7, 64):
+        totals = rows.repartition(n).groupBy("g").agg(F.sum("v").alias("total")).withColumn("one", F.lit(1))
+        got.append(first.top_k_with_ties(totals, ["one"], ["-total"], 5).count())
+    assert min(got) >= 5
+
+
 def test_hot_cell_is_split_at_run_time(spark, small_limits):
     from tracewater.operators.spatial import points_in_polygons
 

@@ -135,4 +135,50 @@ def test_shared_folder_follows_the_cluster_setting():
         conf = Conf({"spark.checkpoint.dir": "hdfs://shared/checkpoints/"})
 
     assert shared_folder(Session(), "bridge").startswith("hdfs://shared/checkpoints/bridge-")
+
+    class Dir:
+        def __init__(self, value):
+            self.value = value
+
+        def isDefined(self):  # noqa: N802
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+    def bare(master, checkpoint_dir):
+        inner = type("Inner", (), {"getCheckpointDir": lambda self: Dir(checkpoint_dir)})()
+        outer = type("Outer", (), {"sc": lambda self: inner})()
+        context = type("Context", (), {"_jsc": outer, "master": master})()
+        return type("Bare", (), {"conf": Conf(), "sparkContext": context})()
+
+    assert shared_folder(bare("spark://host:7077", "hdfs://set/dir"), "x").startswith("hdfs://set/dir/x-")
+    for master in ("spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            shared_folder(bare(master, None), "x")
+    assert "tracewater-" in shared_folder(bare("local[2]", None), "x")
     assert "tracewater.shared.dir" not in Session.conf
+
+
+def test_columns_go_by_name_in_any_order(spark, tmp_path, rows):
+    folder = tmp_path / "named"
+    folder.mkdir()
+    (folder / "a.txt").write_text('\ufeffName;CAS  RN\n"say ""hi""; now";1\nNA;2\n', encoding="utf-8")
+    (folder / "b.txt").write_text("CAS  RN;Name;Extra\n3;y;z\n", encoding="utf-8")
+    (folder / "c.txt").write_text("CAS  RN\n4\n", encoding="utf-8")
+    names = {"CAS  RN": "cas", "Name": "name"}
+    got = readers.scan_delimited(spark, str(folder), schemas.struct("cas name"), sep=";", file_column=None, names=names, optional=["name"])
+    assert rows(got) == [("1", 'say "hi"; now'), ("2", None), ("3", "y"), ("4", None)] or set(rows(got)) == {
+        ("1", 'say "hi"; now'), ("2", None), ("3", "y"), ("4", None)
+    }
+    with pytest.raises(ValueError, match="name"):
+        readers.scan_delimited(spark, str(folder), schemas.struct("cas name"), sep=";", names=names)
+
+
+def test_comma_csv_round_trip_of_quotes(spark, frame, tmp_path, rows):
+    df = frame("id string, v double", ('a "b"; c', 4e-16), ("NA?", None))
+    sinks.write_comma_csv(df, str(tmp_path / "q"))
+    raw = "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "q").glob("*.csv"))
+    assert '"a ""b""; c"' in raw and "0,0000000000000004" in raw
+    back = readers.scan_delimited(spark, str(tmp_path / "q"), schemas.struct("id v"), sep=";", file_column=None)
+    assert set(rows(back)) == {('a "b"; c', "0,0000000000000004"), ("NA?", None)}

@@ -149,7 +149,7 @@ def test_density_against_numpy_and_mass(spark):
         nodes = [(ix, iy) for p, ix, iy in got if p == plant]
         for ix, iy in nodes[:200]:
             u, v = (ix * step[0] - own[:, 0]) / h[0], (iy * step[1] - own[:, 1]) / h[1]
-            near = (abs(u) <= density.REACH + 1e-9) & (abs(v) <= density.REACH + 1e-9)
+            near = (abs(u) <= 4.0 + 1e-9) & (abs(v) <= 4.0 + 1e-9)
             want = (np.exp(-(u**2 + v**2) / 2) * near).sum() / (2 * math.pi * h[0] * h[1]) / len(own)
             assert got[(plant, ix, iy)] == pytest.approx(want, rel=1e-9)
         mass = sum(d for (p, _, _), d in got.items() if p == plant) * step[0] * step[1]
@@ -178,7 +178,21 @@ def test_bandwidth_per_group(spark):
     assert density.kernel_density(df, ["plant"], "x", "y", (4.0, 8.0), h).count() > 0
 
 
-def test_fine_grid_is_refused(spark):
+def test_fixed_and_framed_bandwidth_agree_on_a_fine_grid(spark):
     df = spark.createDataFrame([("a", 0.0, 0.0)], "plant string, x double, y double")
-    with pytest.raises(ValueError, match="coarser"):
-        density.kernel_density(df, ["plant"], "x", "y", (0.001, 0.001), (10.0, 10.0))
+    frame = spark.createDataFrame([("a", 30.0, 30.0)], "plant string, h_x double, h_y double")
+    fixed = density.kernel_density(df, ["plant"], "x", "y", (1.0, 1.0), (30.0, 30.0))
+    framed = density.kernel_density(df, ["plant"], "x", "y", (1.0, 1.0), frame)
+    assert fixed.count() == framed.count() == 241 * 241
+    assert density.kernel_density(df, ["plant"], "x", "y", (1.0, 1.0), (30.0, 30.0), reach=1.0).count() == 61 * 61
+
+
+def test_band_levels_equal_quantiles_with_one_crowded_plant(spark):
+    rng = np.random.default_rng(3)
+    rows = [("crowded", float(x), float(y)) for x, y in rng.integers(0, 40, (900, 2))] + [("small", 1.0, 2.0), ("small", 3.0, 2.0)]
+    df = spark.createDataFrame(rows, "plant string, x double, y double")
+    counts = df.groupBy("plant", F.col("x").alias("v")).agg(F.count("*").alias("__n"))
+    got = {r[0]: r[1] for r in density._quantiles(counts, ["plant"], "v", [0.1, 0.5, 0.9]).collect()}
+    for plant in ("crowded", "small"):
+        want = np.quantile([r[1] for r in rows if r[0] == plant], [0.1, 0.5, 0.9])
+        assert got[plant] == pytest.approx(list(want))

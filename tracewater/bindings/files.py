@@ -17,15 +17,27 @@ from tracewater.sources.schemas import struct
 
 @query(
     "scan_files_provenance",
-    """SELECT o_orderkey::VARCHAR AS o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority, o_orderstatus AS listed_in FROM orders""",
+    """SELECT o_orderkey::VARCHAR AS o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority,
+              CASE WHEN o_orderstatus <> 'P' THEN 'said "' || o_custkey || '"; twice' END AS note, o_orderstatus AS listed_in
+       FROM orders""",
 )
 def scan_files_provenance(spark, sf):
+    """Files in two column orders, one kind without notes, with separators, quotes and ``NA`` in cells."""
     folder = shared_folder(spark, "lists")
     orders = table(spark, sf, "orders").select(
-        "o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"), F.col("o_orderstatus").alias("list")
+        F.col("o_orderkey").alias("Order  key"),
+        F.coalesce(F.nullif("o_orderpriority", F.lit("5-LOW")), F.lit("NA")).alias("Priority"),
+        F.concat(F.lit('said "'), "o_custkey", F.lit('"; twice')).alias("Note"),
+        F.col("o_orderstatus").alias("list"),
+    )
+    shapes = {"O": ["Order  key", "Priority", "Note"], "P": ["Order  key", "Priority"], "F": ["Note", "Priority", "Order  key"]}
+    for status, columns in shapes.items():
+        rows = orders.where(F.col("list") == status).select(columns)
+        rows.write.csv(f"{folder}/list={status}", sep=";", header=True, escape='"')
+    names = {"Order  key": "o_orderkey", "Priority": "priority", "Note": "note"}
+    found = readers.scan_delimited(
+        spark, folder, struct("o_orderkey priority note"), pattern="*.csv", sep=";", names=names, optional=["note"]
     )
-    sinks.write_per_value(orders.fillna("NA", ["priority"]), folder, "list", "csv", sep="\t", header=True)
-    found = readers.scan_delimited(spark, folder, struct("o_orderkey priority"), pattern="*.csv")
     return readers.scan_with_name_part(found, "listed_in", "/list=([^/]+)/")
 
 
@@ -41,11 +53,11 @@ def scan_ragged_header(spark, sf):
 
 @query("scan_landed_sheet", "SELECT s_suppkey::VARCHAR AS code, s_name AS name, s_acctbal AS balance FROM supplier")
 def scan_landed_sheet(spark, sf):
-    """Sheets with two title lines above the header, none longer than a sheet can be."""
+    """Sheets with two title lines above the header."""
     folder = shared_folder(spark, "sheets")
     line = F.concat_ws(";", F.col("s_suppkey").cast("string"), "s_name", F.col("s_acctbal").cast("string"))
     titles = "Bijlage\n\ncode;name;balance"
-    writer = table(spark, sf, "supplier").select(line.alias(titles)).write.option("maxRecordsPerFile", 1_000_000)
+    writer = table(spark, sf, "supplier").select(line.alias(titles)).write
     writer.csv(folder, sep="\u0001", quote="\u0000", header=True)
     return readers.scan_landed(spark, folder, struct("code name balance:d"), preamble=2)
 
@@ -133,6 +145,24 @@ def geojson_features(spark, sf):
     return with_box(found.withColumn("n_rings", F.size("rings")), "rings").drop("rings")
 
 
+@query("geojson_collection", "SELECT postcode6, 1 AS n_rings, 1 AS first_ring FROM " + AREA_SQL)
+def geojson_collection(spark, sf):
+    """Feature collections, one per file, landed as lines first."""
+    folder = shared_folder(spark, "collections")
+    ring = F.transform(F.col("rings")[0], lambda p: F.array(p["x"], p["y"]))
+    feature = F.concat(
+        F.lit('{"type":"Feature","geometry":{"type":"Polygon","coordinates":['), F.to_json(ring), F.lit(']},"properties":'),
+        F.to_json(F.struct("postcode6")), F.lit("}"),
+    )
+    page = areas(spark, sf).select(feature.alias("f"), (F.col("postcode6") % 16).alias("page")).groupBy("page")
+    whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("f"), ","), F.lit("]}"))
+    page.agg(whole.alias("value")).select("value", "page").write.partitionBy("page").text(folder)
+    lines = readers.land_features(spark, folder, shared_folder(spark, "features"))
+    found = readers.scan_polygons(spark, lines, {"postcode6": "bigint"}, lines=True)
+    closed = (F.size(F.col("rings")[0]) > 3).cast("int")
+    return found.select("postcode6", F.size("rings").alias("n_rings"), closed.alias("first_ring"))
+
+
 @query("sink_partitioned", "SELECT o_orderkey, o_totalprice, o_orderpriority AS plant FROM orders")
 def sink_partitioned(spark, sf):
     folder = shared_folder(spark, "sink")

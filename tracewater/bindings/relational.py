@@ -351,7 +351,7 @@ def dedup_address(spark, sf):
 )
 def mark_all_duplicates(spark, sf):
     d = _digests(spark, sf).select("doc_id", F.when(F.col("source") != "src1", F.col("digest")).alias("digest"))
-    both = first.mark_duplicates(first.mark_duplicates(d, ["digest"], "repeated"), ["digest"], "repeated_known", null_is_value=False)
+    both = first.mark_duplicates(d, ["digest"], "repeated", known_flag="repeated_known")
     return both.drop("digest")
 
 

@@ -22,7 +22,3 @@ def tolerant_int(col: Column) -> Column:
 def annual_load(median: Column, digits: int = 2) -> Column:
     """Yearly load in kg from a median daily load in mg."""
     return F.round(median * F.lit(365) / F.lit(1_000_000), digits)
-
-
-def share_pct(part: Column, whole: Column, digits: int = 1) -> Column:
-    return F.round(F.when(whole > 0, 100.0 * part / whole), digits)

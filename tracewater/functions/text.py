@@ -23,7 +23,7 @@ def replace_first(col: Column, pattern: str, replacement: str) -> Column:
 
 
 def strip_suffix(col: Column, suffix: str) -> Column:
-    return F.regexp_replace(col, re.escape(suffix) + r"\z", "")
+    return F.when(F.endswith(col, F.lit(suffix)), F.left(col, F.length(col) - len(suffix))).otherwise(col)
 
 
 def wrap_label(col: Column, width: int = 30) -> Column:
@@ -66,6 +66,21 @@ def null_if_na(col: Column) -> Column:
 
 
 def comma_decimal(col: Column) -> Column:
-    """A number as text with a decimal comma, without exponent or trailing zeros."""
-    fixed = F.regexp_replace(col.try_cast("decimal(38,15)").cast("string"), r"\.?0+$", "")
-    return F.translate(F.coalesce(fixed, col.cast("string")), ".", ",")
+    """A number as text with a decimal comma, without exponent or trailing zeros.
+
+    Built from the number's own shortest text, so no digit is lost.
+    """
+    shown = col.cast("string")
+    exponent = F.coalesce(F.nullif(F.regexp_extract(shown, r"E(-?\d+)$", 1), F.lit("")).cast("int"), F.lit(0))
+    body = F.regexp_replace(F.ltrim(shown, F.lit("-")), r"E-?\d+$", "")
+    whole = F.substring_index(body, ".", 1)
+    digits = F.replace(body, F.lit("."), F.lit(""))
+    point = F.length(whole) + exponent
+    plain = (
+        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .when(point >= F.length(digits), F.rpad(digits, point, "0"))
+        .otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.length(digits))))
+    )
+    short = F.when(F.contains(plain, F.lit(".")), F.regexp_replace(plain, r"\.?0+$", "")).otherwise(plain)
+    signed = F.when(F.startswith(shown, F.lit("-")) & (short != "0"), F.concat(F.lit("-"), short)).otherwise(short)
+    return F.when(body.rlike(r"^[0-9.]+$"), F.translate(signed, ".", ",")).otherwise(shown)

@@ -62,8 +62,7 @@ def match_names(df: DataFrame, column: str, patterns: Sequence[str], label: str)
     The names are given by the user, so they become literal patterns inside a
     projection: no join, and each pattern is compiled once.
     """
-    text = F.upper(F.col(column))
-    hits = F.array(*[F.when(text.rlike(p.upper()), F.lit(p)) for p in patterns])
+    hits = F.array(*[F.when(F.col(column).rlike(f"(?iu){p}"), F.lit(p)) for p in patterns])
     return df.withColumn(label, F.explode(F.filter(hits, lambda h: h.isNotNull())))
 
 

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Pair = tuple[str, str]
-_SPREAD = 64  # how many tasks null-key rows are spread over
 
 
 def key_pairs(on: Sequence[str | Pair]) -> list[Pair]:
@@ -77,6 +76,7 @@ def strict_join(
     how: str = "left",
     suffix: str = "_right",
     spread_by: Sequence[str] | None = None,
+    spread: int | None = None,
 ) -> DataFrame:
     """Join where a null key matches nothing.
 
@@ -84,14 +84,16 @@ def strict_join(
     they carry a spreading number next to the key; the right side only holds
     zeros there, and no null key can match anyway. The number is a hash of
     ``spread_by``, by default the first column that is no key, so that other
-    columns can still be pruned.
+    columns can still be pruned, below ``spread``, by default the session's
+    number of shuffle partitions.
     """
     pairs, prepared, shown = _prepare(left, right, on, suffix)
     left_keys = [l for l, _ in pairs]
     spread_by = spread_by or [c for c in left.columns if c not in left_keys][:1] or left_keys
     missing = reduce(or_, [F.col(f"`{l}`").isNull() for l in left_keys])
-    spread = F.when(missing, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread_by]), F.lit(_SPREAD)))
-    left_side = left.withColumn("__spread", F.coalesce(spread, F.lit(0).cast("bigint")))
+    width = spread or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = F.when(missing, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread_by]), F.lit(width)))
+    left_side = left.withColumn("__spread", F.coalesce(number, F.lit(0).cast("bigint")))
     right_side = prepared.dropna(subset=[_aside(r) for _, r in pairs]).withColumn(
         "__spread_r", F.lit(0).cast("bigint")
     )
@@ -153,8 +155,9 @@ def full_merge(
     one task. It is written as matches + left rest + right rest instead: the
     inner join splits on both sides, each anti join on its own side against a
     de-duplicated key list, and rows with a null key skip the shuffle. The
-    shuffled, null-free sides are the same subplans in both uses, so Spark
-    reuses their exchanges.
+    shuffled, null-free sides are the same subplans in the inner and the anti
+    joins, so Spark reuses their exchanges; the key lists and the null rows
+    read each side again, so sides that are costly should be written out first.
     """
     pairs = key_pairs(on)
     lk, rk = [l for l, _ in pairs], [r for _, r in pairs]

@@ -16,14 +16,6 @@ def pivot_flags(df: DataFrame, ids: Sequence[str], code: str, values: Sequence,
     return wide.select(*ids, *[F.col(f"`{v}`").alias(f"{prefix}{v}") for v in values])
 
 
-def code_values(df: DataFrame, code: str, limit: int = 5000) -> list:
-    """The codes that become columns. More than ``limit`` is an error, not a cut."""
-    rows = df.select(code).distinct().orderBy(code).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{code} has over {limit} values; keep the long form")
-    return [r[0] for r in rows if r[0] is not None]
-
-
 def pivot_measures(
     df: DataFrame,
     ids: Sequence[str],

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tracewater.functions.codes import code_forms
 from tracewater.operators.columns import col_range
-from tracewater.operators.first import keep_first
 from tracewater.operators.joins import in_each_column, null_safe_join
 from tracewater.operators.reshape import pivot_flags
 
@@ -82,8 +81,3 @@ def substance_code_matrix(bridge: DataFrame, codes: list[str]) -> DataFrame:
     """Wide form for a report: one row per substance, one 1/null column per listed code."""
     ids = col_range(bridge, "substance_group", bridge.columns[-1])
     return pivot_flags(bridge.select("code_decimal", *ids).distinct(), ids, "code_decimal", codes)
-
-
-def first_scores(pmt: DataFrame) -> DataFrame:
-    """One score row per CAS number, should files repeat one."""
-    return keep_first(pmt, ["cas"], ["pmt_name"], drop_null_keys=True)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import csv
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,16 +24,35 @@ def scan_delimited(
     sep: str = "\t",
     file_column: str | None = "file",
     header: bool = True,
+    names: Mapping[str, str] | None = None,
+    optional: Sequence[str] = (),
+    multi_line: bool = False,
 ) -> DataFrame:
     """All delimited files of a folder as one frame, with the source path in ``file_column``.
 
-    Names come from ``schema`` by position, so ragged or oddly spaced headers
-    do not matter. ``NA`` and empty cells are null; padding columns (leading
-    underscore) are dropped.
+    With ``names`` (header text to column, as in ``schemas.HEADERS``) columns
+    are found by each file's own header, in any order; a header without a
+    column of ``schema`` is an error, but for ``optional`` ones, which are then
+    null. Without ``names`` columns go by position, for files whose headers are
+    ragged. Quotes inside quoted cells are doubled. ``NA`` and empty cells are
+    null; padding columns (leading underscore) are dropped. ``multi_line`` allows
+    line breaks in cells, at the cost of one task per file.
     """
-    reader = spark.read.schema(schema).option("sep", sep).option("header", header).option("encoding", "UTF-8")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
+    if names is not None:
+        parts = []
+        for found, raw in _by_header(spark, folder, sep, pattern, multi_line):
+            place = {names.get(h, h): c for h, c in found.items()}
+            absent = [f.name for f in schema.fields if f.name not in place and not f.name.startswith("_")]
+            if set(absent) - set(optional):
+                raise ValueError(f"no column for {sorted(set(absent) - set(optional))} in header {list(found)}")
+            cells = [
+                _cell(F.col(place[f.name]) if f.name in place else F.lit(None), f) for f in schema.fields if not f.name.startswith("_")
+            ]
+            parts.append(raw.select(*([F.col("__file").alias(file_column)] if file_column else []), *cells))
+        if not parts:
+            raise FileNotFoundError(f"no file with a header in {folder}")
+        return reduce(DataFrame.unionByName, parts)
+    reader = _csv(spark, sep, pattern, multi_line).schema(schema).option("header", header)
     raw = reader.csv(folder)
     cells = [
         null_if_na(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
@@ -42,22 +63,62 @@ def scan_delimited(
     return raw.select(*origin, *cells)
 
 
+def _csv(spark: SparkSession, sep: str, pattern: str | None = None, multi_line: bool = False):
+    reader = spark.read.option("sep", sep).option("encoding", "UTF-8").option("escape", '"').option("multiLine", multi_line)
+    return reader.option("pathGlobFilter", pattern) if pattern else reader
+
+
+def _cell(text: Column, field: T.StructField) -> Column:
+    filled = null_if_na(text.cast("string"))
+    return (filled if isinstance(field.dataType, T.StringType) else filled.try_cast(field.dataType)).alias(field.name)
+
+
+def _first_lines(spark: SparkSession, folder: str, n: int, pattern: str | None = None) -> DataFrame:
+    """``path, line, value``: the first ``n`` lines of each file, from its first block only."""
+    reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
+    lines = reader.text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    head = lines.where(F.col("start") == 0).withColumn("place", F.monotonically_increasing_id())
+    line = F.row_number().over(Window.partitionBy("path").orderBy("place"))
+    return head.withColumn("line", line).where(F.col("line") <= n).select("path", "line", F.regexp_replace("value", "^\ufeff", "").alias("value"))
+
+
+def _by_header(
+    spark: SparkSession, folder: str, sep: str, pattern: str | None = None, multi_line: bool = False
+) -> list[tuple[dict[str, str], DataFrame]]:
+    """Files grouped by header line: header text to column, and the rows as text with their path in ``__file``.
+
+    The driver gets one line per different header and the paths under it.
+    """
+    heads = _first_lines(spark, folder, 1, pattern)
+    groups = heads.groupBy("value").agg(F.array_sort(F.collect_list("path")).alias("paths")).orderBy("value").collect()
+    out = []
+    for group in groups:
+        titles = next(csv.reader([group["value"].rstrip("\r")], delimiter=sep), [])
+        columns = [f"c{i}" for i in range(len(titles))]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        raw = _csv(spark, sep, None, multi_line).schema(schema).option("header", True).csv(group["paths"])
+        found = {t.strip(): c for t, c in zip(titles, columns, strict=True) if t.strip()}
+        out.append((found, raw.select(F.col("_metadata.file_path").alias("__file"), *columns)))
+    return out
+
+
 def scan_landed(
     spark: SparkSession, folder: str, schema: T.StructType, sep: str = ";", preamble: int = 0
 ) -> DataFrame:
     """A workbook sheet landed as delimited text, with ``preamble`` title lines above its header.
 
-    Title lines are told by their position in the file, so each file is read
-    by one task. The workbook format bounds that: a sheet holds at most 2^20
-    rows. Cells must not contain line breaks.
+    The title lines and the header are taken from each file's first block and
+    dropped from a read that splits over tasks, wherever a line equals one of
+    them. Cells must not contain line breaks.
     """
     if not preamble:
         return scan_delimited(spark, folder, schema, sep=sep, file_column=None)
-    lines = spark.read.text(folder, wholetext=True).select(
-        F.posexplode(F.split(F.regexp_replace("value", "^﻿", ""), "\r?\n")).alias("line", "value")
+    titles = _first_lines(spark, folder, preamble + 1).select("path", "value")
+    lines = spark.read.text(folder).select(
+        F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^\ufeff", "").alias("value")
     )
-    body = lines.where((F.col("line") > preamble) & (F.col("value") != ""))
-    row = F.from_csv("value", _ddl(schema), {"sep": sep})
+    body = lines.where(F.col("value") != "").join(titles, ["path", "value"], "left_anti")
+    row = F.from_csv("value", _ddl(schema), {"sep": sep, "escape": '"'})
     return body.select(row.alias("r")).select(
         *[
             (null_if_na(F.col("r")[f.name]) if isinstance(f.dataType, T.StringType) else F.col("r")[f.name]).alias(f.name)
@@ -103,22 +164,40 @@ def scan_newest_export(spark: SparkSession, folder: str, read: Callable[[str], D
     return read(newest_export(spark, folder, pattern))
 
 
-def scan_pages(spark: SparkSession, folder: str, schema: T.StructType, keys: list[str], sep: str = ";") -> DataFrame:
+def scan_pages(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    keys: list[str],
+    sep: str = ";",
+    names: Mapping[str, str] | None = None,
+    page: str = r"page\D?(\d+)",
+) -> DataFrame:
     """Landed pages of a paged service as one table; a row on two pages is kept once.
 
-    Of repeated ids the row of the first page (by path) stays.
+    Of repeated ids the row of the first page stays: by the number that
+    ``page``'s group finds in the path, then by path.
     """
-    rows = scan_delimited(spark, folder, schema, sep=sep)
+    rows = scan_delimited(spark, folder, schema, sep=sep, names={} if names is None else names)
+    number = F.nullif(F.regexp_extract("file", page, 1), F.lit("")).try_cast("bigint")
     payload = [F.col(c) for c in rows.columns if c != "file" and c not in keys]
-    return keep_first(rows, keys, ["file", *payload]).drop("file")
+    return keep_first(rows, keys, [number, "file", *payload]).drop("file")
+
+
+def _titled(spark: SparkSession, folder: str, sep: str) -> DataFrame:
+    """All files by their own headers; a column that a file lacks is null there."""
+    parts = [raw.select([F.col(c).alias(h) for h, c in found.items()]) for found, raw in _by_header(spark, folder, sep)]
+    if not parts:
+        raise FileNotFoundError(f"no file with a header in {folder}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def scan_domain_table(spark: SparkSession, folder: str, sep: str = ";") -> DataFrame:
     """A landed domain table: header rule, dates in any known form, known columns first."""
-    raw = spark.read.option("sep", sep).option("header", True).csv(folder)
-    table = rename_all(raw, domain_header)
+    table = rename_all(_titled(spark, folder, sep), domain_header)
     dates = [c for c in table.columns if "geldigheid" in c or "datum" in c]
     table = table.withColumns({c: parse_date(F.col(c)) for c in dates})
+    # The columns that domain tables share.
     lead = ["id", "codes", "cijfercode", "omschrijving", "begin_geldigheid", "eind_geldigheid"]
     known = [c for c in lead if c in table.columns]
     return table.select(*known, *[c for c in table.columns if c not in known])
@@ -126,7 +205,7 @@ def scan_domain_table(spark: SparkSession, folder: str, sep: str = ";") -> DataF
 
 def scan_domain_overview(spark: SparkSession, folder: str, sep: str = ";") -> DataFrame:
     """A landed list of domain tables: name, kind, dates, its columns as an array, guid."""
-    table = rename_all(spark.read.option("sep", sep).option("header", True).csv(folder), domain_header)
+    table = rename_all(_titled(spark, folder, sep), domain_header)
     day = {c: parse_date(F.col(c)) for c in ("wijzigingsdatum", "begin_geldigheid", "eind_geldigheid")}
     return table.select(
         F.col("voorkeurslabel").alias("domain_table"), F.col("elementtype").alias("kind"),
@@ -157,6 +236,23 @@ def scan_polygons(spark: SparkSession, folder: str, properties: dict[str, str],
     )
 
 
+def land_features(spark: SparkSession, folder: str, out: str) -> str:
+    """Feature collections, as map services deliver them, to one feature per line in ``out``.
+
+    A collection is one JSON value, so one task reads each file; the lines
+    written here split over tasks (``scan_polygons(..., lines=True)``).
+    """
+    feature = "struct<geometry: struct<type: string, coordinates: string>, properties: string>"
+    pages = spark.read.option("multiLine", True).schema(f"features array<{feature}>").json(folder)
+    f = pages.select(F.explode("features").alias("f")).select("f.*")
+    geometry = F.concat(
+        F.lit('{"type":"'), F.col("geometry.type"), F.lit('","coordinates":'), F.col("geometry.coordinates"), F.lit("}")
+    )
+    line = F.concat(F.lit('{"geometry":'), F.coalesce(geometry, F.lit("null")), F.lit(',"properties":'), F.coalesce("properties", F.lit("null")), F.lit("}"))
+    f.select(line.alias("value")).write.text(out)
+    return out
+
+
 def rings_from_coordinates(kind: Column, coordinates: Column) -> Column:
     """Coordinate text of a polygon or multipolygon to rings of ``x, y``."""
     single = F.from_json(coordinates, "array<array<array<double>>>")

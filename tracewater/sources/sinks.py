@@ -51,7 +51,7 @@ def write_comma_csv(df: DataFrame, path: str) -> None:
     first = shown.columns[0]
     shown.withColumnRenamed(first, BOM + first).write.mode("overwrite").option("sep", ";").option(
         "header", True
-    ).csv(path)
+    ).option("escape", '"').csv(path)
 
 
 def write_report(df: DataFrame, path: str, run_date: dt.date | None = None, fmt: str = "csv") -> str:
@@ -59,5 +59,5 @@ def write_report(df: DataFrame, path: str, run_date: dt.date | None = None, fmt:
     day = run_date or dt.date.today()
     folder = f"{path.rstrip('/')}/run_date={day:%Y-%m-%d}"
     writer = df.write.mode("overwrite").format(fmt)
-    (writer.option("header", True) if fmt == "csv" else writer).save(folder)
+    (writer.option("header", True).option("escape", '"') if fmt == "csv" else writer).save(folder)
     return folder
