@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewater.llm import texts
-from tracewater.llm.common import fresh, stage
+from tracewater.llm.common import bound_batches, fresh, stage
 
 LEAST, BITS, MOST, RUN = 32, 5, 256, 100
 GEAR = (texts.mix(np.arange(256, dtype=np.uint64) + np.uint64(1 << 50)) >> np.uint64(32)).astype(np.uint32)
@@ -97,6 +97,7 @@ def later_copies(docs: DataFrame, least: int = LEAST, bits: int = BITS, most: in
     """``doc_id, text`` -> ``doc_id, text_hash, lo, hi, first_doc``: chunks that stand somewhere before."""
     if least < 32:
         raise ValueError("the rolling hash looks back 32 bytes")
+    bound_batches(docs.sparkSession)
     setup = (least, bits, most)
     hashed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     counts = hashed.select("text").mapInArrow(_digests(setup), "digest long, n long")
@@ -146,7 +147,7 @@ def without_copies(docs: DataFrame, copies: DataFrame, run: int = RUN) -> DataFr
     """``docs`` with later copies cut out of ``text``, and ``n_removed`` (bytes), ``n_spans``, ``copied_from`` (doc_ids)."""
     plain = docs.drop(*ADDED)
     name = fresh(plain, "copies")
-    lists = copies.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi", "first_doc")).alias(name))
+    lists = copies.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("lo", "hi", "first_doc")).alias(name))
     own = lists.select(F.col("doc_id").alias("b_doc"), F.col("text_hash").alias("b_text"), name).alias("b")
     hashed = F.xxhash64(F.coalesce(F.col("a.text"), F.lit("")))
     same = F.col("a.doc_id").eqNullSafe(F.col("b.b_doc")) & (hashed == F.col("b.b_text"))

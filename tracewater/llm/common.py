@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewater.session import shared_folder
@@ -22,6 +22,14 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches hold at most ``rows`` rows, since each row may be a long text; smaller settings stay."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    have = int(spark.conf.get(key))
+    if have <= 0 or have > rows:
+        spark.conf.set(key, rows)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewater.llm import texts
+from tracewater.llm.common import bound_batches
 
 BITS, WIDTH, EPOCHS, RATE, SAMPLE, SEED = 18, 16, 12, 0.6, 4000, 7
 
@@ -102,6 +103,7 @@ def train(rows: list[tuple], bits: int = BITS, width: int = WIDTH, epochs: int =
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS, seed: int = SEED) -> np.ndarray:
     """Weights by bucket from at most ``sample`` labelled documents of ``docs``."""
+    bound_batches(docs.sparkSession)
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct()
     chosen = (
         docs.select("doc_id").join(usable, "doc_id").distinct()

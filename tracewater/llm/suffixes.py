@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewater.llm import texts
-from tracewater.llm.common import fresh, stage
+from tracewater.llm.common import bound_batches, fresh, stage
 
 LENGTH, GRAM, MANY = 200, 32, 2000
 _PLACE = np.uint64((1 << 28) - 1)
@@ -275,6 +275,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first", gram: in
     """``doc_id, text`` -> ``doc_id, text_hash, lo, hi``: byte spans to remove, which may overlap."""
     if keep not in ("first", "none"):
         raise ValueError(keep)
+    bound_batches(docs.sparkSession)
     hashed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     key_counts = hashed.select("text").mapInArrow(_keys(length, gram), "key long, n long")
     met = stage(key_counts.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key"), "keys")

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewater.llm import texts
-from tracewater.llm.common import stage
+from tracewater.llm.common import bound_batches, stage
 
 DEPTH, SPECIFIC, GAIN, WEIGHT, BUCKET = 4, 1e-6, 3.0, 3.0, 2_000_000
 END = np.uint64(0)  # the end symbol's key; no word hashes to it in practice
@@ -127,7 +127,7 @@ def _parts(shared, n_buckets: int, setup: tuple):
                 "doc_id": ids,
                 "held_out": rows[0],
                 "n_tokens": lengths,
-                "n_known": np.bincount(text[hit], minlength=len(lengths)),
+                "n_known": np.bincount(text[hit], m["counts"][at[hit]] > 0, len(lengths)).astype(np.int64),
                 "base": np.bincount(text[hit], np.log10((m["counts"][at[hit]] + 0.5) / m["norm"]), len(lengths)),
                 "score": np.bincount(text, np.log10(np.where(hit, m["root"][at], m["other"])), len(lengths)),
             }
@@ -275,6 +275,7 @@ def score(
     ``held_out``: condition on ``docs``; the other rows are learned from.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     split = docs.select("doc_id", "text", held_out.alias("held_out"))
     found = split.filter(~F.col("held_out")).select("text").mapInArrow(_words, "key long, n long")
     counts = stage(found.groupBy("key").agg(F.sum("n").alias("n")), "words")
@@ -283,9 +284,12 @@ def score(
     keys, n = often.column(0).to_numpy().view(np.uint64), often.column(1).to_numpy()
     order = np.argsort(keys)
     keys, n = keys[order], n[order]
+    if not total:
+        keys, n = np.array([END]), np.zeros(1, np.int64)
     norm = total + 0.5 * (distinct + 1)
     root = (n + 0.5) / norm
-    left = max(1 - root.sum(), 1e-12) / (distinct - len(keys) + 1)  # for each other word, one unknown word included
+    # For each other word, one unknown word included; without training everything is as likely.
+    left = max(1 - root.sum(), 1e-12) / (distinct - len(keys) + 1) if total else 1.0
     model = {"keys": keys, "counts": n, "share": n / max(total, 1), "root": root, "norm": norm, "other": min(left, 1.0)}
     shared = spark.sparkContext.broadcast(model)
     n_buckets = int(max(1, -(-total // bucket)))
