@@ -279,6 +279,22 @@ def substance_sbi_bridge(spark, sf):
     return _bridge(spark, sf)
 
 
+_REPORT_CODES = ["00", "01", "05", "06", "07", "08"]
+_MATRIX_IDS = (
+    "substance_group, substance, cas, name_nl, name_uk, ec_nr, smiles, emission_status, compartment, pmt_name, pmt_score, pmt_class"
+)
+
+
+@query(
+    "substance_code_matrix",
+    f"WITH {_BRIDGE_CTE} SELECT {_MATRIX_IDS}, "
+    + ", ".join(f"CAST(max(CASE WHEN code_decimal = '{c}' THEN 1 END) AS INTEGER) AS \"{c}\"" for c in _REPORT_CODES)
+    + f" FROM bridge GROUP BY {_MATRIX_IDS}",
+)
+def substance_code_matrix(spark, sf):
+    return bridge.substance_code_matrix(write_stage(_bridge(spark, sf), shared_folder(spark, "bridge")), _REPORT_CODES)
+
+
 @query("branchless_substances", f"WITH {_BRIDGE_CTE} SELECT * FROM lone")
 def branchless_substances(spark, sf):
     return bridge.branchless(navigator(spark, sf).where(F.col("substance").isNotNull()))

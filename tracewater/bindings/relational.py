@@ -221,6 +221,15 @@ def explode_multivalue(spark, sf):
     )
 
 
+@query(
+    "uneven_lists",
+    """SELECT count(*) AS n_rows, count(*) FILTER (WHERE (a <> greatest(a, b) AND a <> 1) OR (b <> greatest(a, b) AND b <> 1)) AS n_uneven
+       FROM (SELECT len(string_split(p_name, ' ')) AS a, len(string_split(p_brand, '#')) AS b FROM part)""",
+)
+def uneven_lists(spark, sf):
+    return reshape.uneven_lists(table(spark, sf, "part").select("p_name", "p_brand"), {"p_name": " ", "p_brand": "#"})
+
+
 @query(
     "agg_sum_distinct",
     """SELECT p_brand, p_type, CAST(sum(l_quantity) AS BIGINT) AS total, count(DISTINCT l_suppkey) AS unique_codes

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -38,11 +39,33 @@ class Options:
 def suspect_list(inputs: Inputs, options: Options, folder: str) -> DataFrame:
     """The delivered list, unsorted.
 
-    The bridge, the parameter list and the merged list each feed several
-    later steps. They are written to ``folder`` (shared storage) and read
-    back: each is computed once, later plans stay short, and a lost executor
-    costs a re-read.
+    The bridge, the parameter list, both sides of the merge and the merged
+    list each feed several later steps. They are written to ``folder`` (shared
+    storage) and read back: each is computed once, later plans stay short, and
+    a lost executor costs a re-read. The emissions need none of the others, so
+    they run beside them.
     """
+    with ThreadPoolExecutor(1) as beside:
+        emissions = beside.submit(
+            lambda: write_stage(
+                emission.emission_union(
+                    inputs.register,
+                    inputs.measurements,
+                    inputs.register_codes,
+                    inputs.parameters,
+                    options.year,
+                    options.load_digits,
+                ),
+                f"{folder}/emissions",
+            )
+        )
+        scores, listed, use = _expected_use(inputs, options, folder)
+        merged = write_stage(suspects.merged_suspects(use, emissions.result()), f"{folder}/merged")
+    classified = suspects.classify(suspects.enrich_compounds(merged.select("cas"), inputs.compounds))
+    return suspects.final_list(merged, classified, listed, scores)
+
+
+def _expected_use(inputs: Inputs, options: Options, folder: str) -> tuple[list[str], DataFrame, DataFrame]:
     scores = [c for c in inputs.pmt.columns if c != "cas"]
     linked = write_stage(
         bridge.substance_bridge(inputs.navigator, inputs.names, inputs.pmt, inputs.activity), f"{folder}/bridge"
@@ -50,16 +73,5 @@ def suspect_list(inputs: Inputs, options: Options, folder: str) -> DataFrame:
     listed = write_stage(
         suspects.parameter_list(linked, inputs.parameters, options.listed_by), f"{folder}/parameter_list"
     )
-    use = write_stage(
-        region.region_suspects(inputs.companies, inputs.selection, linked, scores, dict(options.statuses)),
-        f"{folder}/region",
-    )
-    emissions = write_stage(
-        emission.emission_union(
-            inputs.register, inputs.measurements, inputs.register_codes, inputs.parameters, options.year, options.load_digits
-        ),
-        f"{folder}/emissions",
-    )
-    merged = write_stage(suspects.merged_suspects(use, listed, emissions, options.aliases), f"{folder}/merged")
-    classified = suspects.classify(suspects.enrich_compounds(merged.select("cas"), inputs.compounds))
-    return suspects.final_list(merged, classified, listed, scores)
+    expected = region.region_suspects(inputs.companies, inputs.selection, linked, scores, dict(options.statuses))
+    return scores, listed, write_stage(suspects.named_use(expected, listed, options.aliases), f"{folder}/use")

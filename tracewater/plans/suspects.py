@@ -51,14 +51,19 @@ def plant_alias(df: DataFrame, aliases: Mapping[str, str], column: str = "plant"
     return df.withColumn(column, F.coalesce(F.try_element_at(literal, F.col(column)), F.col(column)))
 
 
-def merged_suspects(
-    region: DataFrame, parameter_names: DataFrame, emissions: DataFrame, aliases: Mapping[str, str] | None = None
-) -> DataFrame:
-    """Expected use and emissions side by side per (CAS, plant); either may be missing."""
+def named_use(region: DataFrame, parameter_names: DataFrame, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Expected use with the parameter's id, code and text."""
     names = parameter_names.select(
         "substance", F.col("id").alias("use_id"), F.col("codes").alias("use_code"), F.col("omschrijving").alias("use_text")
     ).distinct()
-    use = plant_alias(strict_join(region, names, ["substance"], spread_by=["plant", "cas"]), aliases or {})
+    return plant_alias(strict_join(region, names, ["substance"], spread_by=["plant", "cas"]), aliases or {})
+
+
+def merged_suspects(use: DataFrame, emissions: DataFrame) -> DataFrame:
+    """Expected use and emissions side by side per (CAS, plant); either may be missing.
+
+    The merge reads each side in three places: pass written tables.
+    """
     merged = full_merge(
         use,
         emissions,
