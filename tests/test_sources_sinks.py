@@ -175,6 +175,16 @@ def test_columns_go_by_name_in_any_order(spark, tmp_path, rows):
         readers.scan_delimited(spark, str(folder), schemas.struct("cas name"), sep=";", names=names)
 
 
+def test_domain_tables_of_different_shapes(spark, tmp_path):
+    folder = tmp_path / "domain"
+    folder.mkdir()
+    (folder / "a.csv").write_text(";Codes;Begin geldigheid\ng1;x;01-02-2020\n", encoding="utf-8")
+    (folder / "b.csv").write_text("Codes;Extra;\ny;e;g2\n", encoding="utf-8")
+    table = readers.scan_domain_table(spark, str(folder))
+    got = {(r.guid, r.codes, r.extra, str(r.begin_geldigheid)) for r in table.collect()}
+    assert got == {("g1", "x", None, "2020-02-01"), ("g2", "y", "e", "None")}
+
+
 def test_comma_csv_round_trip_of_quotes(spark, frame, tmp_path, rows):
     df = frame("id string, v double", ('a "b"; c', 4e-16), ("NA?", None))
     sinks.write_comma_csv(df, str(tmp_path / "q"))

@@ -97,7 +97,9 @@ def _by_header(
         columns = [f"c{i}" for i in range(len(titles))]
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         raw = _csv(spark, sep, None, multi_line).schema(schema).option("header", True).csv(group["paths"])
-        found = {t.strip(): c for t, c in zip(titles, columns, strict=True) if t.strip()}
+        found: dict[str, str] = {}
+        for title, column in zip(titles, columns, strict=True):
+            found.setdefault(title.strip() or "X1", column)  # the first one without a title goes by this name
         out.append((found, raw.select(F.col("_metadata.file_path").alias("__file"), *columns)))
     return out
 
