@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewater.llm import texts
-from tracewater.llm.common import fresh
+from tracewater.llm.common import bound_batches, fresh
 
 BLANK_MARK = "▁"
 WIDE = 32
@@ -304,6 +304,7 @@ def _encoded(shared, columns: list[str], name: str, seed: int, dropout: float):
 
 def encode(docs: DataFrame, tables: dict, dropout: float = 0.1, seed: int = 7, variants: int = 16) -> DataFrame:
     """``docs`` with ``ids``, the pieces of ``text``."""
+    bound_batches(docs.sparkSession)
     plain = docs.drop("ids")
     variant = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(variants))
     shared = docs.sparkSession.sparkContext.broadcast(tables)
