@@ -2,23 +2,23 @@
 
 A document's set holds its distinct word shingles; its signature has
 ``COORDINATES`` min-hashes of the set. Documents with equal sets are one class,
-told by its least doc_id. Classes are posted under each coordinate-value pair
-of the signature's prefix: two signatures with at least ``MATCHES`` equal
-coordinates must share one of the first ``COORDINATES - MATCHES + 1``, so only
-these lists are merged, and the other coordinates are skipped, that is looked
-up for the candidates alone. With 24 coordinates and 9 matches, a pair of
-similarity 0.8 is missed with a probability of about 8e-7.
-
-Lists are not multiplied out. First every member of a list meets the list's
-centre only (the member whose coordinate values are the most common ones);
-collisions are counted over whole signatures, pairs below the threshold go,
-and the others are confirmed on their full sets. Where a list then still spans
-several components, its members outside the centre's component are compared
-with all its members: collisions first, in blocks of ``WIDE`` by ``WIDE``
-signatures, then the full sets of those that meet, in blocks of ``BLOCK`` by
-``BLOCK``. Two members of the centre's component need no comparison, since
-a link between them changes nothing. So no pair that could join two components
-is left out, and no task holds more than two blocks.
+told by its least doc_id. Classes are posted under the coordinate-value pairs
+of the signature. A candidate has at least ``MATCHES`` equal coordinates, more
+than there are groups of ``COORDINATES / (MATCHES - 1)`` coordinates, so two of
+them fall into one group: lists are merged two at a time inside the groups, and
+all other merges are skipped. The remaining coordinates are only looked up, to
+count the collisions of the pairs that met. With 24 coordinates and 9 matches,
+a pair of similarity 0.8 is missed with a probability of about 8e-7.
+
+Merged lists are not multiplied out. First every member of a list meets the
+list's centre only (the member whose lists are the longest); collisions are
+counted over whole signatures, pairs below the threshold go, and the others are
+confirmed on their full sets. Where the lists around one component then still
+hold members outside it, these are compared with all members: collisions first,
+in blocks of ``WIDE`` by ``WIDE`` signatures, then the full sets of those that
+meet. Two members of the component need no comparison, since a link between
+them changes nothing. So no pair that could join two components is left out,
+and no task holds more than two blocks.
 
 Cases: null or empty texts and texts without words have the empty set and link
 with nothing; with fewer words than a shingle the whole sequence is the one
@@ -34,10 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewater.llm import texts
-from tracewater.llm.common import stage
+from tracewater.llm.common import bound_batches, stage
 from tracewater.llm.components import components
 
-COORDINATES, MATCHES, BLOCK, WIDE = 24, 9, 512, 4096
+COORDINATES, MATCHES, BLOCK, WIDE = 24, 9, 512, 2048
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -169,32 +169,33 @@ def _links(width: int, coordinates: int, matches: int, percent: int):
     return of
 
 
-def _candidates(keys: list[str], matches: int, block: int):
-    """Task function on one wide block of signatures: the rows that meet, cut into blocks."""
+def _candidates(keys: list[str], matches: int):
+    """Task function on one block of signatures: the rows that meet one of another component."""
 
     def of(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         sig = np.stack([x.values.to_numpy() for x in group.column("signature")])
         left = group.column("is_left").to_numpy()
         comps = group.column("component").to_numpy()
-        sides = [np.flatnonzero(left), np.flatnonzero(~left)]
-        take, at_u, at_v = [], [], []
-        for u, l_at in enumerate(np.array_split(sides[0], -(-len(sides[0]) // block) or 1)):
-            for v, r_at in enumerate(np.array_split(sides[1], -(-len(sides[1]) // block) or 1)):
-                count = np.zeros((len(l_at), len(r_at)), np.int8)
-                for j in range(sig.shape[1]):
-                    count += sig[l_at, j][:, None] == sig[r_at, j][None, :]
-                meet = (count >= matches) & (comps[l_at][:, None] != comps[r_at][None, :])
-                rows = np.concatenate([l_at[meet.any(axis=1)], r_at[meet.any(axis=0)]])
-                take.append(rows)
-                at_u.append(np.full(len(rows), u))
-                at_v.append(np.full(len(rows), v))
-        rows = group.select([*keys, "doc_id", "component", "is_left"]).take(pa.array(np.concatenate(take)))
-        return rows.append_column("u", pa.array(np.concatenate(at_u))).append_column("v", pa.array(np.concatenate(at_v)))
+        l_at, r_at = np.flatnonzero(left), np.flatnonzero(~left)
+        count = np.zeros((len(l_at), len(r_at)), np.int8)
+        for j in range(sig.shape[1]):
+            count += sig[l_at, j][:, None] == sig[r_at, j][None, :]
+        meet = (count >= matches) & (comps[l_at][:, None] != comps[r_at][None, :])
+        rows = np.concatenate([l_at[meet.any(axis=1)], r_at[meet.any(axis=0)]])
+        return group.select([*keys, "doc_id", "component", "is_left"]).take(pa.array(rows))
 
     return of
 
 
+def merged_lists(heads: DataFrame, coordinates: int, matches: int) -> DataFrame:
+    """``doc_id, at, value``: a row for each two coordinates of a group; at least ``matches`` equal ones share one."""
+    groups = [list(range(g, coordinates, matches - 1)) for g in range(matches - 1)]
+    pairs = [(i, j) for g in groups for n, i in enumerate(g) for j in g[n + 1 :]]
+    both = F.array(*[F.xxhash64(F.get("signature", F.lit(i)), F.get("signature", F.lit(j))) for i, j in pairs])
+    return heads.select("doc_id", F.posexplode(both).alias("at", "value"))
+
+
 def _confirm(docs: DataFrame, blocks: DataFrame, width: int, coordinates: int, matches: int, percent: int) -> DataFrame:
     """Links among the documents of each block: ``key`` columns, ``doc_id, component, is_left``."""
     keys = [c for c in blocks.columns if c not in ("doc_id", "component", "is_left")]
@@ -203,9 +204,10 @@ def _confirm(docs: DataFrame, blocks: DataFrame, width: int, coordinates: int, m
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, coordinates: int = COORDINATES, matches: int = MATCHES, block: int = BLOCK
+    docs: DataFrame, width: int = 5, percent: int = 80, coordinates: int = COORDINATES, matches: int = MATCHES, block: int = BLOCK, wide: int = WIDE
 ) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, n_shingles, component_id, kept``, one row per row."""
+    bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     schema = "doc_id long, n_shingles long, digest_a long, digest_b long, signature array<long>"
     signed = stage(docs.mapInArrow(_signed(width, coordinates), schema), "signatures")
@@ -214,11 +216,14 @@ def near_duplicates(
     classes = stage(with_set.groupBy(*digest).agg(F.min("doc_id").alias("doc_id")), "classes")
     heads = stage(with_set.join(classes, [*digest, "doc_id"]).select("doc_id", "signature"), "heads")
 
-    posts = heads.select("doc_id", F.posexplode(F.slice("signature", 1, coordinates - matches + 1)).alias("at", "value"))
+    posts = merged_lists(heads, coordinates, matches)
     lists = stage(posts.groupBy("at", "value").agg(F.count("*").alias("n")).filter("n > 1"), "lists")
     posts = stage(posts.join(lists, ["at", "value"]), "posts")
     weight = posts.groupBy("doc_id").agg(F.sum("n").alias("_weight"))
     weighed = stage(posts.join(weight, "doc_id").select("at", "value", "doc_id", "_weight"), "weighed")
+    # Texts of all members, fetched once; sort-merge at every size, since the members grow with the documents.
+    members_only = weighed.select("doc_id").distinct().hint("merge")
+    listed = stage(docs.join(members_only, "doc_id").select("doc_id", "text"), "listed")
     centres = stage(
         weighed.groupBy("at", "value").agg(F.max(F.struct("_weight", -F.col("doc_id"))).alias("_top"))
         .select("at", "value", (-F.col("_top.col2")).alias("centre")), "centres",
@@ -237,41 +242,37 @@ def near_duplicates(
         members.select("centre", "part").distinct().select("centre", "part", F.col("centre").alias("doc_id"), F.col("centre").alias("component"), F.lit(True).alias("is_left"))
     )
     setup = (width, coordinates, matches, percent)
-    links = stage(_confirm(docs, star, *setup), "near")
+    links = stage(_confirm(listed, star, *setup), "near")
 
     roots = components(links)
     labelled = heads.select("doc_id").distinct().join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", F.coalesce("root", "doc_id").alias("component")
     )
-    # Lists by their centre: who is outside the centre's component, and who is there at all.
+    # Members by the component of their lists' centre: who is outside it, and who is there at all.
     around = weighed.join(centres, ["at", "value"]).select("doc_id", "centre").distinct()
-    known = stage(
-        around.join(labelled, "doc_id").join(labelled.select(F.col("doc_id").alias("centre"), F.col("component").alias("main")), "centre"),
-        "around",
-    )
+    main = labelled.select(F.col("doc_id").alias("centre"), F.col("component").alias("main"))
+    known = stage(around.join(main, "centre").select("doc_id", "main").distinct().join(labelled, "doc_id"), "around")
     outside = known.filter("component <> main")
     sizes = stage(
-        known.groupBy("centre").agg(F.count("*").alias("_n"), F.count_if(F.col("component") != F.col("main")).alias("_out")).filter("_out > 0"),
+        known.groupBy("main").agg(F.count("*").alias("_n"), F.count_if(F.col("component") != F.col("main")).alias("_out")).filter("_out > 0"),
         "spread",
     )
-    rights = F.ceil(F.col("_n") / WIDE).cast("int")
-    lefts = F.ceil(F.col("_out") / WIDE).cast("int")
+    rights = F.ceil(F.col("_n") / wide).cast("int")
+    lefts = F.ceil(F.col("_out") / wide).cast("int")
     own_right, own_left = F.pmod(F.xxhash64("doc_id"), rights).cast("int"), F.pmod(F.xxhash64("doc_id"), lefts).cast("int")
-    l_rows = outside.join(sizes, "centre").select(
-        "centre", own_left.alias("i"), F.explode(F.sequence(F.lit(0), rights - 1)).alias("j"), "doc_id", "component", F.lit(True).alias("is_left")
+    l_rows = outside.join(sizes, "main").select(
+        "main", own_left.alias("i"), F.explode(F.sequence(F.lit(0), rights - 1)).alias("j"), "doc_id", "component", F.lit(True).alias("is_left")
     )
-    r_rows = known.join(sizes, "centre").select(
-        "centre", F.explode(F.sequence(F.lit(0), lefts - 1)).alias("i"), own_right.alias("j"), "doc_id", "component", F.lit(False).alias("is_left")
+    r_rows = known.join(sizes, "main").select(
+        "main", F.explode(F.sequence(F.lit(0), lefts - 1)).alias("i"), own_right.alias("j"), "doc_id", "component", F.lit(False).alias("is_left")
     )
-    wide = l_rows.unionByName(r_rows).join(heads, "doc_id")
     meeting = stage(
-        wide.groupBy("centre", "i", "j").applyInArrow(
-            _candidates(["centre", "i", "j"], matches, block),
-            "centre long, i int, j int, doc_id long, component long, is_left boolean, u long, v long",
+        l_rows.unionByName(r_rows).join(heads, "doc_id").groupBy("main", "i", "j").applyInArrow(
+            _candidates(["main", "i", "j"], matches), "main long, i int, j int, doc_id long, component long, is_left boolean"
         ),
         "meeting",
     )
-    more = stage(_confirm(docs, meeting, *setup), "near")
+    more = stage(_confirm(listed, meeting, *setup), "near")
     if more.limit(1).count():
         roots = components(links.unionByName(more))
     named = stage(
