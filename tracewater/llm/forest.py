@@ -66,22 +66,21 @@ def candidates(trees: list[tuple], codes: np.ndarray, bits: int, n: int, enough:
         lows.append(np.searchsorted(strings, first))
         highs.append(np.searchsorted(strings, first | free[None, :], "right"))
     low, high = np.stack(lows), np.stack(highs)  # trees, queries, levels from the longest prefix up
-    found = np.cumsum(high - low, axis=0)
+    size = high - low
+    found = np.cumsum(size, axis=0)
     for q in range(codes.shape[1]):
         mask = np.zeros(n, bool)
         reached = np.flatnonzero(found[-1, q] >= enough)
         top = reached[0] if len(reached) else bits
         # All trees stand one bit below the last level; they add its stretches one after another until there is enough.
-        below = top - 1
-        if below >= 0:
-            for t, (_, rows) in enumerate(trees):
-                mask[rows[low[t, q, below] : high[t, q, below]]] = True
-        have = int(found[-1, q, below]) if below >= 0 else 0
+        below = max(top - 1, 0)
+        have = int(found[-1, q, below]) if top else 0
+        grown = have + np.cumsum(size[:, q, top] - (size[:, q, below] if top else 0))
+        last = int(np.searchsorted(grown, enough)) if len(reached) else len(trees)
         for t, (_, rows) in enumerate(trees):
-            mask[rows[low[t, q, top] : high[t, q, top]]] = True
-            have += int((high - low)[t, q, top] - ((high - low)[t, q, below] if below >= 0 else 0))
-            if have >= enough:
-                break
+            level = top if t <= last else below
+            if t <= last or top:
+                mask[rows[low[t, q, level] : high[t, q, level]]] = True
         yield mask
 
 
@@ -105,13 +104,14 @@ def _nearest(k: int, trees: int, bits: int, collect: float, longest: float, seed
             asked = hash_bits(np.column_stack([q, np.zeros(len(q))]), planes)
             enough = max(FEW, int(collect * len(x))) if len(x) > FEW else trees * len(x)
             for i in range(0, len(q), 256):
+                near = q[i : i + 256] @ x.T  # blocked products find the best candidates; their scores are then taken exactly
                 for j, mask in enumerate(candidates(forest, asked[:, i : i + 256], bits, len(x), enough)):
                     at = np.flatnonzero(mask & (x_ids != q_ids[i + j]))
-                    score = (x[at] * q[i + j]).sum(axis=1)
                     if len(at) > k:
-                        edge = -np.partition(-score, k - 1)[k - 1]
-                        keep = score >= edge
-                        at, score = at[keep], score[keep]
+                        rough = near[j, at]
+                        edge = -np.partition(-rough, k - 1)[k - 1]
+                        at = at[rough >= edge - 1e-9 * longest * (abs(edge) + longest)]
+                    score = np.einsum("ij,j->i", x[at], q[i + j])  # row by row, so equal rows score equally
                     best = np.lexsort((x_ids[at], -score))[:k]
                     out_q.append(np.full(len(best), q_ids[i + j]))
                     out_v.append(x_ids[at[best]])
