@@ -135,6 +135,53 @@ def test_retained_contexts_are_distributions():
     assert not change[4:].any()  # context 2 never does
 
 
+def _tree_by_brute_force(rows, held, depth=4, gain=3.0, weight=3.0):
+    """All contexts of 1 to ``depth`` words counted in dictionaries: ``[(doc_id, score)]`` and the number of retained contexts."""
+    seqs = [(i, WORD.findall((t or "").translate(LOWER)) + [None]) for i, t in rows]
+    c = collections.Counter()
+    for i, ws in seqs:
+        for d in range(1, depth + 2):
+            c.update(() if held(i) else (tuple(ws[k : k + d]) for k in range(len(ws) - d + 1)))
+    ones = {g: n for g, n in c.items() if len(g) == 1}
+    norm = sum(ones.values()) + 0.5 * (len(ones) + 1)
+    gained = collections.Counter()
+    for i, ws in seqs:
+        for k, w in enumerate(ws):
+            q = (c[(w,)] + 0.5) / norm
+            for d in range(1, min(k, depth) + 1):
+                g = tuple(ws[k - d : k])
+                if c[g] >= 2 and not held(i):
+                    new = (c[(*g, w)] - 1 + weight * q) / (c[g] - 1 + weight)
+                    gained[g] += math.log(new / q)
+                    q = new
+    out = []
+    for i, ws in seqs:
+        total = 0.0
+        for k, w in enumerate(ws):
+            p = (c[(w,)] + 0.5) / norm
+            for d in range(1, min(k, depth) + 1):
+                g = tuple(ws[k - d : k])
+                if gained[g] > gain:
+                    p = (c[(*g, w)] + weight * p) / (c[g] + weight)
+            total += math.log10(p)
+        out.append((str(i), round(total, 5)))
+    return sorted(out), sum(v > gain for v in gained.values())
+
+
+@pytest.mark.parametrize("bucket", [300, 2_000_000])
+def test_suffix_tree_against_brute_force_at_every_depth(spark, bucket):
+    rng = np.random.default_rng(33)
+    common = [f"w{k}" for k in range(12)]  # shares far above any bound of rarity: only short contexts repeat
+    rows = [(i, " ".join(rng.choice(common, 30, p=np.arange(12, 0, -1) / 78))) for i in range(60)]
+    rows += [(100 + i, "Alpha beta gamma delta " + prose(500 + i, 8) + " alpha beta gamma delta") for i in range(15)]
+    rows += [(200 + i, "run " * 40) for i in range(3)] + [(300, "unseen gamma delta w1"), (301, ""), (302, None), (300, "alpha beta other")]
+    held = F.col("doc_id") % 5 == 0
+    want, n_kept = _tree_by_brute_force(rows, lambda i: i % 5 == 0)
+    got = suffixtree.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), held, bucket=bucket).collect()
+    assert n_kept > 10
+    assert sorted((str(r.doc_id), round(r.score, 5)) for r in got) == want
+
+
 # 4
 
 

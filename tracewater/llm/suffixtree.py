@@ -1,29 +1,27 @@
 """Scoring texts with a probabilistic suffix tree over words.
 
 A text is its words, lower-cased (A-Z), and an end symbol. The tree's contexts
-are the words before a symbol, as many as it takes to be specific: the shortest
-suffix of the history whose share, estimated as the product of its words'
-shares, is below ``SPECIFIC``, of at most ``DEPTH`` words. Shorter suffixes are
-inner nodes and deal as the root. A specific context is retained by a
-divergence test: the log-likelihood gained over the root by its next-symbol
-distribution, each training occurrence being judged by the others (so that a
-context whose continuations never repeat gains nothing), must exceed ``GAIN``
-nats. A symbol is scored in the state of its longest suffix in the tree.
-
-The root knows each common word, one with a share of ``SPECIFIC`` or more, by its
-count; all other words, known or not, are equally likely in what is left. A
-retained context deals ``(c + WEIGHT * root) / (n + WEIGHT)``.
-
-What is learned grows with the corpus and is never sent around whole. Every
-task packs its words, as ``context, symbol, text``, into a few sorted binary
-parts, one for each bucket of contexts, which are far smaller than rows. A
-bucket's task has all occurrences of its contexts, learns the retained ones
-from the training texts and scores all texts in one go; each part comes back as
-sums by text and meets its texts' own sums. Word counts for the base score are
-joined in the same buckets. Only the common words, at most ``1 / SPECIFIC``, are
-broadcast. A bucket holds about ``BUCKET`` words, and no context can fill it,
-since common ones are extended. Contexts are told by 48-bit hashes and words by
-64-bit ones.
+are the words before a symbol: every suffix of the history of 1 to ``DEPTH``
+words. A context is retained by a divergence test against the next shorter
+one: the log-likelihood its next-symbol distribution gains, each training
+occurrence being judged by the others (so that a context whose continuations
+never repeat gains nothing), must exceed ``GAIN`` nats. A symbol is scored in
+the state of the longest retained suffix of its history.
+
+The root deals ``(n + 0.5) / norm`` to each word by its training count, and
+``0.5 / norm`` to a word that is not known. A retained context deals ``(c +
+WEIGHT * shorter) / (n + WEIGHT)``, where ``shorter`` is what the next shorter
+retained suffix, or the root, deals to the symbol.
+
+What is learned grows with the corpus and is never sent around whole. Texts are
+packed into blocks of some ``bucket / 2`` words. A block folds its n-grams to
+distinct keys with their number in training texts, and a sum over all blocks
+comes back for each key, so a context, however common, is one entry a block. A
+context's own count is that of its words as an n-gram, since each word has a
+symbol behind it. N-grams of three words or more are counted only where each
+word pair in their context occurs twice in training; a context that occurs once
+gains nothing, so no context is lost by that. The gains, in units of ``2**-20``
+nats, are summed by context in the same way. N-grams are told by 64-bit hashes.
 
 Cases: a null or empty text is the end symbol alone. A row without doc_id is
 not held out by a condition on it. Without training texts every symbol has
@@ -37,16 +35,16 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewater.llm import texts
 from tracewater.llm.common import bound_batches, stage
 
-DEPTH, SPECIFIC, GAIN, WEIGHT, BUCKET = 4, 1e-6, 3.0, 3.0, 2_000_000
+DEPTH, GAIN, WEIGHT, BUCKET = 4, 3.0, 3.0, 2_000_000
 END = np.uint64(0)  # the end symbol's key; no word hashes to it in practice
-OTHER = np.uint32(1 << 31)  # from here on: symbols that are not common words
-CONTEXT_BITS = 48
+UNIT = float(1 << 20)
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,256 +57,268 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys, edge + np.arange(len(edge))
 
 
-def _words(batches):
-    for _, data, offsets in texts.blocks(batches):
-        key, n = np.unique(tokens(data, offsets)[0], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+def _lean(values: np.ndarray) -> np.ndarray:
+    return values.astype(np.result_type(np.min_scalar_type(values.min(initial=0)), np.min_scalar_type(values.max(initial=0))))
 
 
-def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key, or -1."""
-    if not len(sorted_keys):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == keys, at, -1)
+def _packed(sorted_keys: np.ndarray) -> tuple:
+    """Sorted keys as the bytes of their steps, without the leading bytes that are 0 in all."""
+    planes = np.diff(sorted_keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)
+    first = int(sorted_keys[0])
+    planes[0] = 0
+    used = max((i + 1 for i in range(8) if planes[:, i].any()), default=0)
+    return first, len(planes), np.ascontiguousarray(planes[:, :used].T).tobytes()
 
 
-def contexts(keys: np.ndarray, begin: np.ndarray, share: np.ndarray, depth: int, specific: float) -> np.ndarray:
-    """Hash of each symbol's specific context; 0 where its history ends before it is specific."""
-    n = len(keys)
-    place = np.arange(n) - np.repeat(begin[:-1], np.diff(begin))  # words before the symbol
-    out, code, part = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.ones(n)
-    open_ = np.arange(n)
-    for k in range(1, depth + 1):
-        open_ = open_[place[open_] >= k]
-        if not len(open_):
-            break
-        before = keys[open_ - k]
-        code[open_] = texts.mix(code[open_] * np.uint64(3) + before + np.uint64(k))
-        part[open_] *= share[open_ - k]
-        done = (part[open_] < specific) | (k == depth)
-        out[open_[done]] = np.maximum(code[open_[done]] >> np.uint64(64 - CONTEXT_BITS), np.uint64(1))
-        open_ = open_[~done]
-    return out
+def _unpacked(first: int, n: int, raw: bytes) -> np.ndarray:
+    planes = np.zeros((n, 8), np.uint8)
+    used = len(raw) // n
+    planes[:, :used] = np.frombuffer(raw, np.uint8).reshape(used, n).T
+    steps = planes.view(np.uint64).ravel()
+    steps[0] = first
+    return np.cumsum(steps, dtype=np.uint64)
 
 
-def _lean(values: np.ndarray, kinds=(np.uint16, np.uint32)) -> np.ndarray:
-    top = int(values.max(initial=0))
-    return next((values.astype(k) for k in kinds if top <= np.iinfo(k).max), values)
+BLOCK = "blob long, kind int, bucket int, body binary"
 
 
-def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
-    return ((texts.mix(keys) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
-
-
-PART = "bucket int, blob long, kind int, body binary"
-TEXTS, WORDS, NEXT, SUMS = range(4)  # kinds of parts
-
-
-def _parts(shared, n_buckets: int, setup: tuple):
-    """Task function: texts -> binary parts."""
+def _blocks(size: int):
+    """Task function: texts -> blocks of words, one row each, with their number of words and of training words."""
 
     def of(batches):
-        m = shared.value
         held: list[tuple] = []
-        size = 0
+        made = have = 0
 
         def packed():
-            nonlocal held, size
-            rows = [np.concatenate([h[i] for h in held]) for i in range(2)]
-            keys, lengths = np.concatenate([h[2] for h in held]), np.concatenate([h[3] for h in held])
-            ids = pa.concat_arrays([h[4] for h in held])
-            held, size = [], 0
-            begin = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])
-            text = np.repeat(np.arange(len(lengths)), lengths)
-            at = find(m["keys"], keys)
-            hit = at >= 0
-            own = {
-                "doc_id": ids,
-                "held_out": rows[0],
-                "n_tokens": lengths,
-                "n_known": np.bincount(text[hit], m["counts"][at[hit]] > 0, len(lengths)).astype(np.int64),
-                "base": np.bincount(text[hit], np.log10((m["counts"][at[hit]] + 0.5) / m["norm"]), len(lengths)),
-                "score": np.bincount(text, np.log10(np.where(hit, m["root"][at], m["other"])), len(lengths)),
-            }
-            blob = int(texts.mix(np.array([keys.sum() + np.uint64(len(keys)), rows[1].sum()], np.uint64)).sum().view(np.int64))
-            out = [(int(_bucket(np.array([blob], np.int64).view(np.uint64), n_buckets)[0]), TEXTS, pickle.dumps(own))]
-            where = _bucket(keys[~hit], n_buckets)
-            order = np.lexsort((text[~hit], keys[~hit], where))
-            k, t, b = keys[~hit][order], text[~hit][order], where[order]
-            for i, lo, hi in _runs(b):
-                out.append((i, WORDS, pickle.dumps((k[lo:hi], _lean(t[lo:hi])))))
-            share = np.where(hit, m["share"][at], 0.0)
-            code = contexts(keys, begin, share, *setup)
-            use = np.flatnonzero(code)
-            symbol = np.where(hit, at, 0).astype(np.uint32)
-            symbol[~hit] = OTHER | (keys[~hit] >> np.uint64(33)).astype(np.uint32)
-            where = _bucket(code[use], n_buckets)
-            order = use[np.lexsort((code[use], where))]
-            b = np.sort(where)
-            for i, lo, hi in _runs(b):
-                o = order[lo:hi]
-                steps = np.diff(code[o], prepend=np.uint64(0))
-                out.append((i, NEXT, pickle.dumps((_lean(steps, (np.uint32,)), symbol[o], _lean(text[o]), rows[0]))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int32()), pa.array([blob] * len(out), pa.int64()),
-                 pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.binary())],
-                names=["bucket", "blob", "kind", "body"],
-            )
-
-        for block, data, offsets in texts.blocks(batches):
+            nonlocal held, have, made
+            flags, lengths, keys = (np.concatenate([h[i] for h in held]) for i in range(3))
+            vocabulary, at = np.unique(keys, return_inverse=True)
+            body = pickle.dumps((pa.concat_arrays([h[3] for h in held]), flags, lengths, vocabulary, _lean(at)))
+            blob = (TaskContext.get().partitionId() << 32) + made
+            made, held, have = made + 1, [], 0
+            row = [[blob], [0], [0], [body], [len(keys)], [int(lengths[~flags].sum())]]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(row, kinds, strict=True)], names=["blob", "kind", "bucket", "body", "n", "n_train"]
+            )
+
+        for rows, data, offsets in texts.blocks(batches):
             keys, begin = tokens(data, offsets)
-            flags = block.column("held_out").to_numpy(zero_copy_only=False)
-            mark = block.column("row").to_numpy(zero_copy_only=False).view(np.uint64)
-            held.append((flags, mark, keys, np.diff(begin), block.column("doc_id")))
-            size += len(keys)
-            if size >= BUCKET:
-                yield from packed()
+            held.append((rows.column("held_out").to_numpy(zero_copy_only=False), np.diff(begin), keys, rows.column("doc_id")))
+            have += len(keys)
+            if have >= size:
+                yield packed()
         if held:
-            yield from packed()
+            yield packed()
 
     return of
 
 
-def _runs(sorted_values: np.ndarray):
-    edge = np.flatnonzero(np.diff(sorted_values)) + 1
-    for lo, hi in zip(np.concatenate([[0], edge]), np.append(edge, len(sorted_values)), strict=True):
-        if hi > lo:
-            yield int(sorted_values[lo]), int(lo), int(hi)
+class Words:
+    """A block's words, their n-grams, and the sums that have come back for it."""
+
+    def __init__(self, body: bytes, depth: int):
+        self.ids, self.held, self.lengths, vocabulary, at = pickle.loads(body)
+        keys = vocabulary[at]
+        n = len(keys)
+        begin = np.cumsum(self.lengths) - self.lengths
+        self.text = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.place = np.arange(n) - np.repeat(begin, self.lengths)  # words before the symbol
+        self.training = ~self.held[self.text]
+        self.depth = depth
+        self.gram, self.count, self.asked = {1: keys}, {}, {1: np.ones(n, bool)}
+        for order in range(2, depth + 2):  # the n-gram that ends with each symbol; where it would begin before the text, it is not used
+            self.gram[order] = texts.mix(np.roll(self.gram[order - 1], 1) * np.uint64(3) + keys + np.uint64(order))
+        self.asked[2] = self.place >= 1
+
+    def ask(self, orders) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        """Distinct keys of the n-grams, their number in training texts, the place of each n-gram's key, the n-grams."""
+        for order in orders:
+            if order == 3:
+                self.asked[3] = (self.place >= 2) & (self.before(2) >= 2)
+            elif order > 3:
+                self.asked[order] = (self.place >= order - 1) & self.asked[order - 1] & np.roll(self.asked[order - 1], 1)
+        at = [np.flatnonzero(self.asked[o]) for o in orders]
+        keys, where = np.unique(np.concatenate([self.gram[o][a] for o, a in zip(orders, at, strict=True)]), return_inverse=True)
+        number = np.bincount(where, np.concatenate([self.training[a] for a in at]), len(keys)).astype(np.int64)
+        return keys, number, where, at
+
+    def answer(self, orders, sums: np.ndarray) -> None:
+        _, _, where, at = self.ask(orders)
+        edge = np.cumsum([0, *map(len, at)])
+        for order, a, lo, hi in zip(orders, at, edge, edge[1:], strict=False):
+            self.count[order] = np.zeros(len(self.place), np.int64)
+            self.count[order][a] = sums[where[lo:hi]]
+
+    def before(self, order: int) -> np.ndarray:
+        """How often the ``order`` words before each symbol occur in training; 0 where there are fewer or it was not asked."""
+        return np.where(self.place >= order, np.roll(self.count[order], 1), 0)
+
+    def levels(self):
+        """``(positions, context, n, c)`` for each depth: symbols whose context occurs twice, its key, its count, the symbol's in it."""
+        for d in range(1, self.depth + 1):
+            n = self.before(d)
+            at = np.flatnonzero(self.asked[d + 1] & (n >= 2))
+            yield at, self.gram[d][at - 1], n[at], self.count[d + 1][at]
+
+    def gains(self, root: np.ndarray, weight: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct contexts, what their training occurrences gain over the next shorter context, the place of each level's contexts."""
+        q = root.copy()
+        contexts, gained = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for at, context, n, c in self.levels():
+            # Of a held-out symbol no gain is counted, but whether its context is retained must be known.
+            t = self.training[at]
+            new = dealt(np.maximum(c - 1, 0), n - 1, q[at], weight)
+            contexts.append(context)
+            gained.append(np.where(t, np.rint(np.log(new / q[at]) * UNIT), 0).astype(np.int64))
+            q[at] = new
+        keys, where = np.unique(np.concatenate(contexts), return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, where, np.concatenate(gained))
+        return keys, total, where
+
+    def scores(self, root: np.ndarray, kept: np.ndarray, weight: float) -> np.ndarray:
+        """Probability of each symbol in its longest retained context."""
+        p, lo = root.copy(), 0
+        for at, _, n, c in self.levels():
+            use = kept[lo : lo + len(at)]
+            lo += len(at)
+            p[at[use]] = dealt(c[use], n[use], p[at[use]], weight)
+        return p
+
+
+def dealt(c: np.ndarray, n: np.ndarray, shorter: np.ndarray, weight: float) -> np.ndarray:
+    return (c + weight * shorter) / (n + weight)
 
 
 def learned(code: np.ndarray, symbol: np.ndarray, training: np.ndarray, root: np.ndarray, gain: float, weight: float) -> np.ndarray:
-    """log10 of what each occurrence's context makes of its root probability; 0 where the context is not retained."""
-    order = np.lexsort((symbol, code))
-    c, s, t, r = code[order], symbol[order], training[order].astype(np.float64), root[order]
-    first_c = np.concatenate([np.ones(min(len(c), 1), bool), c[1:] != c[:-1]])
-    first_p = first_c | np.concatenate([np.ones(min(len(c), 1), bool), s[1:] != s[:-1]])
-    of_c, of_p = np.cumsum(first_c) - 1, np.cumsum(first_p) - 1
-    n, k = np.bincount(of_c, t)[of_c], np.bincount(of_p, t)[of_p]
-    others = np.log((np.maximum(k - 1, 0) + weight * r) / ((np.maximum(n - 1, 0) + weight) * r))
-    kept = np.bincount(of_c, np.where(t > 0, others, 0.0))[of_c] > gain
-    out = np.zeros(len(code))
-    out[order] = np.where(kept, np.log10((k + weight * r) / ((n + weight) * r)), 0.0)
-    return out
-
-
-def _solve(shared, setup: tuple):
-    """Task function on one bucket: its parts, and the counts of its words."""
-
-    def of(parts: pa.Table, counts: pa.Table) -> pa.Table:
-        m = shared.value
-        keys = counts.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        keys, number = keys[order], counts.column("n").to_numpy()[order]
-        out, codes, symbols, flags, places = [], [], [], [], []
-        for blob, kind, body in zip(*[parts.column(c).to_pylist() for c in ("blob", "kind", "body")], strict=True):
-            if kind == TEXTS:
-                out.append((blob, TEXTS, body))
-            elif kind == WORDS:
-                k, text = pickle.loads(body)
-                at = find(keys, k)
-                count = np.where(at >= 0, number[at] if len(number) else 0, 0)
-                text = text.astype(np.int64)
-                base = np.bincount(text, np.log10((count + 0.5) / m["norm"]))
-                sums = (base, np.bincount(text, at >= 0).astype(np.int64), np.zeros(0))
-                out.append((blob, SUMS, pickle.dumps(sums)))
-            else:
-                steps, symbol, text, held = pickle.loads(body)
-                codes.append(np.cumsum(steps, dtype=np.uint64))
-                symbols.append(symbol)
-                flags.append(~held[text.astype(np.int64)])
-                places.append((blob, text.astype(np.int64)))
-        if codes:
-            symbol = np.concatenate(symbols)
-            root = np.full(len(symbol), m["other"])
-            common = symbol < OTHER
-            root[common] = m["root"][symbol[common]]
-            change = learned(np.concatenate(codes), symbol, np.concatenate(flags), root, *setup)
-            lo = 0
-            for blob, text in places:
-                sums = (np.zeros(0), np.zeros(0, np.int64), np.bincount(text, change[lo : lo + len(text)]))
-                out.append((blob, SUMS, pickle.dumps(sums)))
-                lo += len(text)
-        return pa.table(
-            {"blob": pa.array([o[0] for o in out], pa.int64()), "kind": pa.array([o[1] for o in out], pa.int32()), "body": pa.array([o[2] for o in out], pa.binary())}
-        )
+    """log10 of what each occurrence's context makes of its root probability, for contexts of one depth; 0 where it is not retained."""
+    _, of_c = np.unique(code, return_inverse=True)
+    _, of_p = np.unique(np.stack([of_c, symbol.astype(np.int64)]), axis=1, return_inverse=True)
+    of_p = of_p.ravel()
+    n, k = np.bincount(of_c, training)[of_c], np.bincount(of_p, training)[of_p]
+    others = np.log(dealt(np.maximum(k - 1, 0), np.maximum(n - 1, 0), root, weight) / root)
+    kept = np.bincount(of_c, np.where(training, others, 0.0))[of_c] > gain
+    return np.where(kept, np.log10(dealt(k, n, root, weight) / root), 0.0)
+
+
+def _parts(blob: int, keys: np.ndarray, values: np.ndarray, n_buckets: int):
+    """Keys and values cut into the buckets, which are ranges of keys."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+    edge = np.searchsorted(bucket, np.arange(n_buckets + 1))
+    for i in np.flatnonzero(np.diff(edge)):
+        lo, hi = edge[i], edge[i + 1]
+        yield blob, int(i), pickle.dumps((_packed(keys[lo:hi]), _lean(values[lo:hi])))
+
+
+def _rows(parts, kind: int) -> pa.Table:
+    parts = list(parts)
+    return pa.table({
+        "blob": pa.array([p[0] for p in parts], pa.int64()), "kind": pa.array([kind] * len(parts), pa.int32()),
+        "bucket": pa.array([p[1] for p in parts], pa.int32()), "body": pa.array([p[2] for p in parts], pa.binary()),
+    })
+
+
+def _known(group: pa.Table, orders: list, depth: int) -> tuple[int, Words, dict]:
+    """One blob's words with the counts that have come back, and all that has come back by kind."""
+    rows = sorted(zip(*[group.column(c).to_pylist() for c in ("kind", "bucket", "body")], strict=True), key=lambda r: r[:2])
+    words = Words(rows[0][2], depth)
+    back: dict = {}
+    for kind, _, body in rows[1:]:
+        back.setdefault(kind, []).append(pickle.loads(body))
+    back = {k: np.concatenate(v) for k, v in back.items()}
+    for kind, own in enumerate(orders, 1):
+        if own and (kind in back or kind < len(orders)):
+            words.answer(own, back.get(kind, np.zeros(0, np.int64)))
+    return group.column("blob")[0].as_py(), words, back
+
+
+def _summed(least: float | None):
+    """Task function on one bucket: the sum of each key over all blocks, or whether it is above ``least``, for each block that asked."""
+
+    def of(group: pa.Table) -> pa.Table:
+        kind = group.column("kind")[0].as_py()
+        bodies = [pickle.loads(b) for b in group.column("body").to_pylist()]
+        keys = [_unpacked(*k) for k, _ in bodies]
+        distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, where, np.concatenate([v.astype(np.int64) for _, v in bodies]))
+        out = total if least is None else (total > least).astype(np.int64)
+        edge = np.cumsum([0, *map(len, keys)])
+        sums = [pickle.dumps(_lean(out[where[lo:hi]])) for lo, hi in zip(edge, edge[1:], strict=False)]
+        return _rows(zip(group.column("blob").to_pylist(), group.column("bucket").to_pylist(), sums, strict=True), kind)
 
     return of
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+def _vocabulary(batches):
+    for batch in batches:
+        for body in batch.column("body").to_pylist():
+            _, held, lengths, vocabulary, at = pickle.loads(body)
+            seen = np.unique(at[np.repeat(~held, lengths)])
+            yield pa.RecordBatch.from_arrays([pa.array(vocabulary[seen].view(np.int64))], names=["key"])
 
 
-def _together(group: pa.Table) -> pa.Table:
-    """One blob's texts with all their sums."""
-    kinds, bodies = group.column("kind").to_pylist(), group.column("body").to_pylist()
-    own = [pickle.loads(b) for k, b in zip(kinds, bodies, strict=True) if k == TEXTS]
-    n = len(own[0]["n_tokens"])
-    total = [np.zeros(n), np.zeros(n, np.int64), np.zeros(n)]
-    for k, b in zip(kinds, bodies, strict=True):
-        if k == SUMS:
-            for whole, part in zip(total, pickle.loads(b), strict=True):
-                whole[: len(part)] += part
-    # Blobs with the same texts share a name; each then gets its part of the sums, which are equal.
-    tables = [
-        pa.table(
-            {
-                "doc_id": o["doc_id"].cast(pa.int64()),
-                "held_out": pa.array(o["held_out"], pa.bool_()),
-                "n_tokens": pa.array(o["n_tokens"], pa.int64()),
-                "n_known": pa.array(o["n_known"] + total[1] // len(own), pa.int64()),
-                "base_score": o["base"] + total[0] / len(own),
-                "score": o["score"] + total[2] / len(own),
-            }
-        )
-        for o in own
-    ]
-    return pa.concat_tables(tables)
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def score(
-    docs: DataFrame, held_out: Column, depth: int = DEPTH, specific: float = SPECIFIC, gain: float = GAIN,
-    weight: float = WEIGHT, bucket: int = BUCKET,
-) -> DataFrame:
+    docs: DataFrame, held_out: Column, depth: int = DEPTH, gain: float = GAIN, weight: float = WEIGHT, bucket: int = BUCKET
+) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     ``held_out``: condition on ``docs``; the other rows are learned from.
     """
-    spark = docs.sparkSession
-    bound_batches(spark)
-    split = docs.select("doc_id", "text", held_out.alias("held_out"))
-    found = split.filter(~F.col("held_out")).select("text").mapInArrow(_words, "key long, n long")
-    counts = stage(found.groupBy("key").agg(F.sum("n").alias("n")), "words")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    often = counts.filter((F.col("n") >= specific * total) | (F.col("key") == int(END))).toArrow()
-    keys, n = often.column(0).to_numpy().view(np.uint64), often.column(1).to_numpy()
-    order = np.argsort(keys)
-    keys, n = keys[order], n[order]
-    if not total:
-        keys, n = np.array([END]), np.zeros(1, np.int64)
+    bound_batches(docs.sparkSession)
+    split = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out"))
+    blocks = stage(split.mapInArrow(_blocks(max(1, bucket // 2)), f"{BLOCK}, n long, n_train long"), "blocks")
+    words, total = blocks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
+    distinct = blocks.select("body").mapInArrow(_vocabulary, "key long").distinct().count()
     norm = total + 0.5 * (distinct + 1)
-    root = (n + 0.5) / norm
-    # For each other word, one unknown word included; without training everything is as likely.
-    left = max(1 - root.sum(), 1e-12) / (distinct - len(keys) + 1) if total else 1.0
-    model = {"keys": keys, "counts": n, "share": n / max(total, 1), "root": root, "norm": norm, "other": min(left, 1.0)}
-    shared = spark.sparkContext.broadcast(model)
-    n_buckets = int(max(1, -(-total // bucket)))
-    rows = split.withColumn("row", F.xxhash64("doc_id", "text"))
-    parts = rows.mapInArrow(_parts(shared, n_buckets, (depth, specific)), PART)
-    words = counts.mapInArrow(_dealt(n_buckets), "bucket int, key long, n long")
-    solved = parts.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(
-        _solve(shared, (gain, weight)), "blob long, kind int, body binary"
-    )
-    scored = solved.groupBy("blob").applyInArrow(_together, SCORED)
+    n_buckets = int(max(1, -(-words // bucket)))
+    orders = [[1, 2], list(range(3, depth + 2))]
+    known = blocks.select("blob", "kind", "bucket", "body")
+
+    def first(batches):
+        for batch in batches:
+            for blob, body in zip(batch.column("blob").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                keys, number, _, _ = Words(body, depth).ask(orders[0])
+                yield from _rows(_parts(blob, keys, number, n_buckets), 1).to_batches()
+
+    def second(group: pa.Table) -> pa.Table:
+        blob, block, _ = _known(group, orders[:1], depth)
+        keys, number, _, _ = block.ask(orders[1])
+        return _rows(_parts(blob, keys, number, n_buckets), 2)
+
+    def root(block: Words) -> np.ndarray:
+        return (block.count[1] + 0.5) / norm
+
+    def third(group: pa.Table) -> pa.Table:
+        blob, block, _ = _known(group, [*orders, []], depth)
+        keys, gained, _ = block.gains(root(block), weight)
+        return _rows(_parts(blob, keys, gained, n_buckets), 3)
+
+    def last(group: pa.Table) -> pa.Table:
+        _, block, back = _known(group, [*orders, []], depth)
+        p = root(block)
+        _, _, where = block.gains(p, weight)
+        kept = back.get(3, np.zeros(0, np.int64))[where] > 0
+        n = len(block.lengths)
+        return pa.table({
+            "doc_id": block.ids, "held_out": pa.array(block.held, pa.bool_()), "n_tokens": pa.array(block.lengths, pa.int64()),
+            "n_known": pa.array(np.bincount(block.text, block.count[1] > 0, n).astype(np.int64)),
+            "base_score": np.bincount(block.text, np.log10(p), n),
+            "score": np.bincount(block.text, np.log10(block.scores(p, kept, weight)), n),
+        })
+
+    def back(parts: DataFrame, least: float | None = None) -> DataFrame:
+        return stage(parts.groupBy("bucket").applyInArrow(_summed(least), BLOCK), "sums")
+
+    known = known.unionByName(back(known.mapInArrow(first, BLOCK)))
+    if orders[1]:
+        known = known.unionByName(back(known.groupBy("blob").applyInArrow(second, BLOCK)))
+    known = known.unionByName(back(known.groupBy("blob").applyInArrow(third, BLOCK), gain * UNIT))
+    scored = known.groupBy("blob").applyInArrow(last, SCORED)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )
-
-
-def _dealt(n_buckets: int):
-    def of(batches):
-        for batch in batches:
-            where = _bucket(batch.column("key").to_numpy().view(np.uint64), n_buckets)
-            yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int32)), *batch.columns], names=["bucket", "key", "n"])
-
-    return of
