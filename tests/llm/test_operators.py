@@ -182,6 +182,14 @@ def test_suffix_tree_against_brute_force_at_every_depth(spark, bucket):
     assert sorted((str(r.doc_id), round(r.score, 5)) for r in got) == want
 
 
+def test_suffix_tree_root_knows_uncommon_words_in_a_large_corpus(spark):
+    rows = [(1, "a " * 2_100_000 + "rare"), (2, "rare"), (3, "novel")]
+    got = {r.doc_id: r for r in suffixtree.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") > 1).collect()}
+    norm = 2_100_002 + 0.5 * 4
+    assert abs(got[2].score - 2 * math.log10(1.5 / norm)) < 1e-9 and got[2].score == got[2].base_score
+    assert abs(got[3].score - math.log10(0.5 / norm) - math.log10(1.5 / norm)) < 1e-9
+
+
 # 4
 
 
