@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import os
+import pickle
 import re
 import zlib
 
@@ -190,6 +191,19 @@ def test_suffix_tree_root_knows_uncommon_words_in_a_large_corpus(spark):
     assert abs(got[3].score - math.log10(0.5 / norm) - math.log10(1.5 / norm)) < 1e-9
 
 
+def test_suffix_tree_folds_a_common_context_before_it_is_sent():
+    sent = []
+    for n in (1000, 50_000):
+        keys = np.append(np.full(n, 7, np.uint64), suffixtree.END)
+        at = np.searchsorted(np.unique(keys), keys)
+        block = suffixtree.Words(pickle.dumps((None, np.array([False]), np.array([n + 1]), np.unique(keys), at)), 4)
+        block.answer([1, 2], block.ask([1, 2])[1])
+        found, number, _, _ = block.ask([3, 4, 5])
+        sent.append(len(found))
+        assert number.max() == n - 2 and len(list(suffixtree._parts(1, found, number, 3))) <= 3
+    assert sent == [6, 6]  # runs of 3, 4 and 5, and the ends of them
+
+
 # 4
 
 

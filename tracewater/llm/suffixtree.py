@@ -14,7 +14,7 @@ WEIGHT * shorter) / (n + WEIGHT)``, where ``shorter`` is what the next shorter
 retained suffix, or the root, deals to the symbol.
 
 What is learned grows with the corpus and is never sent around whole. Texts are
-packed into blocks of some ``bucket / 2`` words. A block folds its n-grams to
+packed into blocks of some ``bucket / 4`` words. A block folds its n-grams to
 distinct keys with their number in training texts, and a sum over all blocks
 comes back for each key, so a context, however common, is one entry a block. A
 context's own count is that of its words as an n-gram, since each word has a
@@ -271,11 +271,11 @@ def score(
     """
     bound_batches(docs.sparkSession)
     split = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out"))
-    blocks = stage(split.mapInArrow(_blocks(max(1, bucket // 2)), f"{BLOCK}, n long, n_train long"), "blocks")
+    blocks = stage(split.mapInArrow(_blocks(max(1, bucket // 4)), f"{BLOCK}, n long, n_train long"), "blocks")
     words, total = blocks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
     distinct = blocks.select("body").mapInArrow(_vocabulary, "key long").distinct().count()
     norm = total + 0.5 * (distinct + 1)
-    n_buckets = int(max(1, -(-words // bucket)))
+    n_buckets = int(max(1, -(-words * (depth + 1) // bucket)))
     orders = [[1, 2], list(range(3, depth + 2))]
     known = blocks.select("blob", "kind", "bucket", "body")
 
