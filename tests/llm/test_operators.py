@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewater.llm import chat, chunks, components, fingerprints, forest, minhash, mixing, pieces, quality, suffixes, suffixtree
+from tracewater.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -337,6 +338,25 @@ def test_anchors_are_closed_syncmers(spark):
     assert 0.25 < share < 0.8
 
 
+def test_fingerprints_hold_all_anchors_and_compare_whole_sets(spark, tmp_path):
+    long, passage = prose(71, 3000), prose(72, 60)
+    pairs = [(1, long + " " + passage), (2, prose(73, 3000) + " " + passage), (3, long), (4, ""), (5, None), (6, "one")]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in pairs]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op7_fingerprints"](spark, str(tmp_path)).collect()}
+    marked = spark.createDataFrame(pairs, "doc_id long, text string").select("doc_id", fingerprints.anchors(F.col("text")).alias("a"))
+    anchors = {r.doc_id: [(a.at, a.hash) for a in r.a] for r in marked.collect()}
+    for i, found in anchors.items():
+        assert got[i].fingerprint == "".join(f"{h % 2**64:016x}{at:08x}" for at, h in found)
+    sets = {i: {h for _, h in found} for i, found in anchors.items()}
+    following = {6: 5, 5: 4, 4: 3, 3: 2, 2: 1, 1: 6}
+    for i, n in following.items():
+        both = sets[i] | sets[n]
+        assert got[i].near_next == (len(sets[i] & sets[n]) / len(both) if both else 1.0)
+    assert len(sets[1]) > 640 and 0 < got[2].near_next < 0.05  # the passage of 60 words that both share shows
+
+
 # 8
 
 

@@ -5,10 +5,10 @@ row; the hashes of its inner s-mers (``s`` words in a row) are compared, and
 the k-mer is an anchor when the smallest stands first or last (a closed
 syncmer). Whether a k-mer is an anchor depends on the k-mer alone, so equal
 passages have the same anchors wherever they stand, and a text's anchors have
-positions that passages can be matched by. The fingerprint keeps the ``m``
-smallest distinct anchor hashes; likeness is the share of common hashes among
-the ``m`` smallest of both, an estimate of the anchors' Jaccard similarity
-(exact when both have at most ``m``).
+positions that passages can be matched by. The fingerprint is all anchors with
+their positions; ``overlap`` is the Jaccard similarity of two texts' whole sets
+of anchor hashes. ``sketch`` keeps the ``m`` smallest distinct hashes only, and
+``likeness`` estimates the overlap from two sketches.
 
 Cases: a text with 1 to k-1 words has one anchor, the whole sequence. A null or
 empty text or one without words has the empty fingerprint; two empty
@@ -80,8 +80,28 @@ def sketch(anchor_array: Column, m: int = 64) -> Column:
     return F.slice(F.array_sort(F.array_distinct(F.transform(anchor_array, lambda a: a["hash"]))), 1, m)
 
 
-def as_text(sketched: Column) -> Column:
-    return F.array_join(F.transform(sketched, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
+def as_text(anchor_array: Column) -> Column:
+    """All anchors in their order, each as 16 hex digits of its hash and 8 of its position."""
+
+    def digits(number: Column, n: int) -> Column:
+        return F.lpad(F.lower(F.hex(number)), n, "0")
+
+    return F.array_join(F.transform(anchor_array, lambda a: F.concat(digits(a["hash"], 16), digits(a["at"], 8))), "")
+
+
+def hashes(anchor_array: Column) -> Column:
+    """The distinct anchor hashes."""
+    return F.array_distinct(F.transform(anchor_array, lambda a: a["hash"]))
+
+
+def overlap(a: Column, b: Column) -> Column:
+    """Share of common hashes among all distinct hashes of both."""
+
+    def of_common(common: Column) -> Column:
+        union = F.size(a) + F.size(b) - common
+        return F.when(union == 0, 1.0).otherwise(common / union)
+
+    return let(F.size(F.array_intersect(a, b)), of_common).cast("double")
 
 
 def likeness(a: Column, b: Column, m: int = 64) -> Column:

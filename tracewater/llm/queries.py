@@ -135,10 +135,9 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = documents(spark, sf_dir).select(
         "doc_id",
         F.coalesce("text", F.lit("")).alias("text"),
-        fingerprints.sketch(fingerprints.anchors(F.col("text"))).alias("sketch"),
     )
     stretches = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    paired = fingerprints.with_next(own, "doc_id", ["text", "sketch"], stretches)
+    paired = fingerprints.with_next(own, "doc_id", ["text"], stretches)
     cut = F.floor(F.length("text") / 3).cast("int")
     edited = paired.select(
         "doc_id",
@@ -146,18 +145,19 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(
             F.substring("text", F.lit(1), F.length("text") - cut), F.substring("following.text", F.lit(1), cut)
         ).alias("edited"),
-        "sketch",
-        F.col("following.sketch").alias("next_sketch"),
+        fingerprints.anchors(F.col("text")).alias("anchors"),
+        fingerprints.hashes(fingerprints.anchors(F.col("following.text"))).alias("next_hashes"),
     )
-    sketched = edited.withColumn("edited_sketch", fingerprints.sketch(fingerprints.anchors(F.col("edited"))))
-    return sketched.select(
+    marked = edited.withColumn("edited_anchors", fingerprints.anchors(F.col("edited")))
+    hashed = marked.withColumns({"hashes": fingerprints.hashes(F.col("anchors")), "edited_hashes": fingerprints.hashes(F.col("edited_anchors"))})
+    return hashed.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
-        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        fingerprints.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        fingerprints.as_text(F.col("anchors")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
+        fingerprints.overlap(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
+        fingerprints.overlap(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
     )
 
 
