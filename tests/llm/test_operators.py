@@ -497,3 +497,20 @@ def test_stepped_agendas_equal_a_heap():
         key = np.array([n * 7919 + 1], np.uint64)
         rows, count = pieces._in_step(t, points[None, :], np.array([len(points)]), key, 0.4)
         assert rows[0, : count[0]].tolist() == pieces._agenda(t, points, key[0], 0.4).tolist()
+
+
+@needs_model
+def test_dropout_is_drawn_for_each_occurrence_and_each_copy(spark):
+    tables = pieces.load(MODEL)
+    rows = [(1, " ".join(["international"] * 400))] + [(2, "international relations between countries")] * 60
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    runs = []
+    for parts in (1, 7):
+        got = pieces.decode(pieces.encode(df.repartition(parts), tables, dropout=0.4), tables).collect()
+        assert all(r.decoded == r.text for r in got)
+        runs.append(sorted((r.doc_id, tuple(r.ids)) for r in got))
+    assert runs[0] == runs[1]
+    assert len({ids for i, ids in runs[0] if i == 2}) > 40  # copies of one row differ
+    names = [tables["decoded"][i] for i in runs[0][0][1]]
+    cuts = collections.Counter(b"|".join(names).split(b"| "))
+    assert len(cuts) > 30  # one word of one text in many ways

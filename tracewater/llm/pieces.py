@@ -7,18 +7,19 @@ what follows them, since no piece of the vocabulary holds a blank behind
 another character. In a chunk the agenda takes candidate merges by score, the
 leftmost of equal ones first. With ``dropout`` above 0 a candidate, told by
 where its two parts start and end, is skipped for good when a hash keyed by
-``seed``, the chunk and the text's variant falls below it; so texts of different
-variants (a hash of doc_id, ``variants`` in all) are cut up differently and
-reruns agree. With ``dropout`` 0 the result is the model's own encoding.
+``seed``, doc_id, the text, the row's number among equal rows and the chunk's
+place in the text falls below it; so every occurrence of a word is drawn anew
+and reruns agree. With ``dropout`` 0 the result is the model's own encoding.
 Characters outside the vocabulary, and the character that stands for a blank in
 the vocabulary, become byte pieces, so decoding gives back every text.
 
-Chunks are encoded once per block of texts and variant. Those of up to ``WIDE``
+Without dropout a chunk is encoded once per block of texts, else at each
+occurrence. Those of up to ``WIDE``
 characters run their agendas in step, as rows of a matrix; longer ones, which
 would take as many steps as merges, each run a heap.
 
 Cases: a null or empty text has no pieces and decodes to the empty text. A null
-doc_id has a variant of its own. Other columns pass through; a column named
+doc_id is a key of its own. Other columns pass through; a column named
 ``ids`` (``decoded``) is replaced.
 """
 
@@ -28,12 +29,13 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewater.llm import texts
-from tracewater.llm.common import bound_batches, fresh
+from tracewater.llm.common import bound_batches, fresh, stage
 
 BLANK_MARK = "▁"
 WIDE = 32
@@ -262,8 +264,8 @@ def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(total)
 
 
-def encode_block(t: dict, data: np.ndarray, offsets: np.ndarray, variant: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts of a block, and where each text's begin."""
+def encode_block(t: dict, data: np.ndarray, offsets: np.ndarray, salt: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a block, and where each text's begin; ``salt``: a 64-bit key for each text's draws."""
     n_texts = len(offsets) - 1
     filled = np.diff(offsets) > 1
     body = data[:-1]  # the space after the last text belongs to none
@@ -280,9 +282,11 @@ def encode_block(t: dict, data: np.ndarray, offsets: np.ndarray, variant: np.nda
     keep = filled[text] & (at < stop)
     at, text, stop = at[keep], text[keep], stop[keep]
     ends = np.minimum(np.append(at[1:], len(data)), stop)
-    salt = texts.mix(variant.astype(np.uint64) + np.uint64(seed % (1 << 32)) * np.uint64(1 << 32))[text]
-    hashed = texts.stretch_hash(texts.prefix(data), at, ends) ^ (salt if dropout > 0 else np.uint64(0))
-    keys, first, where = np.unique(hashed, return_index=True, return_inverse=True)
+    if dropout > 0:
+        keys = texts.mix(texts.mix(salt)[text] + (at - head[text]).astype(np.uint64))
+        first = where = np.arange(len(at))
+    else:
+        keys, first, where = np.unique(texts.stretch_hash(texts.prefix(data), at, ends), return_index=True, return_inverse=True)
     values, begin = encode_chunks(t, points, char[at[first]], np.append(char, len(points))[ends[first]], keys, dropout)
     number = np.diff(begin)[where]
     ids = values[_ranges(begin[:-1][where], number)]
@@ -290,27 +294,63 @@ def encode_block(t: dict, data: np.ndarray, offsets: np.ndarray, variant: np.nda
     return ids, np.concatenate([np.zeros(1, np.int64), np.cumsum(per_text)])
 
 
-def _encoded(shared, columns: list[str], name: str, seed: int, dropout: float):
+def _encoded(shared, columns: list[str], name: str, dropout: float):
     def of(batches):
         t = shared.value
         for rows, data, offsets in texts.blocks(batches):
-            variant = rows.column(name).to_numpy(zero_copy_only=False)
-            ids, begin = encode_block(t, data, offsets, variant, seed, dropout)
+            salt = rows.column(name).to_numpy(zero_copy_only=False).view(np.uint64)
+            ids, begin = encode_block(t, data, offsets, salt, dropout)
             lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield texts.table(rows, columns, ids=lists)
 
     return of
 
 
-def encode(docs: DataFrame, tables: dict, dropout: float = 0.1, seed: int = 7, variants: int = 16) -> DataFrame:
+def _placed(key: str, columns: list[str], place: str, part: str):
+    """Task function: rows with their number among the task's rows of equal ``key``, and the task's number."""
+
+    def of(batches):
+        seen: dict = {}
+        for batch in batches:
+            number = []
+            for k in batch.column(key).to_pylist():
+                number.append(seen.get(k, 0))
+                seen[k] = number[-1] + 1
+            task = np.full(batch.num_rows, TaskContext.get().partitionId(), np.int64)
+            yield texts.table(batch, columns, **{place: pa.array(number, pa.int64()), part: task})
+
+    return of
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with ``name``, a row's number (from 0) among the rows of its doc_id and text.
+
+    A task numbers its own rows and starts behind those of the tasks before, so no group of copies meets in one task.
+    """
+    key = fresh(docs, "_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+    if not keyed.groupBy(key).count().filter("count > 1").limit(1).count():
+        return docs.withColumn(name, F.lit(0).cast("long"))
+    place, part = fresh(keyed, "_place"), fresh(keyed, "_part")
+    schema = T.StructType([*keyed.schema.fields, T.StructField(place, T.LongType()), T.StructField(part, T.LongType())])
+    rows = stage(keyed.mapInArrow(_placed(key, keyed.columns, place, part), schema), "copies")
+    earlier = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    before, n = fresh(rows, "_before"), fresh(rows, "_n")
+    sizes = rows.groupBy(key, part).agg(F.count("*").alias(n)).withColumn(before, F.sum(n).over(earlier)).filter(F.col(before) > 0)
+    found = rows.join(sizes.drop(n), [key, part], "left")
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col(place) + F.coalesce(before, F.lit(0))).alias(name))
+
+
+def encode(docs: DataFrame, tables: dict, dropout: float = 0.1, seed: int = 7) -> DataFrame:
     """``docs`` with ``ids``, the pieces of ``text``."""
     bound_batches(docs.sparkSession)
     plain = docs.drop("ids")
-    variant = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(variants))
     shared = docs.sparkSession.sparkContext.broadcast(tables)
     schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    name = fresh(plain, "variant")
-    return plain.withColumn(name, variant).mapInArrow(_encoded(shared, plain.columns, name, seed, dropout), schema)
+    name = fresh(plain, "salt")
+    rows = numbered(plain, name) if dropout > 0 else plain.withColumn(name, F.lit(0).cast("long"))
+    salt = F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", "text", name)
+    return rows.withColumn(name, salt).mapInArrow(_encoded(shared, plain.columns, name, dropout), schema)
 
 
 def _decoded(shared, columns: list[str]):
