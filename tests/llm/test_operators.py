@@ -254,6 +254,18 @@ def test_quality_learns_and_handles_missing_labels(spark, docs, empty):
     assert quality.score(empty.drop("score"), weights).count() == 0
 
 
+def test_quality_fit_takes_repeated_rows_once_and_keeps_its_bound(spark, monkeypatch):
+    rows = [(i, prose(700 + i, 20)) for i in range(30)]
+    df = spark.createDataFrame(rows + [rows[3]] * 500 + [(4, prose(900 + i, 20)) for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    taken = []
+    monkeypatch.setattr(quality, "train", lambda order, *a, **b: taken.append(len(order)))
+    quality.fit(df, labels)
+    quality.fit(df, labels, sample=20)
+    quality.fit(df.filter("doc_id <> 4"), labels)
+    assert taken == [130, 20, 29]
+
+
 # 6
 
 

@@ -7,7 +7,8 @@ softmax layer gives the classes. Vectors and layer are trained together by
 stochastic gradient descent in numpy.
 
 The fit takes a sample of at most ``sample`` labelled documents, those with the
-least keyed hash of their id. Since the layer is linear, a bucket's vector
+least keyed hash of their id; rows that repeat a doc_id and its text count once,
+and different texts of a doc_id one each. Since the layer is linear, a bucket's vector
 gives one number when scoring, so the model that travels to the tasks has
 ``2**bits`` numbers, and scoring is one pass over the texts without a shuffle.
 
@@ -111,8 +112,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     )
     schema = "quality int, ids array<int>, shares array<float>"
     found = (
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text", F.xxhash64("doc_id", "text").alias("k"))
-        .mapInArrow(_sparse(bits), schema)
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "quality", F.xxhash64("text").alias("k")).agg(F.min("text").alias("text"))
+        .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "quality", "k").limit(sample)
+        .select("quality", "text").mapInArrow(_sparse(bits), schema)
     )
     got = found.toArrow()
     order = []
