@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,18 @@ def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, rows)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """As ``bound_batches`` for the jobs that run inside; the setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    had = spark.conf.get(key)
+    bound_batches(spark, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, had)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewater.llm import chat, chunks, fingerprints, forest, minhash, mixing, pieces, quality, suffixes, suffixtree
+from tracewater.llm import chat, chunks, fingerprints, forest, minhash, mixing, pieces, prefixtrie, quality, suffixes, suffixtree, urlrules, whitening
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -190,3 +190,73 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"),
         (F.col("decoded") == text).alias("lossless"),
     )
+
+
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query("op11_url_rules")
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by stated rules, else by rules mined from the pages that ``labels`` marks (a page goes by its document's id)."""
+    pages = spark.read.schema("page_id bigint, url string").parquet(f"{sf_dir}/pages.parquet")
+    labels = spark.read.schema("doc_id bigint, quality int, toxic int").parquet(f"{sf_dir}/labels.parquet")
+    labelled = pages.join(labels, F.col("page_id") == F.col("doc_id")).select("url", (F.col("quality") == 0).alias("unwanted"))
+    return urlrules.judge(pages, urlrules.rule_table(spark, URL_RULES), urlrules.mine(labelled))
+
+
+@query(
+    "op12_prefix_trie",
+    """
+WITH placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS d
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, n, xor(4294967295, list_reduce(
+      [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+      lambda a, b: list_reduce([xor(a, b)] || range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) % 6 AS h
+  FROM (SELECT conv_id, count(*) AS n FROM placed GROUP BY conv_id)
+), sized AS (
+  SELECT c.conv_id, c.base, c.h, least(c.h, coalesce(b.n, 0)) AS opening FROM convs c LEFT JOIN convs b ON b.conv_id = c.base
+), rebuilt AS (
+  SELECT c.conv_id, p.d, p.role, p.text FROM sized c JOIN placed p ON p.conv_id = c.base AND p.d <= c.h
+  UNION ALL
+  SELECT c.conv_id, p.d - c.h + c.opening, p.role, p.text FROM sized c JOIN placed p ON p.conv_id = c.conv_id AND p.d > c.h
+), prefixes AS (
+  SELECT conv_id, d, length(text) AS chars,
+    string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY d) AS path
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), depths AS (SELECT conv_id, max(d) AS ends_at FROM prefixes GROUP BY conv_id
+), nodes AS (
+  SELECT path, any_value(d) AS depth, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE d = ends_at), '')) AS ends_sha256
+  FROM prefixes JOIN depths USING (conv_id) GROUP BY path
+), kids AS (
+  SELECT substr(path, 1, 32 * (depth - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), below AS (
+  SELECT substr(path, 1, 32 * k) AS path, sum((n_convs - 1) * chars) AS saved, count(*) FILTER (WHERE n_children IS NULL) AS leaves
+  FROM (SELECT n.*, n_children, unnest(range(depth + 1)) AS k FROM nodes n LEFT JOIN kids USING (path)) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+  leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below USING (path) LEFT JOIN kids USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = substr(n.path, 1, 32 * (n.depth - 1))
+""",
+)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = "conv_id bigint, turn bigint, role string, text string"
+    turns = spark.read.schema(columns).parquet(f"{sf_dir}/conversations.parquet")
+    return prefixtrie.nodes(prefixtrie.sequences(turns))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.schema("vec_id bigint, embedding array<float>").parquet(f"{sf_dir}/embeddings.parquet")
+    return whitening.whiten(vectors)
