@@ -60,6 +60,29 @@ def test_points_against_brute_force(spark):
         assert len(found) == len(set(found)) and set(found) == expected, cell
 
 
+def test_points_on_broken_numbers_and_copies(spark):
+    """Corners and points that are no grid numbers, a star with long edges, and a polygon that stands twice."""
+    rnd = random.Random(3)
+    star = [[(50 + r * math.cos(t), 50 + r * math.sin(t)) for k in range(14) for t, r in [(k * math.pi / 7, 49.3 if k % 2 else 17.7)]]]
+    named = [("star", star), ("twice", box(10.1, 10.3, 30.7, 90.9)), ("twice", box(10.1, 10.3, 30.7, 90.9)), ("empty", [])]
+    named += [("holed", [box(0.3, 0.1, 99.7, 99.9)[0], box(20.2, 20.6, 80.4, 80.8)[0]])]
+    pts = [(i, rnd.uniform(-5, 105), rnd.uniform(-5, 105)) for i in range(1500)] + [(9999, 10.1, 50.0), (9998, 0.3, 0.1), (9997, None, 3.0)]
+    points = spark.createDataFrame(pts, "n int, px double, py double")
+    expected = sorted((n, name) for n, x, y in pts if x is not None for name, rings in named if py_covers(rings, x, y))
+    for cell in (0.7, 10.1, 33.0):
+        got = spatial.points_in_polygons(points, "px", "py", polygons(spark, named), "rings", ["id"], cell)
+        assert sorted((r.n, r.id) for r in got.collect()) == expected, cell
+
+
+def test_index_grows_with_cells_and_edges(spark):
+    """A polygon of many edges: each edge stands in the cells it passes only, inside cells are marks without edges."""
+    n = 4000
+    circle = [[(1000 + 900 * math.cos(2 * math.pi * k / n), 1000 + 900 * math.sin(2 * math.pi * k / n)) for k in range(n)]]
+    index = spatial.cell_index(polygons(spark, [("big", circle)]), "id", "rings", 20.0)
+    size = index.select(F.count("*").alias("cells"), F.sum(F.size("edges")).alias("pieces"), F.count_if(F.size("edges") == 0).alias("marks")).first()
+    assert size.marks > 5500 and size.pieces < 2 * n and size.cells < 7000
+
+
 def py_meet(a, b):
     def side(p, q, r):
         return np.sign((q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0]))

@@ -1,14 +1,22 @@
-"""Spatial joins on grid cells.
+"""Spatial joins on an index of grid cells.
 
 A polygon is ``array<array<struct<x,y>>>``: all rings of all its parts, each
 closed or open. Inside is decided by the even-odd rule over all rings, so
 holes and several parts need no special case. Boundaries belong to the
 polygon: touching counts.
 
-Both joins run the same way. Boxes are laid on a square grid, rows meet in an
-equi join on the cell, and a pair is kept only in one cell that both boxes
-share, so no shuffle is needed to drop repeated pairs. The exact test runs
-last. A crowded cell is an ordinary hot join key, which AQE splits.
+A polygon is laid on a square grid once. Each cell that an edge passes gets
+that edge, and each cell knows whether its lower left corner lies inside, which
+follows from a scanline fill: where a grid line crosses the edges, the corners
+between the first and the second crossing are inside, and so on. Cells inside
+without an edge are kept as marks. A point is then judged by its cell alone:
+from the corner up to the point's height and across to the point, every edge
+passed changes sides, and all such edges are in the cell. So the index has as
+many rows as cells and pieces of edges, geometry is never copied to other
+cells, and the polygon's own columns are joined back by id at the end.
+
+Polygons meet if edges of both meet in a shared cell, or a ring of one starts
+inside the other. A crowded cell is an ordinary hot join key, which AQE splits.
 """
 
 from __future__ import annotations
@@ -72,17 +80,25 @@ def _cross(e: str, x: str, y: str) -> str:
     return f"(({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({e}.y2 - {e}.y1) * ({x} - {e}.x1))"
 
 
-def covers_sql(edges: str, x: str, y: str) -> str:
-    """Whether the polygon with these edges covers the point, boundary included.
+def covers_sql(cell: str, x: str, y: str, left: str) -> str:
+    """Whether the polygon covers the point, boundary included, by the point's cell, whose left side is ``left``.
 
-    Inside: a ray to the right passes an odd number of edges. An edge that
-    spans the point's height is never level, so its division is safe.
+    ``{cell}edges`` are the upward edges in the cell, ``{cell}inside`` says
+    whether its corner is inside. The point counts as a hair to the right and
+    less than that up, so no edge is met at its end. An edge that spans a
+    height is never level, so its division is safe.
     """
-    return f"""(size(filter({edges}, e -> (e.y1 > {y}) <> (e.y2 > {y})
-            AND {x} < (e.x2 - e.x1) * ({y} - e.y1) / nullif(e.y2 - e.y1, 0) + e.x1)) % 2 = 1
-        OR exists({edges}, e -> {_cross("e", x, y)} = 0
-            AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
-            AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)))"""
+    up = f"e.past <> {_past('e', left, y)}"
+    across = f"""e.y1 <= {y} AND e.y2 > {y} AND {x} >= (e.x2 - e.x1) * ({y} - e.y1) / nullif(e.y2 - e.y1, 0) + e.x1
+            AND {_cross("e", left, y)} > 0"""
+    return f"""((int({cell}inside) + size(filter({cell}edges, e -> {up})) + size(filter({cell}edges, e -> {across}))) % 2 = 1
+        OR exists({cell}edges, e -> {y} BETWEEN e.y1 AND e.y2 AND {_cross("e", x, y)} = 0
+            AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)))"""
+
+
+def _past(e: str, x: str, y: str) -> str:
+    """On which of its sides a point on the vertical ``x``, which the upward edge ``e`` crosses, has that edge."""
+    return f"IF({e}.y1 = {e}.y2, {y} >= {e}.y1, {_cross(e, x, y)} > 0)"
 
 
 def edges_meet_sql(a: str, b: str) -> str:
@@ -97,29 +113,75 @@ def edges_meet_sql(a: str, b: str) -> str:
     return f"({boxes} AND {sides})"
 
 
-def polygons_meet_sql(a: str, b: str) -> str:
-    """Whether two polygons share a point, given ``{a}edges``, ``{a}starts``, ``{a}min_x`` … and the same for b.
+def cell_index(polygons: DataFrame, key: str, rings: str, size: float) -> DataFrame:
+    """``key, cx, cy, edges, inside, box``: what each grid cell knows of each polygon.
 
-    Either two edges meet, or a ring of one lies inside the other; ``starts``
-    is one vertex per ring. Edges of b outside a's box are dropped before the
-    pairwise test.
+    Rows with one ``key`` must be copies of one polygon. One shuffle by
+    (polygon, grid row); within a row the corners' sides follow from the sorted
+    crossings of the row's lower line.
     """
-    near = f"""filter({b}edges, e -> least(e.x1, e.x2) <= {a}max_x AND greatest(e.x1, e.x2) >= {a}min_x
-            AND least(e.y1, e.y2) <= {a}max_y AND greatest(e.y1, e.y2) >= {a}min_y)"""
-    return f"""(exists({near}, e -> exists({a}edges, d -> {edges_meet_sql("d", "e")}))
-        OR exists({a}starts, p -> {covers_sql(f"{b}edges", "p.x", "p.y")})
-        OR exists({b}starts, p -> {covers_sql(f"{a}edges", "p.x", "p.y")}))"""
+    s = f"{float(size)!r}D"
+    boxed = with_box(polygons.select(F.col(key).alias("__key"), F.col(rings).alias("__rings")), "__rings")
+    upward = "IF(e.y1 <= e.y2, e, named_struct('x1', e.x2, 'y1', e.y2, 'x2', e.x1, 'y2', e.y1))"
+    edges = boxed.select("__key", F.struct(*BOX).alias("box"), F.posexplode(edges_of("__rings")).alias("n", "e")).withColumn("e", F.expr(upward))
+    bands = edges.withColumn("cy", F.expr(f"explode(sequence(floor(e.y1 / {s}), floor(e.y2 / {s})))"))
+    # Where the edge runs within the grid row, a little wider than it is: an edge too many in a cell does no harm.
+    at = "e.x1 + (least(greatest({}, e.y1), e.y2) - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)"
+    ends = [at.format(f"cy * {s}"), at.format(f"(cy + 1) * {s}")]
+    reach = {
+        "x0": F.expr(f"CASE WHEN e.y1 = e.y2 THEN least(e.x1, e.x2) ELSE least({', '.join(ends)}) END"),
+        "x1": F.expr(f"CASE WHEN e.y1 = e.y2 THEN greatest(e.x1, e.x2) ELSE greatest({', '.join(ends)}) END"),
+    }
+    low = f"cy * {s}"
+    spans = f"e.y1 <= {low} AND e.y2 > {low}"
+    near = f"floor((e.x1 + ({low} - e.y1) * (e.x2 - e.x1) / nullif(e.y2 - e.y1, 0)) / {s})"
+    # How far corners have the edge to their right: the division tells it to about a cell, the side of the corner exactly.
+    tries = " ".join(f"WHEN {_cross('e', f'(near + {k}) * {s}', low)} > 0 THEN near + {k} + 1" for k in (1, 0, -1))
+    placed = bands.withColumns(reach).withColumn("near", F.expr(near)).select(
+        "__key", "cy", "box",
+        F.struct(
+            "n",
+            "e",
+            F.expr(f"floor(x0 / {s} - 1e-9D)").alias("c0"),
+            F.expr(f"floor(x1 / {s} + 1e-9D)").alias("c1"),
+            F.expr(f"CASE WHEN {spans} THEN CASE {tries} ELSE near - 1 END END").alias("k"),
+        ).alias("piece"),
+    )
+    # A set, by the edge's place in the polygon: copies of a polygon count once.
+    per_row = placed.groupBy("__key", "cy").agg(F.first("box").alias("box"), F.collect_set("piece").alias("pieces"))
+    crossings = "array_sort(filter(transform(pieces, p -> p.k), k -> k IS NOT NULL))"
+    runs = """filter(transform(filter(sequence(0, greatest(size(ks) - 2, 0)), i -> i % 2 = 0 AND i + 1 < size(ks)),
+        i -> named_struct('a', ks[i], 'b', ks[i + 1] - 1)), r -> r.a <= r.b)"""
+    # An edge that crosses the cell's left side knows which side of it the corner is on.
+    left = f"(c * {s})"
+    past = f"IF((p.e.x1 > {left}) <> (p.e.x2 > {left}), {_past('p.e', left, low)}, NULL)"
+    edge = f"named_struct('x1', p.e.x1, 'y1', p.e.y1, 'x2', p.e.x2, 'y2', p.e.y2, 'past', {past})"
+    cells = f"""concat(
+        flatten(transform(pieces, p -> transform(sequence(p.c0, p.c1), c -> named_struct('cx', c, 'e', {edge}, 'inside', false)))),
+        flatten(transform(runs, r -> transform(sequence(r.a, r.b), c -> named_struct('cx', c, 'e', CAST(NULL AS struct<x1: double, y1: double, x2: double, y2: double, past: boolean>), 'inside', true)))))"""
+    spelled = per_row.withColumn("ks", F.expr(crossings)).withColumn("runs", F.expr(runs)).select(
+        "__key", "cy", "box", F.explode(F.expr(cells)).alias("c")
+    )
+    return spelled.groupBy(F.col("__key").alias(key), "cy", F.col("c.cx").alias("cx")).agg(
+        F.collect_list("c.e").alias("edges"), F.max("c.inside").alias("inside"), F.first("box").alias("box")
+    )
 
 
-def _cells(df: DataFrame, size: float, x: tuple[Column, Column], y: tuple[Column, Column]) -> DataFrame:
-    """One row per grid cell touched by the box."""
+def _keyed(df: DataFrame, keep: Sequence[str], rings: str) -> DataFrame:
+    """``keep``, the rings and a 128-bit key of both."""
+    content = [*keep, rings]
+    return df.select(*keep, F.col(rings).alias("__rings"), F.struct(F.xxhash64(*content), F.xxhash64(F.lit(1), *content)).alias("__id"))
 
-    def cell(v: Column) -> Column:
-        return F.floor(v / F.lit(float(size)))
 
-    return df.withColumn("__cx", F.explode(F.sequence(cell(x[0]), cell(x[1])))).withColumn(
-        "__cy", F.explode(F.sequence(cell(y[0]), cell(y[1])))
-    )
+def _found(points: DataFrame, x: str, y: str, index: DataFrame, size: float) -> DataFrame:
+    """``points`` with the ``__id`` of every polygon of the index that covers them."""
+    s = f"{float(size)!r}D"
+    cells = index.select("__id", *[F.col(c).alias(f"__{c}") for c in ("cx", "cy", "edges", "inside", "box")])
+    placed = points.withColumns({"__px": F.expr(f"floor({x} / {s})"), "__py": F.expr(f"floor({y} / {s})")})
+    met = placed.join(cells, (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy")))
+    in_box = F.expr(f"{x} BETWEEN __box.min_x AND __box.max_x AND {y} BETWEEN __box.min_y AND __box.max_y")
+    covered = F.expr(covers_sql("__", x, y, f"(__cx * {s})"))
+    return met.where(in_box).where((F.size("__edges") == 0) | covered).select(*points.columns, "__id")
 
 
 def points_in_polygons(
@@ -129,14 +191,9 @@ def points_in_polygons(
 
     A point lies in one cell, so each pair meets once.
     """
-    areas = with_box(polygons.select(*keep, rings), rings)
-    areas = areas.select(*keep, edges_of(rings).alias("__edges"), *[F.col(b).alias(f"__{b}") for b in BOX])
-    areas = _cells(areas, cell, (F.col("__min_x"), F.col("__max_x")), (F.col("__min_y"), F.col("__max_y")))
-    size = F.lit(float(cell))
-    placed = points.withColumns({"__px": F.floor(F.col(x) / size), "__py": F.floor(F.col(y) / size)})
-    met = placed.join(areas, (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy")))
-    in_box = F.expr(f"{x} BETWEEN __min_x AND __max_x AND {y} BETWEEN __min_y AND __max_y")
-    return met.where(in_box).where(F.expr(covers_sql("__edges", x, y))).select(*points.columns, *keep)
+    areas = _keyed(polygons, keep, rings)
+    found = _found(points, x, y, cell_index(areas, "__id", "__rings", cell), cell)
+    return found.join(areas.select("__id", *keep), "__id").select(*points.columns, *keep)
 
 
 def polygons_meeting(
@@ -145,21 +202,23 @@ def polygons_meeting(
     cell: float,
 ) -> DataFrame:
     """Pairs of polygons that overlap or touch, as distinct ``left_keep`` + ``right_keep``."""
-
-    def side(df: DataFrame, rings: str, keep: Sequence[str], tag: str) -> DataFrame:
-        shaped = with_box(df.select(*keep, rings), rings).select(
-            *keep,
-            edges_of(rings).alias(f"{tag}edges"),
-            F.expr(f"transform(filter({rings}, r -> size(r) > 0), r -> r[0])").alias(f"{tag}starts"),
-            *[F.col(b).alias(f"{tag}{b}") for b in BOX],
-        )
-        bounds = [(F.col(f"{tag}min_{v}"), F.col(f"{tag}max_{v}")) for v in "xy"]
-        return _cells(shaped, cell, *bounds).withColumnsRenamed({"__cx": f"{tag}cx", "__cy": f"{tag}cy"})
-
-    a, b = side(left, left_rings, left_keep, "__a"), side(right, right_rings, right_keep, "__b")
-    boxes_meet = " AND ".join(f"{p}min_{v} <= {q}max_{v}" for v in "xy" for p, q in (("__a", "__b"), ("__b", "__a")))
-    # The lower left corner of the shared box lies in exactly one shared cell.
-    once = " AND ".join(f"__ac{v} = floor(greatest(__amin_{v}, __bmin_{v}) / {float(cell)}D)" for v in "xy")
-    same_cell = (F.col("__acx") == F.col("__bcx")) & (F.col("__acy") == F.col("__bcy"))
-    met = a.join(b, same_cell & F.expr(boxes_meet) & F.expr(once))
-    return met.where(F.expr(polygons_meet_sql("__a", "__b"))).select(*left_keep, *right_keep).distinct()
+    sides = [_keyed(left, left_keep, left_rings), _keyed(right, right_keep, right_rings)]
+    indexes = [cell_index(side, "__id", "__rings", cell) for side in sides]
+    a, b = (
+        i.select(F.col("__id").alias(f"__{tag}"), "cx", "cy", F.col("edges").alias(f"__{tag}_edges"), F.col("box").alias(f"__{tag}_box")).where(F.size("edges") > 0)
+        for tag, i in zip("ab", indexes, strict=True)
+    )
+    crossing = f"exists(__a_edges, d -> exists(__b_edges, e -> {edges_meet_sql('d', 'e')}))"
+    boxes = " AND ".join(
+        f"__{p}_box.min_{v} <= __{q}_box.max_{v}" for v in "xy" for p, q in (("a", "b"), ("b", "a"))
+    )
+    pairs = a.join(b, ["cx", "cy"]).where(F.expr(boxes)).where(F.expr(crossing)).select("__a", "__b")
+    for here, there, index in (("__a", "__b", indexes[1]), ("__b", "__a", indexes[0])):
+        side = sides[0] if here == "__a" else sides[1]
+        starts = side.select(F.col("__id").alias(here), F.explode(F.expr("transform(filter(__rings, r -> size(r) > 0), r -> r[0])")).alias("p"))
+        inside = _found(starts.select(here, "p.x", "p.y"), "x", "y", index, cell)
+        pairs = pairs.unionByName(inside.select(here, F.col("__id").alias(there)))
+    pairs = pairs.distinct()
+    for tag, side, keep in (("__a", sides[0], left_keep), ("__b", sides[1], right_keep)):
+        pairs = pairs.join(side.select(F.col("__id").alias(tag), *keep), tag)
+    return pairs.select(*left_keep, *right_keep).distinct()

@@ -31,7 +31,7 @@ def write_stage(df: DataFrame, path: str) -> DataFrame:
     This also cuts the lineage, so a lost executor costs a re-read only.
     """
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # stated, so that no job looks for it
 
 
 def with_display_names(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
