@@ -299,6 +299,41 @@ def test_suffix_removal_against_brute_force(docs, keep, many):
     assert got == removed_by_brute_force(rows, 200, keep)
 
 
+def varied(copies):
+    """A text in many rows, and others that share parts of it, so that keys have several contents."""
+    base = prose(71, 90)
+    rows = [(20, base)] * copies + [(23, base + " " + prose(72, 20)), (24, prose(73, 20) + base[150:]), (25, prose(74, 9) + base[:400] + prose(75, 30))]
+    return [*rows, (26, base[:300]), (27, base[100:380] + "!")]
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+@pytest.mark.parametrize("copies, hot", [(2, 10_000), (30, 10_000), (30, 3)])
+def test_suffix_removal_with_repeated_rows(spark, monkeypatch, keep, copies, hot):
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    rows = varied(copies)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    report = suffixes.removal_report(df, suffixes.repeats(df, keep=keep)).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.kept_sha256) for r in report) == removed_by_brute_force(rows, 200, keep)
+    if keep == "first":  # the first place of a passage stays
+        assert {r.n_removed for r in report if r.doc_id == 20} == {0}
+
+
+def test_suffix_removal_of_very_many_equal_rows(spark):
+    rows = varied(1)
+    copies = spark.range(10_000).select(F.lit(20).cast("long").alias("doc_id"), F.lit(rows[0][1]).alias("text"))
+    df = copies.unionByName(spark.createDataFrame(rows[1:], "doc_id long, text string")).repartition(8)
+    for keep, gone in (("first", 0), ("none", len(rows[0][1].encode()))):
+        report = suffixes.removal_report(df, suffixes.repeats(df, keep=keep))
+        assert report.filter("doc_id = 20").groupBy("n_removed", "n_spans").count().collect() == [(gone, int(gone > 0), 10_000)]
+
+
+def test_anchors_do_not_depend_on_stretches():
+    hashed = np.random.default_rng(4).integers(0, 50, 5000).astype(np.uint64) << np.uint64(40)
+    want = [i + int(np.argmin(hashed[i : i + 30])) for i in range(len(hashed) - 29)]
+    for stretch in (1 << 27, 1000, 31):
+        assert suffixes._anchors(hashed, 30, stretch).tolist() == want
+
+
 def test_suffix_removal_keeps_columns_and_empty_tables(docs, empty):
     out = suffixes.apply_spans(docs, suffixes.repeats(docs))
     assert out.columns == docs.columns and out.count() == docs.count()

@@ -23,7 +23,9 @@ and no task holds more than two blocks.
 Cases: null or empty texts and texts without words have the empty set and link
 with nothing; with fewer words than a shingle the whole sequence is the one
 shingle. Rows with the same doc_id are the same document. A row without doc_id
-links with nothing, has no component and is kept. Extra columns are not read.
+links with nothing, has no component and is kept. Very long texts are blocks of
+their own in a task. An empty table gives an empty result. Extra columns are
+not read.
 """
 
 from __future__ import annotations
@@ -199,10 +201,20 @@ def merged_lists(heads: DataFrame, coordinates: int, matches: int) -> DataFrame:
 def _confirm(docs: DataFrame, blocks: DataFrame, width: int, coordinates: int, matches: int, percent: int) -> DataFrame:
     """Links among the documents of each block: ``key`` columns, ``doc_id, component, is_left``."""
     keys = [c for c in blocks.columns if c not in ("doc_id", "component", "is_left")]
-    rows = blocks.join(docs.select("doc_id", "text"), "doc_id")
+    rows = blocks.hint("merge").join(docs.select("doc_id", "text"), "doc_id")  # one plan at every size
     return rows.groupBy(*keys).applyInArrow(_links(width, coordinates, matches, percent), "a long, b long")
 
 
+def _texts_of(docs: DataFrame, with_set: DataFrame, members: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the members, each different text of a doc_id once; repeated rows are folded in their tasks."""
+    twice = stage(with_set.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "twice")
+    if not twice.limit(1).count():
+        return docs.join(members, "doc_id").select("doc_id", "text")
+    single = docs.join(members.join(twice, "doc_id", "left_anti").hint("merge"), "doc_id").select("doc_id", "text")
+    again = docs.join(members.join(twice, "doc_id", "left_semi"), "doc_id").groupBy("doc_id", F.xxhash64("text").alias("k"))
+    return single.unionByName(again.agg(F.first("text").alias("text")).select("doc_id", "text"))
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, coordinates: int = COORDINATES, matches: int = MATCHES, block: int = BLOCK, wide: int = WIDE
 ) -> DataFrame:
@@ -213,8 +225,9 @@ def near_duplicates(
     signed = stage(docs.mapInArrow(_signed(width, coordinates), schema), "signatures")
     digest = ["digest_a", "digest_b", "n_shingles"]
     with_set = signed.filter("n_shingles > 0 and doc_id is not null")
-    classes = stage(with_set.groupBy(*digest).agg(F.min("doc_id").alias("doc_id")), "classes")
-    heads = stage(with_set.join(classes, [*digest, "doc_id"]).select("doc_id", "signature"), "heads")
+    # Equal sets have equal signatures: one row for each set, however many documents and rows have it.
+    classes = stage(with_set.groupBy(*digest).agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")), "classes")
+    heads = classes.select("doc_id", "signature")
 
     posts = merged_lists(heads, coordinates, matches)
     lists = stage(posts.groupBy("at", "value").agg(F.count("*").alias("n")).filter("n > 1"), "lists")
@@ -223,7 +236,7 @@ def near_duplicates(
     weighed = stage(posts.join(weight, "doc_id").select("at", "value", "doc_id", "_weight"), "weighed")
     # Texts of all members, fetched once; sort-merge at every size, since the members grow with the documents.
     members_only = weighed.select("doc_id").distinct().hint("merge")
-    listed = stage(docs.join(members_only, "doc_id").select("doc_id", "text"), "listed")
+    listed = stage(_texts_of(docs, with_set, members_only), "listed")
     centres = stage(
         weighed.groupBy("at", "value").agg(F.max(F.struct("_weight", -F.col("doc_id"))).alias("_top"))
         .select("at", "value", (-F.col("_top.col2")).alias("centre")), "centres",

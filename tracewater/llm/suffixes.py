@@ -10,7 +10,8 @@ Equal strings meet like this. Each window of ``length`` bytes is told by the
 least hashed ``GRAM``-byte string inside it (leftmost if equal), so equal
 windows have the same one; the windows in a row with the same one are a piece.
 Pieces whose key is met once go. Equal pieces of a key are counted; one of
-them, the first, stands for them. Keys with several different pieces are
+them, the first, stands for them. Copies of very common pieces are marked by a
+bounded list that travels to the tasks, others by a join. Keys with several different pieces are
 compared by a suffix array over their pieces: suffixes are sorted by doubling
 ranks up to ``length`` bytes, common prefixes of neighbours follow from the
 ranks, and the longest previous factor of each place from the previous and next
@@ -22,8 +23,11 @@ the same answer.
 
 Cases: a null text is empty; a text below ``length`` bytes has nothing to
 remove. Rows with the same doc_id and text are one place for ``keep="first"``
-and two for ``keep="none"``. A null doc_id comes first in order. Extra columns
-are kept by ``apply_spans`` and not read.
+and two for ``keep="none"``; they are folded before pieces are compared, and
+their spans once more before they are applied. A null doc_id comes first in
+order. A very long text is one block of a task, cut into its pieces like
+others. An empty table has no spans. Extra columns are kept by ``apply_spans``
+and not read.
 """
 
 from __future__ import annotations
@@ -38,7 +42,7 @@ from pyspark.sql import functions as F
 from tracewater.llm import texts
 from tracewater.llm.common import bound_batches, fresh, stage
 
-LENGTH, GRAM, MANY = 200, 32, 2000
+LENGTH, GRAM, MANY, HOT = 200, 32, 2000, 10_000
 _PLACE = np.uint64((1 << 28) - 1)
 
 
@@ -53,6 +57,20 @@ def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[w - 1 : w - 1 + n])
 
 
+def _anchors(hashed: np.ndarray, w: int, stretch: int = 1 << 27) -> np.ndarray:
+    """Place of the least of each ``w`` hashes in a row, leftmost if equal.
+
+    The hash's upper bits and the place share a number, so places count within
+    stretches of fewer than 2**28; a longer text has several.
+    """
+    out = []
+    for lo in range(0, len(hashed) - w + 1, stretch):
+        part = hashed[lo : lo + stretch + w - 1]
+        least = _sliding_min((part & ~_PLACE) | np.arange(len(part), dtype=np.uint64), w)
+        out.append((least & _PLACE).astype(np.int64) + lo)
+    return np.concatenate(out)
+
+
 def pieces(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """``text, start, windows, key, content`` of the block's pieces; starts count in the block."""
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
@@ -61,15 +79,15 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tup
     sums = texts.prefix(data)
     at = np.arange(len(data) - gram + 1)
     hashed = texts.stretch_hash(sums, at, at + gram)
-    least = _sliding_min((hashed & ~_PLACE) | at.astype(np.uint64), length - gram + 1)
+    anchors = _anchors(hashed, length - gram + 1)
     ends = np.repeat(offsets[1:] - 1, np.diff(offsets))  # a text ends before its space
-    good = np.zeros(len(least), bool)
-    inside = np.arange(1, min(len(least), offsets[-1]))
+    good = np.zeros(len(anchors), bool)
+    inside = np.arange(1, min(len(anchors), offsets[-1]))
     good[inside] = inside + length <= ends[inside - 1]
     p = np.flatnonzero(good)
     if not len(p):
         return none
-    anchor = (least[p] & _PLACE).astype(np.int64)
+    anchor = anchors[p]
     first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (p[1:] != p[:-1] + 1)]))
     start = p[first]
     windows = np.diff(np.append(first, len(p)))
@@ -87,6 +105,7 @@ def _keys(length: int, gram: int):
 
 
 PIECES = "doc_id long, text_hash long, start long, windows long, key long, content long"
+PIECE_NAMES = ["doc_id", "text_hash", "start", "windows", "key", "content"]
 
 
 def _pieces(length: int, gram: int):
@@ -271,6 +290,59 @@ def _windows(length: int):
     return of
 
 
+def _once(hashed: DataFrame, lists: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, text, wanted``: the text of each of ``lists``, once, however many rows have it.
+
+    Texts of single rows are joined as they are; only repeated rows are folded,
+    in their tasks before they move.
+    """
+    who = F.struct("doc_id", "text_hash").alias("who")  # structs with equal nulls are equal
+    rows = hashed.select(who, "text")
+    wanted = lists.select(who, "wanted")
+    twice = stage(hashed.groupBy(who).agg(F.count("*").alias("n")).filter("n > 1").select("who"), "twice")
+    found = rows.join(wanted.join(twice, "who", "left_anti"), "who")
+    if twice.limit(1).count():
+        again = rows.join(wanted.join(twice, "who", "left_semi"), "who")
+        found = found.unionByName(again.groupBy("who").agg(F.first("text").alias("text"), F.first("wanted").alias("wanted")))
+    return found.select("who.*", "text", "wanted")
+
+
+def _marked(hot: dict, length: int, keep: str):
+    """Task function: spans of pieces whose content is in ``hot`` (content and key -> first place)."""
+    contents = np.array(sorted({c for c, _ in hot}), np.int64)
+
+    def of(batches):
+        for batch in batches:
+            may = batch.filter(pa.array(np.isin(batch.column("content").to_numpy(), contents)))
+            out = []
+            for doc, text, start, windows, key, content in zip(*[may.column(c).to_pylist() for c in PIECE_NAMES], strict=True):
+                first = hot.get((content, key))
+                if first is not None and (keep == "none" or first != (doc, text, start)):
+                    out.append((doc, text, start, start + windows + length - 1))
+            yield _span_batch(out)
+
+    return of
+
+
+def _copies(shared: DataFrame, kinds: DataFrame, length: int, keep: str) -> DataFrame:
+    """Spans of the pieces that stand more than once, but for the first with ``keep="first"``.
+
+    Contents that are more than one of ``HOT`` of all pieces, hence fewer than
+    ``HOT``, travel to the tasks; pieces with others meet theirs in a join.
+    """
+    place = F.struct("doc_id", "text_hash", "start")
+    total = kinds.agg(F.sum("n")).first()[0] or 0
+    again = kinds.filter("n > 1").select("key", "content", "first", (F.col("n") * HOT > total).alias("hot"))
+    hot = {(r.content, r.key): tuple(r.first) for r in again.filter("hot").collect()}
+    copies = shared.join(again.filter("not hot").drop("hot"), ["key", "content"])
+    if keep == "first":
+        copies = copies.filter(~place.eqNullSafe(F.col("first")))
+    spans = copies.select("doc_id", "text_hash", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + length - 1).alias("hi"))
+    if hot:
+        spans = spans.unionByName(shared.select(*PIECE_NAMES).mapInArrow(_marked(hot, length, keep), SPAN))
+    return spans
+
+
 def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first", gram: int = GRAM, many: int = MANY) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, text_hash, lo, hi``: byte spans to remove, which may overlap."""
     if keep not in ("first", "none"):
@@ -285,18 +357,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first", gram: in
     kinds = stage(
         shared.groupBy("key", "content").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.first("windows").alias("windows")), "kinds"
     )
-    again = kinds.filter("n > 1").select("key", "content", "first")
-    copies = shared.join(again, ["key", "content"])
-    if keep == "first":
-        copies = copies.filter(~place.eqNullSafe(F.col("first")))
-    whole = copies.select("doc_id", "text_hash", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + length - 1).alias("hi"))
+    whole = _copies(shared, kinds, length, keep)
 
     per_key = stage(kinds.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "mixed")
     wanted = kinds.join(per_key, "key").select("key", "first.*", "windows")
     lists = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("key", "start", "windows")).alias("wanted"))
-    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_hash") == F.col("b.text_hash"))
-    cut = hashed.alias("a").join(lists.alias("b"), same).select("a.doc_id", "a.text_hash", "text", "wanted")
-    cut = stage(cut.mapInArrow(_cut(length), CUT), "cut")
+    cut = stage(_once(hashed, lists).mapInArrow(_cut(length), CUT), "cut")
     columns = ["key", "doc_id", "text_hash", "start", "windows", "body"]
     few = cut.join(per_key.filter(F.col("kinds") <= many), "key").select(columns)
     by_key = few.repartition("key").sortWithinPartitions("key")
@@ -352,7 +418,7 @@ def _applied(columns: list[str], name: str, digest: bool):
 
 
 def _with_spans(docs: DataFrame, spans: DataFrame, name: str) -> DataFrame:
-    lists = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias(name))
+    lists = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("lo", "hi")).alias(name))  # repeated rows give equal spans
     own = lists.select(F.col("doc_id").alias("b_doc"), F.col("text_hash").alias("b_text"), name).alias("b")
     hashed = F.xxhash64(F.coalesce(F.col("a.text"), F.lit("")))
     same = F.col("a.doc_id").eqNullSafe(F.col("b.b_doc")) & (hashed == F.col("b.b_text"))
