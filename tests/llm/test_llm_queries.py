@@ -45,6 +45,21 @@ def test_pipeline_keeps_columns_and_repeats_nothing_near(spark):
     assert "ids" in last.columns and last.count() == n[4]
 
 
+def test_stages_take_odd_columns_nulls_and_long_texts(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    odd = spark.createDataFrame([(None, None), (None, ""), (990001, None), (990002, ""), (990002, ""), (990003, "word " * 60_000)], "doc_id long, text string")
+    docs = docs.unionByName(odd.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang", "CAST(NULL AS string) AS source", "length(text) AS n_chars").to(docs.schema))
+    docs = docs.selectExpr("*", "'x' AS `a.b`", "map('k', doc_id) AS m", "1.5 AS score", "2 AS n_removed")
+    for name, apply in corpus_pipeline.STAGES:
+        if name != "quality":  # its fit needs labelled texts, which the other tests have
+            out = apply(spark, docs, SF_DIR)
+            assert out.columns[: len(docs.columns)] == docs.columns
+            assert out.count() > 0
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    scored = corpus_pipeline.quality.score(docs, corpus_pipeline.quality.fit(docs, labels))
+    assert set(scored.columns) == set(docs.columns) and scored.count() == docs.count()
+
+
 def test_stages_take_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, apply in corpus_pipeline.STAGES[:-1]:

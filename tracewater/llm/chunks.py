@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewater.llm import texts
-from tracewater.llm.common import bound_batches, fresh, stage
+from tracewater.llm.common import bound_batches, fresh, plain_names, stage
 
 LEAST, BITS, MOST, RUN = 32, 5, 256, 100
 GEAR = (texts.mix(np.arange(256, dtype=np.uint64) + np.uint64(1 << 50)) >> np.uint64(32)).astype(np.uint32)
@@ -145,7 +145,7 @@ ADDED = ["n_removed", "n_spans", "copied_from"]
 
 def without_copies(docs: DataFrame, copies: DataFrame, run: int = RUN) -> DataFrame:
     """``docs`` with later copies cut out of ``text``, and ``n_removed`` (bytes), ``n_spans``, ``copied_from`` (doc_ids)."""
-    plain = docs.drop(*ADDED)
+    plain, named = plain_names(docs.drop(*ADDED))
     name = fresh(plain, "copies")
     lists = copies.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("lo", "hi", "first_doc")).alias(name))
     own = lists.select(F.col("doc_id").alias("b_doc"), F.col("text_hash").alias("b_text"), name).alias("b")
@@ -153,4 +153,4 @@ def without_copies(docs: DataFrame, copies: DataFrame, run: int = RUN) -> DataFr
     same = F.col("a.doc_id").eqNullSafe(F.col("b.b_doc")) & (hashed == F.col("b.b_text"))
     joined = plain.alias("a").join(own, same, "left").select("a.*", f"b.{name}")
     added = [T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("copied_from", T.ArrayType(T.LongType()))]
-    return joined.mapInArrow(_removed(plain.columns, name, run), T.StructType([*plain.schema.fields, *added]))
+    return named(joined.mapInArrow(_removed(plain.columns, name, run), T.StructType([*plain.schema.fields, *added])))

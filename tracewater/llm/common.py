@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +45,15 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(key, had)
 
 
+def plain_names(df: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` without names that need quotes (``a.b``), and a function that gives a result their names back."""
+    odd = {c: f"_column_{i}" for i, c in enumerate(df.columns) if "." in c or "`" in c}
+    if not odd:
+        return df, lambda out: out
+    back = {v: k for k, v in odd.items()}
+    return df.toDF(*[odd.get(c, c) for c in df.columns]), lambda out: out.toDF(*[back.get(c, c) for c in out.columns])
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewater.llm import texts
-from tracewater.llm.common import bound_batches, fresh, stage
+from tracewater.llm.common import bound_batches, fresh, plain_names, stage
 
 BLANK_MARK = "▁"
 WIDE = 32
@@ -344,13 +344,13 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
 def encode(docs: DataFrame, tables: dict, dropout: float = 0.1, seed: int = 7) -> DataFrame:
     """``docs`` with ``ids``, the pieces of ``text``."""
     bound_batches(docs.sparkSession)
-    plain = docs.drop("ids")
+    plain, named = plain_names(docs.drop("ids"))
     shared = docs.sparkSession.sparkContext.broadcast(tables)
     schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     name = fresh(plain, "salt")
     rows = numbered(plain, name) if dropout > 0 else plain.withColumn(name, F.lit(0).cast("long"))
     salt = F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", "text", name)
-    return rows.withColumn(name, salt).mapInArrow(_encoded(shared, plain.columns, name, dropout), schema)
+    return named(rows.withColumn(name, salt).mapInArrow(_encoded(shared, plain.columns, name, dropout), schema))
 
 
 def _decoded(shared, columns: list[str]):
@@ -370,6 +370,6 @@ def _decoded(shared, columns: list[str]):
 
 def decode(encoded: DataFrame, tables: dict) -> DataFrame:
     """``encoded`` with ``decoded``, the text its ``ids`` stand for."""
-    plain = encoded.drop("decoded")
+    plain, named = plain_names(encoded.drop("decoded"))
     shared = encoded.sparkSession.sparkContext.broadcast(tables["decoded"])
-    return plain.mapInArrow(_decoded(shared, plain.columns), T.StructType([*plain.schema.fields, T.StructField("decoded", T.StringType())]))
+    return named(plain.mapInArrow(_decoded(shared, plain.columns), T.StructType([*plain.schema.fields, T.StructField("decoded", T.StringType())])))

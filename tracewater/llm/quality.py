@@ -16,8 +16,9 @@ Cases: a null or empty text has the common feature alone and gets its score.
 Labels that are null or not 0 or 1 do not take part; a document with
 contradicting labels counts as each of them. Without any usable label, or with
 one class only, all scores are the share of label 1 (0.5 without labels).
-Repeated rows are scored each. Labels are joined by id alone; extra columns are
-not read.
+Repeated rows are scored each. A very long text is a block of its own in a
+task. An empty table has no scores and gives 0.5 to others. Labels are joined by
+id alone; extra columns are kept, whatever their names, and not read.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewater.llm import texts
-from tracewater.llm.common import bound_batches
+from tracewater.llm.common import bound_batches, plain_names
 
 BITS, WIDTH, EPOCHS, RATE, SAMPLE, SEED = 18, 16, 12, 0.6, 4000, 7
 
@@ -145,7 +146,8 @@ def _scored(weights, bits: int, keep: list[str], name: str):
 
 
 def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, name: str = "score") -> DataFrame:
-    """``docs`` with a column ``name``, which they must not have yet: how likely label 1 is (0 to 1)."""
+    """``docs`` with a column ``name`` (a new one in place of theirs): how likely label 1 is (0 to 1)."""
+    docs, named = plain_names(docs.drop(name))
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    return docs.mapInArrow(_scored(shared, bits, docs.columns, name), schema)
+    return named(docs.mapInArrow(_scored(shared, bits, docs.columns, name), schema))

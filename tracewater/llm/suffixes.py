@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewater.llm import texts
-from tracewater.llm.common import bound_batches, fresh, stage
+from tracewater.llm.common import bound_batches, fresh, plain_names, stage
 
 LENGTH, GRAM, MANY, HOT = 200, 32, 2000, 10_000
 _PLACE = np.uint64((1 << 28) - 1)
@@ -427,8 +427,9 @@ def _with_spans(docs: DataFrame, spans: DataFrame, name: str) -> DataFrame:
 
 def apply_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with the spans cut out of ``text``; all its columns, in order."""
+    docs, named = plain_names(docs)
     name = fresh(docs, "spans")
-    return _with_spans(docs, spans, name).mapInArrow(_applied(docs.columns, name, False), docs.schema)
+    return named(_with_spans(docs, spans, name).mapInArrow(_applied(docs.columns, name, False), docs.schema))
 
 
 def removal_report(docs: DataFrame, spans: DataFrame) -> DataFrame:
