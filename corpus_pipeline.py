@@ -7,7 +7,10 @@ weights, and the texts are cut into pieces. Every stage is written before the
 next one reads it.
 
 All stages but the last return the columns of ``documents``, whatever further
-columns there are.
+columns there are and whatever their names. In every stage an empty table gives
+an empty one, texts are whole however long they are, and ties and draws are
+settled by keyed hashes, so that a rerun gives the same rows; what becomes of
+null texts, empty texts and repeated rows is said at each stage.
 """
 
 from __future__ import annotations
@@ -16,13 +19,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewater.llm import minhash, mixing, pieces, quality, suffixes
-from tracewater.llm.common import fresh, stage
+from tracewater.llm.common import fresh, plain_names, stage
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is 0.5 or more; the classifier learns from the labelled ones among ``docs``."""
+    """Documents whose quality score is 0.5 or more; the classifier learns from the labelled ones among ``docs``.
+
+    Null and empty texts have the score of a text without features; repeated rows are judged each.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     weights = quality.fit(docs, labels)
     name = fresh(docs, "score")
@@ -32,8 +38,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each component of similarity 0.8 on five-word shingles.
 
-    Of rows that repeat a doc_id and its text one stays.
+    Of rows that repeat a doc_id and its text the least by its columns stays
+    (columns that have no order do not count). Null and empty texts and rows
+    without doc_id are near nothing and stay.
     """
+    docs, named = plain_names(docs)
     decided = minhash.near_duplicates(docs, width=5, percent=80)
     gone = stage(decided.filter("not kept").select("doc_id").distinct(), "gone")
     left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
@@ -41,18 +50,19 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "twice"
     )
     if not twice.limit(1).count():
-        return left
+        return named(left)
     place = fresh(docs, "place")
-    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*[F.col(f"`{c}`") for c in docs.columns])
+    sortable = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*sortable)
     repeated = left.join(twice, "doc_id", "left_semi").select(docs.columns).withColumn(place, F.row_number().over(order))
     once = repeated.filter(F.col(place) == 1).drop(place)
-    return left.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+    return named(left.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 200-byte strings that start somewhere before; a text that is repeated whole goes.
 
-    ``n_chars`` follows the text.
+    ``n_chars`` follows the text. Null texts stay null, empty ones stay.
     """
     was = fresh(docs, "was")
     marked = suffixes.apply_spans(docs.withColumn(was, F.length("text")), suffixes.repeats(docs, length=200, keep="first"))
@@ -61,12 +71,12 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as its source's target needs."""
+    """Every document as often as its source's target needs; null and empty texts have size 0, the null source is one."""
     return mixing.apply_mix(docs, mixing.mix(docs))
 
 
 def in_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with ``ids``, their pieces under merge dropout."""
+    """The documents with ``ids``, their pieces under merge dropout; a null or empty text has none of its own."""
     return pieces.encode(docs, pieces.load(PIECE_MODEL))
 
 
