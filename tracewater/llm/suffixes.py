@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tracewater.llm import texts
 from tracewater.llm.common import bound_batches, fresh, plain_names, stage
 
-LENGTH, GRAM, MANY, HOT = 200, 32, 2000, 10_000
+LENGTH, GRAM, MANY, HOT = 200, 32, 2000, 100_000
 _PLACE = np.uint64((1 << 28) - 1)
 
 
@@ -307,13 +307,18 @@ def _once(hashed: DataFrame, lists: DataFrame) -> DataFrame:
     return found.select("who.*", "text", "wanted")
 
 
-def _marked(hot: dict, length: int, keep: str):
-    """Task function: spans of pieces whose content is in ``hot`` (content and key -> first place)."""
-    contents = np.array(sorted({c for c, _ in hot}), np.int64)
+def _marked(shared, length: int, keep: str):
+    """Task function: spans of pieces whose content is in the broadcast list (content and key -> first place)."""
 
     def of(batches):
+        hot = shared.value
+        contents = np.array(sorted({c for c, _ in hot}), np.int64)
         for batch in batches:
-            may = batch.filter(pa.array(np.isin(batch.column("content").to_numpy(), contents)))
+            own = batch.column("content").to_numpy()
+            at = np.minimum(np.searchsorted(contents, own), len(contents) - 1)
+            may = batch.filter(pa.array(contents[at] == own))
+            if not may.num_rows:
+                continue
             out = []
             for doc, text, start, windows, key, content in zip(*[may.column(c).to_pylist() for c in PIECE_NAMES], strict=True):
                 first = hot.get((content, key))
@@ -339,7 +344,8 @@ def _copies(shared: DataFrame, kinds: DataFrame, length: int, keep: str) -> Data
         copies = copies.filter(~place.eqNullSafe(F.col("first")))
     spans = copies.select("doc_id", "text_hash", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + length - 1).alias("hi"))
     if hot:
-        spans = spans.unionByName(shared.select(*PIECE_NAMES).mapInArrow(_marked(hot, length, keep), SPAN))
+        known = shared.sparkSession.sparkContext.broadcast(hot)
+        spans = spans.unionByName(shared.select(*PIECE_NAMES).mapInArrow(_marked(known, length, keep), SPAN))
     return spans
 
 
