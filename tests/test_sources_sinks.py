@@ -192,3 +192,21 @@ def test_comma_csv_round_trip_of_quotes(spark, frame, tmp_path, rows):
     assert '"a ""b""; c"' in raw and "0,0000000000000004" in raw
     back = readers.scan_delimited(spark, str(tmp_path / "q"), schemas.struct("id v"), sep=";", file_column=None)
     assert set(rows(back)) == {('a "b"; c', "0,0000000000000004"), ("NA?", None)}
+
+
+def test_refresh_replaces_only_the_values_it_holds(spark, tmp_path):
+    folder = str(tmp_path / "plants")
+    first = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "plant string, v int")
+    sinks.write_per_value(first, folder, "plant")
+
+    def files(value):
+        found = sorted((tmp_path / "plants" / f"plant={value}").glob("*.parquet"))
+        return [(f.name, f.stat().st_mtime_ns) for f in found]
+
+    kept, replaced = files("b"), files("a")
+    manifest = sinks.refresh_per_value(spark.createDataFrame([("a", 9), ("c", 5), (None, 6)], "plant string, v int"), folder, "plant")
+    assert files("b") == kept and kept and files("a") != replaced
+    assert {(r.plant, r.v) for r in spark.read.parquet(folder).collect()} == {("a", 9), ("b", 3), ("c", 5), (None, 6)}
+    assert {(r.plant, r.n_rows) for r in manifest.collect()} == {("a", 1), ("c", 1), (None, 1)}
+    sinks.refresh_per_value(first.limit(0), folder, "plant")
+    assert spark.read.parquet(folder).count() == 4

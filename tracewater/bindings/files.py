@@ -171,6 +171,21 @@ def sink_partitioned(spark, sf):
     return spark.read.parquet(folder)
 
 
+@query(
+    "sink_refresh",
+    """SELECT o_orderkey, CASE WHEN o_orderpriority IN ('5-LOW', '1-URGENT') THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+              o_orderpriority AS plant FROM orders""",
+)
+def sink_refresh(spark, sf):
+    """A later run replaces the folders of two plants, reading the old ones from the same path."""
+    folder = shared_folder(spark, "refreshed")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("plant"))
+    sinks.write_per_value(orders, folder, "plant")
+    again = spark.read.parquet(folder).where(F.col("plant").isin("5-LOW", "1-URGENT"))
+    sinks.refresh_per_value(again.withColumn("o_totalprice", F.col("o_totalprice") + 1), folder, "plant")
+    return spark.read.parquet(folder)
+
+
 @query(
     "locale_csv_sink",
     """SELECT c_custkey::VARCHAR AS id, regexp_replace(replace(c_acctbal::VARCHAR, '.', ','), ',0$', '') AS balance FROM customer""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewater.functions.text import comma_decimal
+from tracewater.session import shared_folder
 
 BOM = "﻿"
 
@@ -25,6 +27,22 @@ def write_per_value(df: DataFrame, path: str, column: str, fmt: str = "parquet",
     ).save(path)
 
 
+def refresh_per_value(df: DataFrame, path: str, column: str) -> DataFrame:
+    """Replace the folders of the values that ``df`` holds; all other values' files stay as they are.
+
+    Returns the run's manifest, ``column`` and ``n_rows``, which is also
+    written below ``_manifest``, a name that readers of ``path`` pass over. A
+    value without rows in ``df`` is not refreshed. ``df`` is written to the
+    shared folder first, so it may be read from ``path`` itself, and the
+    manifest counts what was written.
+    """
+    rows = write_stage(df, shared_folder(df.sparkSession, "refresh"))
+    writer = rows.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(column).parquet(path)
+    counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    return write_stage(counts, f"{path.rstrip('/')}/_manifest/{uuid.uuid4().hex}")
+
+
 def write_stage(df: DataFrame, path: str) -> DataFrame:
     """Hand-over between stages: write once, go on from the written table.
 
