@@ -10,6 +10,7 @@ from tracewater.bindings.registry import query, table
 from tracewater.functions.chemistry import Rule, chemical_class
 from tracewater.functions.geodesy import to_rd, to_wgs84
 from tracewater.operators import density, spatial
+from tracewater.operators.rows import repeated_keys
 from tracewater.plans import emission, places, suspects
 
 
@@ -128,6 +129,15 @@ def compound_enrich(spark, sf):
     return suspects.enrich_compounds(wanted, compounds(spark, sf))
 
 
+@query(
+    "compound_duplicates",
+    f"SELECT cas, count(*) AS n FROM ({COMPOUND_SQL}) WHERE cid IS NOT NULL GROUP BY cas HAVING count(*) > 1",
+)
+def compound_duplicates(spark, sf):
+    """Substances that the compound service knows under several ids."""
+    return repeated_keys(compounds(spark, sf).where(F.col("cid").isNotNull()), "cas")
+
+
 # -- places --------------------------------------------------------------------
 
 _ADDRESS_SQL = """SELECT c_custkey, c_acctbal, c_mktsegment, c_nationkey,
@@ -310,6 +320,24 @@ def kde_grid(spark, sf):
     return _event_density(spark, sf).withColumn("density", F.round("density", 9))
 
 
+@query(
+    "kde_normal_scale",
+    """WITH p AS (SELECT event_type, CAST(hour(ts) AS DOUBLE) AS x, value AS y FROM events),
+        b AS (SELECT event_type, count(*) AS total, stddev_samp(x) * pow(count(*), -1.0::DOUBLE / 6) AS hx,
+                     stddev_samp(y) * pow(count(*), -1.0::DOUBLE / 6) AS hy FROM p GROUP BY 1),
+        s AS (SELECT *, unnest(generate_series(ceil(x - 4 * hx)::BIGINT, floor(x + 4 * hx)::BIGINT)) AS ix FROM p JOIN b USING (event_type)),
+        c AS (SELECT *, unnest(generate_series(ceil((y - 4 * hy) / 20)::BIGINT, floor((y + 4 * hy) / 20)::BIGINT)) AS iy FROM s)
+        SELECT event_type, ix, iy, round(sum(exp(-(pow((ix - x) / hx, 2) + pow((iy * 20 - y) / hy, 2)) / 2) / (2 * pi() * hx * hy)) / any_value(total), 9) AS density
+        FROM c GROUP BY event_type, ix, iy""",
+)
+def kde_normal_scale(spark, sf):
+    """Each group with the bandwidth that its own spread and size suggest."""
+    points = _event_points(spark, sf)
+    chosen = density.normal_scale_bandwidth(points, ["event_type"], "x", "y")
+    grid = density.kernel_density(points, ["event_type"], "x", "y", _STEP, chosen)
+    return grid.withColumn("density", F.round("density", 9))
+
+
 @query(
     "hdr_bands",
     f"""WITH {_KDE_SQL},

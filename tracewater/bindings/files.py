@@ -147,14 +147,14 @@ def geojson_features(spark, sf):
 
 @query("geojson_collection", "SELECT postcode6, 1 AS n_rings, 1 AS first_ring FROM " + AREA_SQL)
 def geojson_collection(spark, sf):
-    """Feature collections, one per file, landed as lines first."""
+    """Feature collections of at most 1,000 features, one per file, landed as lines first."""
     folder = shared_folder(spark, "collections")
     ring = F.transform(F.col("rings")[0], lambda p: F.array(p["x"], p["y"]))
     feature = F.concat(
         F.lit('{"type":"Feature","geometry":{"type":"Polygon","coordinates":['), F.to_json(ring), F.lit(']},"properties":'),
         F.to_json(F.struct("postcode6")), F.lit("}"),
     )
-    page = areas(spark, sf).select(feature.alias("f"), (F.col("postcode6") % 16).alias("page")).groupBy("page")
+    page = areas(spark, sf).select(feature.alias("f"), F.floor(F.col("postcode6") / 1000).alias("page")).groupBy("page")
     whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("f"), ","), F.lit("]}"))
     page.agg(whole.alias("value")).select("value", "page").write.partitionBy("page").text(folder)
     lines = readers.land_features(spark, folder, shared_folder(spark, "features"))
