@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from tracewater.bindings.registry import query, table
 from tracewater.functions.chemistry import Rule, chemical_class
 from tracewater.functions.geodesy import to_rd, to_wgs84
-from tracewater.operators import density, spatial
+from tracewater.operators import contours, density, spatial
 from tracewater.operators.rows import repeated_keys
 from tracewater.plans import emission, places, suspects
+from tracewater.session import shared_folder
+from tracewater.sources.sinks import write_stage
 
 
 @query(
@@ -356,3 +358,56 @@ def hdr_bands(spark, sf):
         _event_points(spark, sf), _event_density(spark, sf), ["event_type"], "x", "y", _STEP
     )
     return bands.withColumn("density", F.round("density", 9))
+
+
+# Sides as whole numbers: lower node and direction; the cells below, beside and across share them.
+_SIDE_SQL = "((({dy} + iy) * 1000000 + ix + {dx}) * 2 + {d})"
+_B, _R = _SIDE_SQL.format(dy=0, dx=0, d=0), _SIDE_SQL.format(dy=0, dx=1, d=1)
+_T, _L = _SIDE_SQL.format(dy=1, dx=0, d=0), _SIDE_SQL.format(dy=0, dx=0, d=1)
+_CONTOUR_SQL = f"""{_KDE_SQL},
+    spots AS (SELECT p.event_type, g.density FROM p JOIN g ON g.event_type = p.event_type
+              AND g.ix = floor(p.x + 0.5) AND g.iy = floor(p.y / 20 + 0.5)),
+    levels AS (SELECT event_type, 50 AS band, quantile_cont(density, 0.5) AS level FROM spots GROUP BY 1
+               UNION ALL SELECT event_type, 90, quantile_cont(density, 0.1) FROM spots GROUP BY 1),
+    cells AS (SELECT event_type, ix - dx AS ix, iy - dy AS iy,
+                     coalesce(max(density) FILTER (dx = 0 AND dy = 0), 0) AS v0, coalesce(max(density) FILTER (dx = 1 AND dy = 0), 0) AS v1,
+                     coalesce(max(density) FILTER (dx = 1 AND dy = 1), 0) AS v2, coalesce(max(density) FILTER (dx = 0 AND dy = 1), 0) AS v3
+              FROM g, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) c(dx, dy) GROUP BY ALL),
+    sides AS (SELECT *, v0 >= level AS i0, v1 >= level AS i1, v2 >= level AS i2, v3 >= level AS i3, (v0 + v1 + v2 + v3) / 4 >= level AS mid,
+                     {_B} AS sb, {_R} AS sr, {_T} AS st, {_L} AS sl,
+                     {{'x': ix + (level - v0) / (v1 - v0), 'y': 20 * iy}} AS pb, {{'x': ix + 1, 'y': 20 * (iy + (level - v1) / (v2 - v1))}} AS pr,
+                     {{'x': ix + (level - v3) / (v2 - v3), 'y': 20 * (iy + 1)}} AS pt, {{'x': ix, 'y': 20 * (iy + (level - v0) / (v3 - v0))}} AS pl
+              FROM cells JOIN levels USING (event_type)),
+    coded AS (SELECT *, i0::INT + 2 * i1::INT + 4 * i2::INT + 8 * i3::INT AS code FROM sides),
+    segs AS (
+      SELECT event_type, band, sb AS a, sl AS b, pb AS p, pl AS q FROM coded WHERE code = 1 OR code = 5 AND NOT mid UNION ALL
+      SELECT event_type, band, sr, sb, pr, pb FROM coded WHERE code = 2 OR code = 10 AND NOT mid UNION ALL
+      SELECT event_type, band, st, sr, pt, pr FROM coded WHERE code = 4 OR code = 5 AND NOT mid UNION ALL
+      SELECT event_type, band, sl, st, pl, pt FROM coded WHERE code = 8 OR code = 10 AND NOT mid UNION ALL
+      SELECT event_type, band, sr, sl, pr, pl FROM coded WHERE code = 3 UNION ALL
+      SELECT event_type, band, st, sb, pt, pb FROM coded WHERE code = 6 UNION ALL
+      SELECT event_type, band, sl, sr, pl, pr FROM coded WHERE code = 12 UNION ALL
+      SELECT event_type, band, sb, st, pb, pt FROM coded WHERE code = 9 UNION ALL
+      SELECT event_type, band, st, sl, pt, pl FROM coded WHERE code = 7 OR code = 5 AND mid UNION ALL
+      SELECT event_type, band, sl, sb, pl, pb FROM coded WHERE code = 14 OR code = 10 AND mid UNION ALL
+      SELECT event_type, band, sb, sr, pb, pr FROM coded WHERE code = 13 OR code = 5 AND mid UNION ALL
+      SELECT event_type, band, sr, st, pr, pt FROM coded WHERE code = 11 OR code = 10 AND mid),
+    walk AS (SELECT event_type, band, a AS root, a, b, 1 AS n, p.x * q.y - q.x * p.y AS twice FROM segs UNION ALL
+             SELECT w.event_type, w.band, root, s.a, s.b, n + 1, twice + (s.p.x * s.q.y - s.q.x * s.p.y)
+             FROM walk w JOIN segs s ON s.event_type = w.event_type AND s.band = w.band AND s.a = w.b WHERE w.b > root)"""
+
+
+@query(
+    "density_contours",
+    f"""WITH RECURSIVE {_CONTOUR_SQL}
+        SELECT event_type, band, CAST(root AS BIGINT) AS ring, CAST(n AS BIGINT) AS n_points, round(twice / 2, 5) AS area
+        FROM walk WHERE b = root""",
+)
+def density_contours(spark, sf):
+    """The outlines of the regions that hold half and nine tenths of each group's points; holes have negative areas."""
+    grid = write_stage(_event_density(spark, sf), shared_folder(spark, "density"))
+    levels = density.band_levels(_event_points(spark, sf), grid, ["event_type"], "x", "y", _STEP, (50, 90))
+    found = contours.contour_segments(grid, ["event_type"], "density", levels, _STEP)
+    rings = contours.ring_summary(contours.ring_points(found, ["event_type"]), ["event_type"])
+    number = (F.col("ring.iy") * 1000000 + F.col("ring.ix")) * 2 + F.col("ring.d")
+    return rings.select("event_type", "band", number.alias("ring"), "n_points", F.round("area", 5).alias("area"))

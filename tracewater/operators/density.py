@@ -87,17 +87,38 @@ def density_bands(
     as sums of doubles need not come out bit for bit the same twice.
     """
     density = write_stage(density, shared_folder(density.sparkSession, "density"))
+    levels = _levels_at_points(points, density, by, x, y, step, shares, origin)
+    band = F.lit(None).cast("int")
+    for i, p in reversed(list(enumerate(shares))):
+        band = F.when(F.col("density") >= F.col("__levels")[i], p).otherwise(band)
+    return density.join(levels, list(by)).select(*by, "ix", "iy", "density", band.alias("band"))
+
+
+def band_levels(
+    points: DataFrame,
+    density: DataFrame,
+    by: Sequence[str],
+    x: str,
+    y: str,
+    step: tuple[float, float],
+    shares: Sequence[int] = (10, 25, 50, 75, 90),
+    origin: tuple[float, float] = (0.0, 0.0),
+) -> DataFrame:
+    """``by, band, level``: the density that bounds each region of ``density_bands``, for tracing its outline."""
+    levels = _levels_at_points(points, density, by, x, y, step, shares, origin)
+    each = F.explode(F.arrays_zip(F.array(*[F.lit(p) for p in shares]).alias("band"), F.col("__levels").alias("level")))
+    return levels.select(*by, each.alias("__l")).select(*by, "__l.band", "__l.level")
+
+
+def _levels_at_points(points, density, by, x, y, step, shares, origin) -> DataFrame:
+    """``by, __levels``: the (1 - p/100) quantiles of the density at the points' nearest nodes."""
     nearest = {
         "ix": F.floor((F.col(x) - F.lit(origin[0])) / F.lit(step[0]) + F.lit(0.5)),
         "iy": F.floor((F.col(y) - F.lit(origin[1])) / F.lit(step[1]) + F.lit(0.5)),
     }
     per_node = points.withColumns(nearest).groupBy(*by, "ix", "iy").agg(F.count(F.lit(1)).alias("__n"))
     counts = per_node.join(density, [*by, "ix", "iy"]).groupBy(*by, "density").agg(F.sum("__n").alias("__n"))
-    levels = _quantiles(counts, by, "density", [1.0 - p / 100.0 for p in shares])
-    band = F.lit(None).cast("int")
-    for i, p in reversed(list(enumerate(shares))):
-        band = F.when(F.col("density") >= F.col("__levels")[i], p).otherwise(band)
-    return density.join(levels, list(by)).select(*by, "ix", "iy", "density", band.alias("band"))
+    return _quantiles(counts, by, "density", [1.0 - p / 100.0 for p in shares])
 
 
 def _quantiles(counts: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
