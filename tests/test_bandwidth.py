@@ -1,10 +1,12 @@
 """Plug-in bandwidth matrices and the density with a full matrix, against direct double sums."""
 
 import math
+import os
 
 import numpy as np
 import pytest
 
+from tracewater.bindings import QUERIES
 from tracewater.operators import bandwidth, density
 
 
@@ -96,3 +98,21 @@ def test_matrix_density_without_a_turn(spark):
     turned = {(r.ix, r.iy): r.density for r in bandwidth.matrix_density(df, ["plant"], "x", "y", (1.0, 1.0), widths).collect()}
     plain = density.kernel_density(df, ["plant"], "x", "y", (1.0, 1.0), (0.7, 1.2)).collect()
     assert all(abs(r.density - turned.get((r.ix, r.iy), 0.0)) < 1e-4 for r in plain)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_query_against_double_sums(spark):
+    folder = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{folder}/events.parquet").selectExpr("event_type", "cast(hour(ts) as double) x", "value y").collect()
+    got = {(r.event_type, r.ix, r.iy): r.density for r in QUERIES["kde_plug_in"](spark, folder).collect()}
+    for kind in {r.event_type for r in events}:
+        points = np.array([[r.x, r.y] for r in events if r.event_type == kind])
+        h = direct(points)
+        ix = np.arange(-10, 35)
+        iy = np.arange(int(points[:, 1].min() // 20) - 5, int(points[:, 1].max() // 20) + 6)
+        d = np.stack(np.meshgrid(ix, iy * 20.0, indexing="ij"), -1)[:, :, None, :] - points
+        q = np.einsum("abni,ij,abnj->abn", d, np.linalg.inv(h), d)
+        want = (np.exp(-q / 2) * (q <= 16)).sum(-1) / (2 * math.pi * math.sqrt(np.linalg.det(h)) * len(points))
+        found = np.array([[got.get((kind, a, b), 0.0) for b in iy] for a in ix])
+        assert np.abs(found - want).max() < 0.02 * want.max()
+        assert sum(v for k, v in got.items() if k[0] == kind) == pytest.approx(found.sum())

@@ -39,7 +39,7 @@ def table_of(columns, rows):
     return sorted(columns), sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_sql(spark, duck, key):
     df = QUERIES[key](spark, SF_DIR)
     got = table_of(df.columns, df.collect())
@@ -51,7 +51,8 @@ def test_query_matches_sql(spark, duck, key):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    """All but the one that is compared with double sums in test_bandwidth.py."""
+    assert set(QUERIES) - set(SQL) == {"kde_plug_in"} and set(SQL) <= set(QUERIES)
 
 
 def test_entry(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tracewater.bindings.registry import query, table
 from tracewater.functions.chemistry import Rule, chemical_class
 from tracewater.functions.geodesy import to_rd, to_wgs84
-from tracewater.operators import contours, density, spatial
+from tracewater.operators import bandwidth, contours, density, spatial
 from tracewater.operators.rows import repeated_keys
 from tracewater.plans import emission, places, suspects
 from tracewater.session import shared_folder
@@ -411,3 +411,12 @@ def density_contours(spark, sf):
     rings = contours.ring_summary(contours.ring_points(found, ["event_type"]), ["event_type"])
     number = (F.col("ring.iy") * 1000000 + F.col("ring.ix")) * 2 + F.col("ring.d")
     return rings.select("event_type", "band", number.alias("ring"), "n_points", F.round("area", 5).alias("area"))
+
+
+@query("kde_plug_in")
+def kde_plug_in(spark, sf):
+    """Each group with the plug-in bandwidth matrix; its search has no SQL, so a test compares it with double sums."""
+    points = _event_points(spark, sf)
+    chosen = write_stage(bandwidth.plug_in_bandwidth(points, ["event_type"], "x", "y"), shared_folder(spark, "bandwidth"))
+    grid = bandwidth.matrix_density(points, ["event_type"], "x", "y", _STEP, chosen)
+    return grid.withColumn("density", F.round("density", 9))
