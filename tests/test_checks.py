@@ -39,3 +39,13 @@ def test_company_density_weighs_codes_and_skips_unknown(frame):
     assert abs(peak.ix - 128.4) < 1 and abs(peak.iy - 446.2) < 1.5
     mass = sum(r.density for r in bands.collect())
     assert abs(mass - 1.0) < 0.01
+
+
+def test_company_contours_with_plug_in_bandwidth(frame):
+    places_at = [(f"A {i}", 52.0 + (i * i % 17) / 400, 5.0 + (i * 7 % 23) / 300) for i in range(60)]
+    register = frame("address string, latitude double, longitude double", *places_at)
+    companies = frame("address string, plant string", *[(a, "p") for a, _, _ in places_at], ("nowhere", "p"))
+    rings = places.company_contours(companies, register, (500.0, 500.0), None, shares=(50, 90)).collect()
+    assert {r.band for r in rings} == {50, 90} and all(r.points[0] == r.points[-1] for r in rings)
+    total = {b: sum(r.area for r in rings if r.band == b) for b in (50, 90)}
+    assert 0 < total[50] < total[90]

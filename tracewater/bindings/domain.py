@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tracewater.bindings.registry import query, table
 from tracewater.functions.chemistry import Rule, chemical_class
+from tracewater.functions.elements import class_by_elements, formula_elements, smiles_elements
 from tracewater.functions.geodesy import to_rd, to_wgs84
 from tracewater.operators import bandwidth, contours, density, spatial
 from tracewater.operators.rows import repeated_keys
@@ -420,3 +421,53 @@ def kde_plug_in(spark, sf):
     chosen = write_stage(bandwidth.plug_in_bandwidth(points, ["event_type"], "x", "y"), shared_folder(spark, "bandwidth"))
     grid = bandwidth.matrix_density(points, ["event_type"], "x", "y", _STEP, chosen)
     return grid.withColumn("density", F.round("density", 9))
+
+
+_NONMETAL_SQL = "['H', 'D', 'T', 'He', 'C', 'N', 'O', 'F', 'Ne', 'P', 'S', 'Cl', 'Ar', 'Br', 'Kr', 'I', 'Xe']"
+_ELEMENT_SQL = f"""WITH c AS ({_CHEM_SQL}),
+    m AS (SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'K' || p_size || '[Fe(CN)' || (p_size % 7 + 2) || ']2.3H2O' ELSE formula END AS formula, smiles,
+                 p_size % 3 = 0 AS grouped, p_size AS k, p_size % 7 + 2 AS cn FROM c),
+    f AS (SELECT *, CASE WHEN grouped THEN ['K', 'Fe', 'C', 'N', 'H', 'O'] ELSE regexp_extract_all(formula, '[A-Z][a-z]?') END AS fe,
+                 regexp_extract_all(smiles, '\\[([A-Z][a-z]?)[^\\]]*\\]|Cl|Br|[BCNOPSFIbcnops]') AS raw FROM m),
+    s AS (SELECT *, list_transform(raw, lambda t: CASE WHEN t LIKE '[%' THEN regexp_extract(t, '[A-Z][a-z]?') ELSE upper(t[1]) || t[2:] END) AS se FROM f)
+    SELECT p_partkey, formula, smiles,
+           CASE WHEN formula IS NULL THEN NULL WHEN NOT list_contains(fe, 'C') THEN 'Inorganic' WHEN smiles IS NULL THEN NULL
+                WHEN contains(smiles, '.') THEN 'Organic Ionic'
+                WHEN len(list_filter(list_concat(fe, se), lambda e: NOT list_contains({_NONMETAL_SQL}, e))) > 0 THEN 'Organometallic'
+                ELSE 'Organic' END AS chemical_class,
+           CAST(CASE WHEN grouped THEN k + 2 * (1 + 2 * cn) + 9
+                     ELSE list_sum(list_transform(regexp_extract_all(formula, '[A-Z][a-z]?([0-9]*)', 1), lambda n: CASE n WHEN '' THEN 1 ELSE n::BIGINT END)) END AS BIGINT) AS n_atoms,
+           CAST(len(list_filter(se, lambda e: e = 'C')) AS BIGINT) AS smiles_carbons
+    FROM s"""
+
+
+@query("classify_elements", _ELEMENT_SQL)
+def classify_elements(spark, sf):
+    """Classes by parsed elements; a third of the formulas are made of nested groups and a hydrate."""
+    grouped = F.concat(F.lit("K"), "p_size", F.lit("[Fe(CN)"), F.col("p_size") % 7 + 2, F.lit("]2.3H2O"))
+    formula, smiles = F.col("formula"), F.col("smiles")
+    atoms = F.aggregate(F.map_values(formula_elements(formula)), F.lit(0).cast("bigint"), lambda n, c: n + c)
+    carbons = F.coalesce(F.try_element_at(smiles_elements(smiles), F.lit("C")), F.when(smiles.isNotNull(), F.lit(0).cast("bigint")))
+    return chem(spark, sf).withColumn("formula", F.when(F.col("p_size") % 3 == 0, grouped).otherwise(formula)).select(
+        "p_partkey", "formula", "smiles", class_by_elements(formula, smiles).alias("chemical_class"),
+        atoms.alias("n_atoms"), carbons.alias("smiles_carbons"),
+    )
+
+
+@query(
+    "address_suggestions",
+    """WITH r AS (SELECT DISTINCT upper(c_name) || ', ' || c_mktsegment AS known FROM customer WHERE c_acctbal > 0),
+            m AS (SELECT DISTINCT upper(replace(c_name, 'omer', 'omr')) || ', ' || c_mktsegment AS address FROM customer WHERE c_acctbal <= 0),
+            d AS (SELECT address, known AS suggestion, levenshtein(address, known) AS distance FROM m, r WHERE levenshtein(address, known) <= 2)
+       SELECT address, suggestion, CAST(distance AS INTEGER) AS distance,
+              CAST(row_number() OVER (PARTITION BY address ORDER BY distance, suggestion) AS INTEGER) AS rank,
+              row_number() OVER (PARTITION BY address ORDER BY distance, suggestion) = 1
+                AND count(*) OVER (PARTITION BY address, distance) = 1 AS only
+       FROM d""",
+)
+def address_suggestions(spark, sf):
+    """Names with a letter missing, of customers who are not in the register, so the nearest ones differ in a digit."""
+    customers = table(spark, sf, "customer").select("c_acctbal", "c_name", F.concat("c_name", F.lit(" ,  "), "c_mktsegment").alias("address"))
+    register = customers.where(F.col("c_acctbal") > 0).select("address", F.lit(52.0).alias("latitude"), F.lit(5.0).alias("longitude"))
+    wrong = customers.where(F.col("c_acctbal") <= 0).select(F.replace("address", F.lit("omer"), F.lit("omr")).alias("address"))
+    return places.address_suggestions(places.locate(wrong, register), register, edits=2)
