@@ -10,10 +10,12 @@ are at most ``NODES`` squared counts, however many points it has, and the pair s
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,9 @@ from pyspark.sql import types as T
 from tracewater.operators.density import _near
 from tracewater.operators.joins import null_safe_join
 
+# The numeric step travels to the executors by value, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODES = 151  # grid nodes per axis
 MATRIX = ["h_xx", "h_xy", "h_yy"]
 
