@@ -10,7 +10,7 @@ from tracewater.bindings.registry import query, table
 from tracewater.functions.chemistry import Rule, chemical_class
 from tracewater.functions.elements import class_by_elements, formula_elements, smiles_elements
 from tracewater.functions.geodesy import to_rd, to_wgs84
-from tracewater.operators import bandwidth, contours, density, spatial
+from tracewater.operators import bandwidth, contours, density, overlay, spatial
 from tracewater.operators.rows import repeated_keys
 from tracewater.plans import emission, places, suspects
 from tracewater.session import shared_folder
@@ -276,6 +276,27 @@ def spatial_join_intersects(spark, sf):
     )
 
 
+def _overlap_sql(x0, x1, y0, y1):
+    """Common area of an area's square and a box of the catchment's frame."""
+    return f"""(greatest(least(ax + 15, x + {x1}) - greatest(ax - 15, x + {x0}), 0)
+                * greatest(least(ay + 15, y + {y1}) - greatest(ay - 15, y + {y0}), 0))"""
+
+
+@query(
+    "catchment_overlap",
+    f"""WITH o AS (SELECT DISTINCT plant AS naam, s_acctbal, postcode6, ax, ay,
+                      {_overlap_sql(0, 300, 0, 100)} + {_overlap_sql(0, 100, 100, 300)} - {_overlap_sql(20, 80, 20, 80)} AS common
+               FROM {CATCHMENT_SQL}, {AREA_SQL})
+        SELECT naam, postcode6, round(CAST(common AS DOUBLE), 6) AS area, round(common / 900.0::DOUBLE, 9) AS share FROM o WHERE common > 0""",
+)
+def catchment_overlap(spark, sf):
+    """How much of each postcode area a catchment holds: pairs that only touch are left out."""
+    found = overlay.polygon_overlaps(
+        areas(spark, sf), "rings", ["postcode6"], catchments(spark, sf), "rings", ["naam"], CELL
+    )
+    return found.select("naam", "postcode6", F.round("area", 6).alias("area"), F.round("share", 9).alias("share"))
+
+
 @query(
     "point_in_polygon",
     f"SELECT o_orderkey, plant AS naam FROM {POINT_SQL}, {CATCHMENT_SQL} WHERE {COVERS_SQL}",
