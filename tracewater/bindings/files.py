@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tracewater.bindings.domain import AREA_SQL, areas
+from tracewater.bindings.domain import AREA_SQL, CATCHMENT_SQL, CELL, areas, catchments
 from tracewater.bindings.registry import query, table
 from tracewater.functions.dates import DUTCH_MONTHS
+from tracewater.operators import parts
 from tracewater.operators.spatial import with_box
 from tracewater.session import shared_folder
 from tracewater.sources import readers, sinks
@@ -145,6 +146,36 @@ def geojson_features(spark, sf):
     return with_box(found.withColumn("n_rings", F.size("rings")), "rings").drop("rings")
 
 
+@query(
+    "geojson_parts",
+    f"""SELECT plant AS naam, CAST(CASE WHEN s_nationkey % 2 = 0 THEN 1 ELSE 0 END AS INT) AS part, 1 AS n_holes, CAST(x AS DOUBLE) AS min_x,
+               50000.0::DOUBLE AS shell_area, -3600.0::DOUBLE AS hole_area FROM (SELECT s_nationkey, c.* FROM supplier JOIN {CATCHMENT_SQL} c ON s_name = plant)
+        UNION ALL
+        SELECT s_name, 0, 0, CAST(floor(s_acctbal) + 45 AS DOUBLE), CAST((s_nationkey + 2) * 10 AS DOUBLE), 0.0::DOUBLE FROM supplier WHERE s_nationkey % 2 = 0""",
+)
+def geojson_parts(spark, sf):
+    """Catchments as flat ring lists, hole first and some with an island in it, written as features and read by parts."""
+    folder = shared_folder(spark, "parts")
+    island = table(spark, sf, "supplier").where("s_nationkey % 2 = 0").select(
+        F.col("s_name").alias("naam"), F.floor("s_acctbal").alias("x"), (F.col("s_nationkey") * 400).alias("y"), (F.col("s_nationkey") + 2).alias("w")
+    )
+    corners = [(45, 45, 0), (45, 55, 0), (45, 55, 1), (45, 45, 1)]
+    ring = F.array(*[
+        F.struct((F.col("x") + dx + F.col("w") * right).cast("double").alias("x"), (F.col("y") + dy).cast("double").alias("y")) for dx, dy, right in corners
+    ])
+    flat = catchments(spark, sf).join(island.select("naam", ring.alias("island")), "naam", "left").select(
+        "naam", F.filter(F.array(F.col("rings")[1], "island", F.reverse(F.col("rings")[0])), lambda r: r.isNotNull()).alias("rings")
+    )
+    sinks.write_features(parts.polygon_parts(flat, "naam", "rings", CELL), folder)
+    found = readers.scan_polygons(spark, folder, {"naam": "string"}, lines=True, parts=True)
+    each = found.select("naam", F.posexplode("parts").alias("part", "rings"))
+    holes = F.transform(F.slice("rings", 2, F.size("rings")), parts.signed_area)
+    return with_box(each, "rings").select(
+        "naam", "part", (F.size("rings") - 1).alias("n_holes"), "min_x",
+        parts.signed_area(F.col("rings")[0]).alias("shell_area"), F.aggregate(holes, F.lit(0.0), lambda s, a: s + a).alias("hole_area"),
+    )
+
+
 @query("geojson_collection", "SELECT postcode6, 1 AS n_rings, 1 AS first_ring FROM " + AREA_SQL)
 def geojson_collection(spark, sf):
     """Feature collections of at most 1,000 features, one per file, landed as lines first."""

@@ -173,12 +173,13 @@ def _keyed(df: DataFrame, keep: Sequence[str], rings: str) -> DataFrame:
     return df.select(*keep, F.col(rings).alias("__rings"), F.struct(F.xxhash64(*content), F.xxhash64(F.lit(1), *content)).alias("__id"))
 
 
-def _found(points: DataFrame, x: str, y: str, index: DataFrame, size: float) -> DataFrame:
-    """``points`` with the ``__id`` of every polygon of the index that covers them."""
+def _found(points: DataFrame, x: str, y: str, index: DataFrame, size: float, also: Column | None = None) -> DataFrame:
+    """``points`` with the ``__id`` of every polygon of the index that covers them; ``also`` is a further join condition."""
     s = f"{float(size)!r}D"
     cells = index.select("__id", *[F.col(c).alias(f"__{c}") for c in ("cx", "cy", "edges", "inside", "box")])
     placed = points.withColumns({"__px": F.expr(f"floor({x} / {s})"), "__py": F.expr(f"floor({y} / {s})")})
-    met = placed.join(cells, (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy")))
+    same_cell = (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy"))
+    met = placed.join(cells, same_cell if also is None else same_cell & also)
     in_box = F.expr(f"{x} BETWEEN __box.min_x AND __box.max_x AND {y} BETWEEN __box.min_y AND __box.max_y")
     covered = F.expr(covers_sql("__", x, y, f"(__cx * {s})"))
     return met.where(in_box).where((F.size("__edges") == 0) | covered).select(*points.columns, "__id")

@@ -216,12 +216,13 @@ def scan_domain_overview(spark: SparkSession, folder: str, sep: str = ";") -> Da
     )
 
 
-def scan_polygons(spark: SparkSession, folder: str, properties: dict[str, str], lines: bool = False) -> DataFrame:
+def scan_polygons(spark: SparkSession, folder: str, properties: dict[str, str], lines: bool = False, parts: bool = False) -> DataFrame:
     """GeoJSON polygons and multipolygons, one row per feature with a ``rings`` column.
 
     ``properties`` maps property names to types. A third coordinate is
     dropped. ``lines`` reads one feature per line, which splits over tasks;
     otherwise each file is one feature collection, as map services deliver it.
+    ``parts`` adds a column with the same rings by part, each its shell first.
     """
     props = ", ".join(f"`{n}`: {t}" for n, t in properties.items())
     geometry, record = "struct<type: string, coordinates: string>", f"struct<{props}>"
@@ -235,6 +236,7 @@ def scan_polygons(spark: SparkSession, folder: str, properties: dict[str, str],
     return features.select(
         *[F.col("properties")[n].alias(n) for n in properties],
         rings_from_coordinates(F.col("geometry.type"), F.col("geometry.coordinates")).alias("rings"),
+        *[parts_from_coordinates(F.col("geometry.type"), F.col("geometry.coordinates")).alias("parts")][: int(parts)],
     )
 
 
@@ -257,9 +259,16 @@ def land_features(spark: SparkSession, folder: str, out: str) -> str:
 
 def rings_from_coordinates(kind: Column, coordinates: Column) -> Column:
     """Coordinate text of a polygon or multipolygon to rings of ``x, y``."""
-    single = F.from_json(coordinates, "array<array<array<double>>>")
-    several = F.flatten(F.from_json(coordinates, "array<array<array<array<double>>>>"))
-    rings = F.when(kind == "Polygon", single).when(kind == "MultiPolygon", several)
-    return F.transform(
-        rings, lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    )
+    return F.flatten(parts_from_coordinates(kind, coordinates))
+
+
+def parts_from_coordinates(kind: Column, coordinates: Column) -> Column:
+    """Coordinate text of a polygon or multipolygon to parts, each its shell first and then its holes."""
+    single = F.array(F.from_json(coordinates, "array<array<array<double>>>"))
+    several = F.from_json(coordinates, "array<array<array<array<double>>>>")
+    parts = F.when(kind == "Polygon", single).when(kind == "MultiPolygon", several)
+
+    def point(p: Column) -> Column:
+        return F.struct(p[0].alias("x"), p[1].alias("y"))
+
+    return F.transform(parts, lambda part: F.transform(part, lambda ring: F.transform(ring, point)))

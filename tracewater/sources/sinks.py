@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewater.functions.text import comma_decimal
+from tracewater.operators.parts import geometry_text
 from tracewater.session import shared_folder
 
 BOM = "﻿"
@@ -52,6 +53,22 @@ def write_stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)  # stated, so that no job looks for it
 
 
+def write_features(df: DataFrame, path: str, parts: str = "parts") -> None:
+    """GeoJSON features, one per line: ``parts`` as geometry, all other columns as properties.
+
+    Lines split over tasks when read (``scan_polygons(..., lines=True)``).
+    Polygons without parts are written with a null geometry, null properties
+    as null.
+    """
+    others = [c for c in df.columns if c != parts]
+    properties = F.to_json(F.struct(*[F.col(f"`{c}`").alias(c) for c in others]), {"ignoreNullFields": "false"}) if others else F.lit("{}")
+    line = F.concat(
+        F.lit('{"type":"Feature","geometry":'), F.coalesce(geometry_text(F.col(parts)), F.lit("null")),
+        F.lit(',"properties":'), properties, F.lit("}"),
+    )
+    df.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
 def with_display_names(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
