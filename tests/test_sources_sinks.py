@@ -1,6 +1,7 @@
 """Folder scans and outputs on invented files in the input shapes."""
 
 import datetime as dt
+import gzip
 import json
 
 import pytest
@@ -87,6 +88,38 @@ def test_domain_overview(spark, tmp_path):
     assert (row.wijzigingsdatum, row.begin_geldigheid) == (dt.date(2024, 5, 3), dt.date(2011, 1, 1))
 
 
+def test_headers_of_every_shape_in_one_scan(spark, tmp_path, rows, monkeypatch):
+    """Columns in any order, absent ones, a mark, packed files, empty files; the same by either way to the first lines."""
+    for i in range(6):
+        write(tmp_path / "in" / f"plain {i}.csv", f"a;b;c\n{i};x;y\n")
+    write(tmp_path / "in" / "turned.csv", "\ufeffc;a;b\r\nturned;7;NA\r\n")
+    write(tmp_path / "in" / "short.csv", 'b;a\n"q;""r""";8\n;9;more than titles\n')
+    write(tmp_path / "in" / "empty.csv", "")
+    with gzip.open(tmp_path / "in" / "packed.csv.gz", "wt") as out:
+        out.write("c;b;a\np;q;10\n")
+
+    def scan():
+        return readers.scan_delimited(spark, str(tmp_path / "in"), schemas.struct("a b c"), sep=";", names={}, optional=["c"], file_column=None)
+
+    want = sorted([*[(str(i), "x", "y") for i in range(6)], ("7", None, "turned"), ("8", 'q;"r"', None), ("9", None, None), ("10", "q", "p")], key=str)
+    assert sorted(rows(scan()), key=str) == want
+    assert scan()._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2  # the rows, and the other headers
+    monkeypatch.setattr(readers, "_scheme", lambda spark, folder: "store")
+    assert sorted(rows(scan()), key=str) == want
+    with pytest.raises(ValueError, match="c"):
+        readers.scan_delimited(spark, str(tmp_path / "in"), schemas.struct("a b c"), sep=";", names={})
+
+
+def test_first_lines_are_all_that_is_read(spark, tmp_path, rows):
+    """The scan lists paths without contents; a task opens them and stops after the asked lines."""
+    write(tmp_path / "a.txt", "one\n\nthree\nfour\n")
+    (tmp_path / "b.txt").write_bytes(b"only")
+    found = readers._first_lines(spark, str(tmp_path), 3, "*.txt")
+    got = rows(found.select(F.regexp_extract("path", "([^/]*)$", 1), "line", "value"))
+    assert sorted(got) == [("a.txt", 1, "one"), ("a.txt", 2, ""), ("a.txt", 3, "three"), ("b.txt", 1, "only")]
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+
+
 def test_feature_collection(spark, tmp_path):
     square = [[0, 0, 9], [1, 0, 9], [1, 1, 9], [0, 0, 9]]
     doc = {"type": "FeatureCollection", "features": [

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from tracewater.functions.dates import EXPORT_STAMP, export_time, parse_date
 from tracewater.functions.text import null_if_na
 from tracewater.operators.columns import domain_header, rename_all
 from tracewater.operators.first import keep_first
+from tracewater.session import shared_folder
 
 
 def scan_delimited(
@@ -39,19 +41,15 @@ def scan_delimited(
     line breaks in cells, at the cost of one task per file.
     """
     if names is not None:
-        parts = []
-        for found, raw in _by_header(spark, folder, sep, pattern, multi_line):
-            place = {names.get(h, h): c for h, c in found.items()}
-            absent = [f.name for f in schema.fields if f.name not in place and not f.name.startswith("_")]
-            if set(absent) - set(optional):
-                raise ValueError(f"no column for {sorted(set(absent) - set(optional))} in header {list(found)}")
-            cells = [
-                _cell(F.col(place[f.name]) if f.name in place else F.lit(None), f) for f in schema.fields if not f.name.startswith("_")
-            ]
-            parts.append(raw.select(*([F.col("__file").alias(file_column)] if file_column else []), *cells))
-        if not parts:
-            raise FileNotFoundError(f"no file with a header in {folder}")
-        return reduce(DataFrame.unionByName, parts)
+        headers, raw = _by_header(spark, folder, sep, pattern, multi_line)
+        places = [{names.get(title, title): cell for title, cell in found.items()} for found in headers]
+        wanted = [f for f in schema.fields if not f.name.startswith("_")]
+        for found, place in zip(headers, places, strict=True):
+            absent = {f.name for f in wanted if f.name not in place} - set(optional)
+            if absent:
+                raise ValueError(f"no column for {sorted(absent)} in header {list(found)}")
+        cells = [_cell(_placed([place.get(f.name) for place in places]), f) for f in wanted]
+        return raw.select(*([F.col("__file").alias(file_column)] if file_column else []), *cells)
     reader = _csv(spark, sep, pattern, multi_line).schema(schema).option("header", header)
     raw = reader.csv(folder)
     cells = [
@@ -74,34 +72,94 @@ def _cell(text: Column, field: T.StructField) -> Column:
 
 
 def _first_lines(spark: SparkSession, folder: str, n: int, pattern: str | None = None) -> DataFrame:
-    """``path, line, value``: the first ``n`` lines of each file, from its first block only."""
+    """``path, line, value``: the first ``n`` lines of each file, without a byte order mark.
+
+    Where files are ordinary ones (``file:``), tasks open each path of Spark's
+    own listing and read no further than those lines. Other stores are read by
+    Spark alone, and there all lines pass through the scan.
+    """
     reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
-    lines = reader.text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    origin = F.col("_metadata.file_path").alias("path")
+    if _scheme(spark, folder) == "file":
+        paths = reader.format("binaryFile").load(folder).select(origin, F.col("path").alias("opened"))
+        return paths.mapInPandas(_openers(n), "path string, line int, value string")
+    lines = reader.text(folder).select(origin, F.col("_metadata.file_block_start").alias("start"), "value")
     head = lines.where(F.col("start") == 0).withColumn("place", F.monotonically_increasing_id())
     line = F.row_number().over(Window.partitionBy("path").orderBy("place"))
     return head.withColumn("line", line).where(F.col("line") <= n).select("path", "line", F.regexp_replace("value", "^\ufeff", "").alias("value"))
 
 
+def _scheme(spark: SparkSession, folder: str) -> str:
+    """The kind of store that a path leads to."""
+    return urlparse(folder).scheme or urlparse(spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")).scheme
+
+
+def _openers(n: int):
+    """The task function of ``_first_lines``; it travels by value, so executors need no copy of this module."""
+
+    def first_lines(frames):
+        import bz2
+        import gzip
+        from itertools import islice
+
+        import pandas as pd
+
+        packed = {"gz": gzip.open, "bz2": bz2.open}
+        for frame in frames:
+            rows = []
+            for path, opened in zip(frame["path"], frame["opened"], strict=True):
+                opener = packed.get(opened.rpartition(".")[2], open)
+                with opener(opened.removeprefix("file:"), "rt", encoding="utf-8-sig", errors="replace") as lines:
+                    rows += [(path, i, text.rstrip("\n")) for i, text in enumerate(islice(lines, n), 1)]
+            yield pd.DataFrame(rows, columns=["path", "line", "value"])
+
+    return first_lines
+
+
 def _by_header(
     spark: SparkSession, folder: str, sep: str, pattern: str | None = None, multi_line: bool = False
-) -> list[tuple[dict[str, str], DataFrame]]:
-    """Files grouped by header line: header text to column, and the rows as text with their path in ``__file``.
+) -> tuple[list[dict[str, str]], DataFrame]:
+    """The different headers, title to column, the commonest first; all rows as text, with ``__file`` and ``__header``, their header's number.
 
-    The driver gets one line per different header and the paths under it.
+    The folder is one scan however many headers there are, and the driver gets
+    one line per different header, no paths. Only files with another header
+    than the commonest are joined by path; which way, Spark decides by their
+    size. The first lines are written to the shared folder, read once.
     """
-    heads = _first_lines(spark, folder, 1, pattern)
-    groups = heads.groupBy("value").agg(F.array_sort(F.collect_list("path")).alias("paths")).orderBy("value").collect()
-    out = []
-    for group in groups:
-        titles = next(csv.reader([group["value"].rstrip("\r")], delimiter=sep), [])
-        columns = [f"c{i}" for i in range(len(titles))]
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        raw = _csv(spark, sep, None, multi_line).schema(schema).option("header", True).csv(group["paths"])
-        found: dict[str, str] = {}
-        for title, column in zip(titles, columns, strict=True):
-            found.setdefault(title.strip() or "X1", column)  # the first one without a title goes by this name
-        out.append((found, raw.select(F.col("_metadata.file_path").alias("__file"), *columns)))
-    return out
+    staged = shared_folder(spark, "headers")
+    _first_lines(spark, folder, 1, pattern).select("path", "value").write.parquet(staged)
+    heads = spark.read.schema("path string, value string").parquet(staged)
+    counted = heads.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value")
+    lines = [row["value"] for row in counted.collect()]
+    if not lines:
+        raise FileNotFoundError(f"no file with a header in {folder}")
+    headers: list[dict[str, str]] = []
+    width = 0
+    for line in lines:
+        titles = next(csv.reader([line], delimiter=sep), [])
+        width = max(width, len(titles))
+        headers.append({})
+        for i, title in enumerate(titles):
+            headers[-1].setdefault(title.strip() or "X1", f"__c{i}")  # the first one without a title goes by this name
+    schema = T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(width)])
+    raw = _csv(spark, sep, pattern, multi_line).schema(schema).option("header", True).csv(folder)
+    rows = raw.select(F.col("_metadata.file_path").alias("__file"), *schema.names)
+    if len(lines) == 1:
+        return headers, rows.withColumn("__header", F.lit(0))
+    number = F.array_position(F.array(*[F.lit(line) for line in lines]), F.col("value")).cast("int") - 1
+    others = heads.where(F.col("value") != lines[0]).select(F.col("path").alias("__file"), number.alias("__other"))
+    return headers, rows.join(others, "__file", "left").withColumn("__header", F.coalesce("__other", F.lit(0))).drop("__other")
+
+
+def _placed(cells: Sequence[str | None]) -> Column:
+    """The cell of a column that stands in ``cells[i]`` under header ``i``; null where it is None."""
+    if len(set(cells)) == 1:
+        return F.lit(None) if cells[0] is None else F.col(cells[0])
+    return reduce(
+        lambda out, i: out.when(F.col("__header") == i, F.col(cells[i])),
+        [i for i, c in enumerate(cells) if c is not None],
+        F.when(F.lit(False), F.lit(None)),
+    )
 
 
 def scan_landed(
@@ -188,10 +246,9 @@ def scan_pages(
 
 def _titled(spark: SparkSession, folder: str, sep: str) -> DataFrame:
     """All files by their own headers; a column that a file lacks is null there."""
-    parts = [raw.select([F.col(c).alias(h) for h, c in found.items()]) for found, raw in _by_header(spark, folder, sep)]
-    if not parts:
-        raise FileNotFoundError(f"no file with a header in {folder}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    headers, raw = _by_header(spark, folder, sep)
+    titles = list(dict.fromkeys(title for found in headers for title in found))
+    return raw.select([_placed([found.get(title) for found in headers]).cast("string").alias(title) for title in titles])
 
 
 def scan_domain_table(spark: SparkSession, folder: str, sep: str = ";") -> DataFrame:
