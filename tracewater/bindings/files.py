@@ -10,9 +10,10 @@ from tracewater.bindings.domain import AREA_SQL, CATCHMENT_SQL, CELL, areas, cat
 from tracewater.bindings.registry import query, table
 from tracewater.functions.dates import DUTCH_MONTHS
 from tracewater.operators import parts
+from tracewater.operators.columns import valid_on
 from tracewater.operators.spatial import with_box
 from tracewater.session import shared_folder
-from tracewater.sources import readers, sinks
+from tracewater.sources import placed, readers, sinks
 from tracewater.sources.schemas import struct
 
 
@@ -194,6 +195,45 @@ def geojson_collection(spark, sf):
     return found.select("postcode6", F.size("rings").alias("n_rings"), closed.alias("first_ring"))
 
 
+@query(
+    "box_pruned_pages",
+    f"""WITH b AS (SELECT min(x) AS x0, max(x) + 300 AS x1, min(y) AS y0, max(y) + 300 AS y1 FROM {CATCHMENT_SQL} WHERE s_acctbal > 9000)
+        SELECT postcode6, 1 AS n_rings, CAST(ax - 15 AS DOUBLE) AS min_x, CAST(ay + 15 AS DOUBLE) AS max_y FROM {AREA_SQL}, b
+        WHERE ax + 15 >= x0 AND ax - 15 <= x1 AND ay + 15 >= y0 AND ay - 15 <= y1""",
+)
+def box_pruned_pages(spark, sf):
+    """Postcode areas landed by place; files that do not reach into the overall box of some catchments stay shut."""
+    folder = shared_folder(spark, "placed")
+    placed.land_by_place(with_box(areas(spark, sf), "rings"), folder, rows_per_file=500)
+    rich = with_box(catchments(spark, sf).where(F.col("s_acctbal") > 9000), "rings")
+    found = placed.features_in_box(spark, folder, rich)
+    return found.select("postcode6", F.size("rings").alias("n_rings"), "min_x", "max_y")
+
+
+@query(
+    "domain_overview",
+    """SELECT 'Lijst ' || o_orderkey AS domain_table, o_orderstatus AS kind, CAST(o_orderdate AS DATE) AS begin_geldigheid,
+              CAST(o_orderdate AS DATE) + 365 AS eind_geldigheid, 2 + o_custkey % 2 AS n_columns, o_orderkey::VARCHAR AS guid
+       FROM orders WHERE DATE '1996-06-30' BETWEEN CAST(o_orderdate AS DATE) AND CAST(o_orderdate AS DATE) + 365""",
+)
+def domain_overview(spark, sf):
+    """A list of domain tables, dates written out, and those of them that are valid on a day."""
+    folder = shared_folder(spark, "overview")
+    day = F.col("o_orderdate").cast("date")
+    months = F.array(*[F.lit(m) for m in DUTCH_MONTHS if len(m) > 3 or m == "mei"])
+    written = F.concat_ws(" ", F.dayofmonth(day).cast("string"), F.element_at(months, F.month(day)), F.year(day).cast("string"))
+    listed = F.when(F.col("o_custkey") % 2 == 0, "Id,Codes").otherwise("Id,Codes,Omschrijving")
+    table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("X1"), F.col("o_orderstatus").alias("Elementtype"), F.concat(F.lit("Lijst "), "o_orderkey").alias("Voorkeurslabel"),
+        listed.alias("Metadata"), F.concat(written, F.lit(" 10:00:00")).alias("Wijzigingsdatum"), written.alias("Begin geldigheid"),
+        F.date_format(F.date_add(day, 365), "dd-MM-yyyy").alias("Eind geldigheid"),
+    ).write.csv(folder, sep=";", header=True)
+    found = valid_on(readers.scan_domain_overview(spark, folder), dt.date(1996, 6, 30), "begin_geldigheid", "eind_geldigheid")
+    return found.select(
+        "domain_table", "kind", "begin_geldigheid", "eind_geldigheid", F.size("columns").cast("bigint").alias("n_columns"), "guid"
+    )
+
+
 @query("sink_partitioned", "SELECT o_orderkey, o_totalprice, o_orderpriority AS plant FROM orders")
 def sink_partitioned(spark, sf):
     folder = shared_folder(spark, "sink")
