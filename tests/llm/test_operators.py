@@ -233,6 +233,58 @@ def test_forest_against_brute_force(spark):
     assert forest.search(df.limit(0), F.lit(True)).count() == 0
 
 
+def collected(strings, asked, enough):
+    """Rows that trees of bit texts collect for one query: all one bit shorter at a time, the last step tree by tree."""
+    before = [set() for _ in strings]
+    for length in range(len(asked[0]), -1, -1):
+        here = [{i for i, s in enumerate(tree) if s[:length] == ask[:length]} for tree, ask in zip(strings, asked, strict=True)]
+        if sum(map(len, here)) >= enough:
+            chosen, have = list(before), sum(map(len, before))
+            for t, rows in enumerate(here):
+                chosen[t] = rows
+                have += len(rows) - len(before[t])
+                if have >= enough:
+                    break
+            return set().union(*chosen)
+        before = here
+    return set().union(*before)
+
+
+@pytest.mark.parametrize("collect", [0.05, 0.5])
+def test_forest_scores_what_its_trees_collect(spark, collect):
+    """One block of rows, larger than the least number collected, and several blocks of queries."""
+    rng = np.random.default_rng(44)
+    n, k, trees, bits, seed = 1300, 5, 6, 12, 3
+    x = rng.normal(size=(n, 8)) + 2 * rng.normal(size=(10, 8))[rng.integers(0, 10, n)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in forest.search(df, F.col("vec_id") % 20 == 0, k, trees, bits, collect, rows=2000, queries=30, seed=seed).collect():
+        got[r.query_id].append((r.rank, r.vec_id))
+    planes = np.random.default_rng(seed).standard_normal((trees, bits, 9))
+    longest = (x * x).sum(axis=1).max()
+
+    def strings(vectors):
+        return [["".join("1" if b > 0 else "0" for b in tree @ v) for v in vectors] for tree in planes]
+
+    lifted = strings(np.column_stack([x, np.sqrt(np.maximum(longest - (x * x).sum(axis=1), 0))]))
+    asked = strings(np.column_stack([x[::20], np.zeros(len(x[::20]))]))
+    least = max((k + 2) * trees, int(collect * n))
+    shares = []
+    for at, q in enumerate(range(0, n, 20)):
+        found = collected(lifted, [a[at] for a in asked], least)
+        shares.append(len(found) / n)
+        best = sorted(found - {q}, key=lambda i: (-float(x[i] @ x[q]), i))[:k]
+        assert [v for _, v in sorted(got[q])] == best
+    assert len(got) == n // 20 and np.mean(shares) < 0.6
+
+
+def test_forest_gives_all_of_a_small_table(spark):
+    rows = [(i % 7, [float(i), 1.0]) for i in range(15)]  # ids repeat
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = forest.search(df, F.col("vec_id") < 2).groupBy("query_id").count().collect()
+    assert sorted((r.query_id, r["count"]) for r in got) == [(0, 12), (1, 13)]
+
+
 # 5
 
 

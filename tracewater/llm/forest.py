@@ -5,8 +5,8 @@ hyperplanes it lies on, and keeps the strings sorted. A query descends by
 binary search to the longest prefix it shares with any string of a tree. Then
 all trees ascend together, one bit shorter at a time, and add the stretch of
 strings that share the shorter prefix, until enough candidates are collected
-(repeats in several trees counted). Candidates are ranked by their exact
-inner product in double precision.
+(repeats in several trees counted). Only candidates are scored, by their exact
+inner product in double precision; no other product is computed.
 
 For the largest inner product, not the least angle, vectors are lifted before
 hashing: one more component fills them up to the largest length, and is 0 in
@@ -15,16 +15,20 @@ queries.
 The index is dealt into blocks by id, each with a forest over all its rows; a
 block of queries meets each block of the index, so memory is bounded by the two
 block sizes, and identical vectors, however many, spread over all blocks.
-``collect`` is the number of candidates as a share of the block. How much is
-needed depends on how the data lie: for directions without any clusters, as in
-the test tables, hash bits tell little, and a recall of 0.9 needs about half
-the rows as candidates; see the README for measured figures.
+``collect`` is the number of candidates as a share of the block, and at least
+``k + 2`` a tree are collected, so that one tree alone gives enough different
+rows; a query that still has fewer than ``k`` ascends to the root. The rule is
+the same for blocks of any size. How much is needed depends on how the data
+lie: for directions without any clusters, as in the test tables, hash bits tell
+little, and a recall of 0.9 needs about half the rows as candidates; see the
+README for measured figures.
 
 Cases: vectors that are null, zero, of another dimension than most, or hold
 null or non-finite components take no part, nor do rows without id. A row is no
 candidate of a query with its id. Rows that repeat an id are candidates each;
-of query rows that repeat an id the least vector counts. With no more rows than
-``FEW`` in a block all of them are candidates. Other columns are not read.
+of query rows that repeat an id the least vector counts. With ``k + 2`` rows or
+fewer in a block all of them are candidates. An empty table has no results.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tracewater.llm.common import stage
 
-TREES, BITS, COLLECT, FEW, ROWS, QUERIES, SEED = 48, 32, 0.9, 1024, 4096, 4096, 7
+TREES, BITS, COLLECT, ROWS, QUERIES, SEED = 48, 32, 0.9, 4096, 4096, 7
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -102,18 +106,15 @@ def _nearest(k: int, trees: int, bits: int, collect: float, longest: float, seed
                 order = np.argsort(code, kind="stable")
                 forest.append((code[order], order))
             asked = hash_bits(np.column_stack([q, np.zeros(len(q))]), planes)
-            enough = max(FEW, int(collect * len(x))) if len(x) > FEW else trees * len(x)
+            enough = max((k + 2) * trees, int(collect * len(x)))
             for i in range(0, len(q), 256):
-                near = q[i : i + 256] @ x.T  # blocked products find the best candidates; their scores are then taken exactly
-                for j, mask in enumerate(candidates(forest, asked[:, i : i + 256], bits, len(x), enough)):
-                    at = np.flatnonzero(mask & (x_ids != q_ids[i + j]))
-                    if len(at) > k:
-                        rough = near[j, at]
-                        edge = -np.partition(-rough, k - 1)[k - 1]
-                        at = at[rough >= edge - 1e-9 * longest * (abs(edge) + longest)]
-                    score = np.einsum("ij,j->i", x[at], q[i + j])  # row by row, so equal rows score equally
+                for j, mask in enumerate(candidates(forest, asked[:, i : i + 256], bits, len(x), enough), i):
+                    at = np.flatnonzero(mask & (x_ids != q_ids[j]))
+                    if len(at) < k:
+                        at = np.flatnonzero(x_ids != q_ids[j])
+                    score = np.einsum("ij,j->i", x[at], q[j])  # row by row, so equal rows score equally
                     best = np.lexsort((x_ids[at], -score))[:k]
-                    out_q.append(np.full(len(best), q_ids[i + j]))
+                    out_q.append(np.full(len(best), q_ids[j]))
                     out_v.append(x_ids[at[best]])
                     out_s.append(score[best])
         flat = [np.concatenate(c) if c else np.zeros(0, t) for c, t in ((out_q, np.int64), (out_v, np.int64), (out_s, float))]
