@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -370,6 +371,20 @@ def test_suffix_removal_with_repeated_rows(spark, monkeypatch, keep, copies, hot
         assert {r.n_removed for r in report if r.doc_id == 20} == {0}
 
 
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_marked_pieces_in_a_row_give_one_span(size):
+    """Pieces of one text are folded over batches, also over a short unmarked one between; other texts and gaps part them."""
+    names = suffixes.PIECE_NAMES
+    rows = [(1, 5, 0, 50, 7, 70), (1, 5, 50, 30, 8, 80), (1, 5, 80, 10, 9, 90), (1, 5, 90, 40, 7, 70), (1, 5, 600, 50, 7, 70), (1, 6, 610, 50, 7, 70),
+            (None, 6, 610, 50, 7, 70), (None, 6, 660, 50, 8, 70), (None, 6, 660, 50, 8, 80), (1, 5, 0, 50, 7, 70)]
+    table = pa.table({c: pa.array([r[i] for r in rows], pa.int64()) for i, c in enumerate(names)})
+    shared = type("Shared", (), {"value": {(70, 7): (1, 5, 600), (80, 8): (9, 9, 9)}})
+    for keep, at_600 in (("none", [(1, 5, 600, 849)]), ("first", [])):
+        found = suffixes._marked(shared, 200, keep)(table.to_batches(max_chunksize=size))
+        spans = [tuple(r.values()) for b in found for r in b.to_pylist()]
+        assert spans == [(1, 5, 0, 329), *at_600, (1, 6, 610, 859), (None, 6, 610, 909), (1, 5, 0, 249)]
+
+
 def test_suffix_removal_of_very_many_equal_rows(spark):
     rows = varied(1)
     copies = spark.range(10_000).select(F.lit(20).cast("long").alias("doc_id"), F.lit(rows[0][1]).alias("text"))

@@ -308,23 +308,35 @@ def _once(hashed: DataFrame, lists: DataFrame) -> DataFrame:
 
 
 def _marked(shared, length: int, keep: str):
-    """Task function: spans of pieces whose content is in the broadcast list (content and key -> first place)."""
+    """Task function: spans of pieces whose content is in the broadcast list (content and key -> first place).
+
+    Pieces in a row overlap, so a passage of several pieces that are removed
+    gives one span where they come in the order of their text.
+    """
 
     def of(batches):
         hot = shared.value
         contents = np.array(sorted({c for c, _ in hot}), np.int64)
+        run = None
         for batch in batches:
             own = batch.column("content").to_numpy()
             at = np.minimum(np.searchsorted(contents, own), len(contents) - 1)
             may = batch.filter(pa.array(contents[at] == own))
-            if not may.num_rows:
-                continue
             out = []
             for doc, text, start, windows, key, content in zip(*[may.column(c).to_pylist() for c in PIECE_NAMES], strict=True):
                 first = hot.get((content, key))
-                if first is not None and (keep == "none" or first != (doc, text, start)):
-                    out.append((doc, text, start, start + windows + length - 1))
+                if first is None or (keep == "first" and first == (doc, text, start)):
+                    continue
+                hi = start + windows + length - 1
+                if run and run[:2] == (doc, text) and run[2] <= start <= run[3]:
+                    run = (doc, text, run[2], max(run[3], hi))
+                else:
+                    if run:
+                        out.append(run)
+                    run = (doc, text, start, hi)
             yield _span_batch(out)
+        if run:
+            yield _span_batch([run])
 
     return of
 
