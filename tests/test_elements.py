@@ -41,3 +41,11 @@ def test_classes(spark, empty):
     df = spark.createDataFrame([] if empty else CLASSES, "f string, s string, want string")
     got = df.withColumn("got", elements.class_by_elements(F.col("f"), F.col("s"))).collect()
     assert [(r.f, r.s, r.got) for r in got] == ([] if empty else CLASSES)
+
+
+def test_a_formula_is_read_once_however_often_its_atoms_are_named(spark):
+    """A column named several times is worked out as often: there were seven loops over a formula's symbols, and one for each element."""
+    many = "".join(f"{e}{n}" for n, e in enumerate(("C", "H", "Br", "Cl", "F", "I", "N", "O", "P", "S", "Si", "Se", "Zn", "Hg"), 2))
+    found = spark.createDataFrame([(many,)], "f string").select(elements.formula_elements(F.col("f")).alias("m"))
+    assert sum(found.first().m.values()) == sum(range(2, 16))
+    assert found._jdf.queryExecution().analyzed().toString().count("aggregate(") == 2

@@ -2,11 +2,14 @@
 
 The pattern rules in ``chemistry`` guess metals from letters. Here a text is cut into symbols first, so iron or zinc are
 known as such and an aromatic ``n`` after another letter is not taken for nickel or sodium. All of it are column
-expressions.
+expressions. A value that is used several times is bound first (``_let``): a column that is merely named twice is worked
+out twice, and once more for each element of a list if the name stands in a lambda.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +21,16 @@ SMILES_SYMBOL = r"\[[0-9]*([A-Z][a-z]?|[a-z][a-z]?)[^\]]*\]|(Cl|Br|[BCNOPSFI]|[b
 _TOKEN = r"[A-Z][a-z]?|[0-9]+|[()\[\]{}]"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _counts(names: Column, n_of: Callable[[Column], Column]) -> Column:
+    """``map<string, bigint>``: ``n_of`` each different name, in their first order."""
+    return F.map_from_entries(F.transform(F.array_distinct(names), lambda e: F.struct(e, n_of(e))))
+
+
 def formula_elements(formula: Column) -> Column:
     """``map<string, bigint>``: atoms of each element; null where the text is null or no formula.
 
@@ -28,14 +41,19 @@ def formula_elements(formula: Column) -> Column:
     that do not pair up, gives null; an empty text gives an empty map.
     """
     plain = F.regexp_replace(F.regexp_replace(F.trim(formula), r"[+-][0-9]*$", ""), "·", ".")
-    found = F.flatten(F.transform(F.filter(F.split(plain, r"\."), lambda p: p != ""), _part))
-    counted = F.map_from_entries(
-        F.transform(
-            F.array_distinct(F.transform(found, lambda a: a["e"])),
-            lambda e: F.struct(e, F.aggregate(found, F.lit(0).cast("bigint"), lambda n, a: n + F.when(a["e"] == e, a["n"]).otherwise(0))),
-        )
+    return _let(plain, lambda text: F.when(text.rlike(r"^[A-Za-z0-9()\[\]{}.]*$"), _let(_atoms(text), _summed)))
+
+
+def _atoms(plain: Column) -> Column:
+    return F.flatten(F.transform(F.filter(F.split(plain, r"\."), lambda p: p != ""), _part))
+
+
+def _summed(found: Column) -> Column:
+    """The atoms of each element in an ``array<struct<e, n>>``."""
+    return _counts(
+        F.transform(found, lambda a: a["e"]),
+        lambda e: F.aggregate(found, F.lit(0).cast("bigint"), lambda n, a: n + F.when(a["e"] == e, a["n"]).otherwise(0)),
     )
-    return F.when(plain.rlike(r"^[A-Za-z0-9()\[\]{}.]*$"), counted)
 
 
 def _part(part: Column) -> Column:
@@ -48,7 +66,11 @@ def _part(part: Column) -> Column:
     leading = F.regexp_extract(part, "^[0-9]+", 0)
     rest = F.regexp_replace(part, "^[0-9]+", "")
     times = F.when(leading == "", F.lit(1).cast("bigint")).otherwise(leading.try_cast("bigint"))
-    tokens = F.reverse(F.regexp_extract_all(rest, F.lit(_TOKEN), 0))
+    read = F.struct(times.alias("times"), rest.alias("rest"), F.reverse(F.regexp_extract_all(rest, F.lit(_TOKEN), 0)).alias("tokens"))
+    return _let(read, lambda p: _from_tokens(p["times"], p["rest"], p["tokens"]))
+
+
+def _from_tokens(times: Column, rest: Column, tokens: Column) -> Column:
     start = F.struct(
         F.array(times).alias("stack"), F.array().cast("array<string>").alias("shut"), F.lit(1).cast("bigint").alias("wait"),
         F.lit(False).alias("bad"), F.array().cast("array<struct<e:string,n:bigint>>").alias("found"),
@@ -71,10 +93,10 @@ def _part(part: Column) -> Column:
             .otherwise(s["found"]).alias("found"),
         )
 
-    end = F.aggregate(tokens, start, step)
     whole = F.concat_ws("", F.reverse(tokens)) == rest
-    good = whole & ~end["bad"] & (F.size(end["shut"]) == 0) & times.isNotNull() & ~rest.rlike(r"[(\[{][0-9]")
-    return F.when(good, end["found"])
+    readable = whole & times.isNotNull() & ~rest.rlike(r"[(\[{][0-9]")
+    end = F.aggregate(tokens, start, step)
+    return F.when(readable, _let(end, lambda s: F.when(~s["bad"] & (F.size(s["shut"]) == 0), s["found"])))
 
 
 def smiles_elements(smiles: Column) -> Column:
@@ -85,9 +107,7 @@ def smiles_elements(smiles: Column) -> Column:
     inside = F.regexp_extract_all(smiles, F.lit(SMILES_SYMBOL), 1)
     outside = F.regexp_extract_all(smiles, F.lit(SMILES_SYMBOL), 2)
     symbols = F.filter(F.transform(F.arrays_zip(inside.alias("i"), outside.alias("o")), lambda p: F.initcap(F.concat(p["i"], p["o"]))), lambda s: s != "")
-    return F.map_from_entries(
-        F.transform(F.array_distinct(symbols), lambda e: F.struct(e, F.size(F.filter(symbols, lambda s: s == e)).cast("bigint")))
-    )
+    return _let(symbols, lambda all: _counts(all, lambda e: F.size(F.filter(all, lambda s: s == e)).cast("bigint")))
 
 
 def class_by_elements(formula: Column, smiles: Column) -> Column:
@@ -98,14 +118,17 @@ def class_by_elements(formula: Column, smiles: Column) -> Column:
     ``NONMETALS`` in the formula or the SMILES: Organometallic; else Organic.
     Null without a readable formula, and, for compounds with carbon, without a SMILES.
     """
-    of_formula = F.map_keys(formula_elements(formula))
-    both = F.array_union(of_formula, F.map_keys(smiles_elements(smiles)))
-    metals = F.array_except(both, F.array(*[F.lit(e) for e in NONMETALS]))
-    return (
-        F.when(of_formula.isNull(), None)
+    nonmetals = F.array(*[F.lit(e) for e in NONMETALS])
+
+    def metals(of_formula: Column) -> Column:
+        return F.array_except(F.array_union(of_formula, F.map_keys(smiles_elements(smiles))), nonmetals)
+
+    return _let(
+        F.map_keys(formula_elements(formula)),
+        lambda of_formula: F.when(of_formula.isNull(), None)
         .when(~F.array_contains(of_formula, "C"), "Inorganic")
         .when(smiles.isNull(), None)
         .when(F.contains(smiles, F.lit(".")), "Organic Ionic")
-        .when(F.size(metals) > 0, "Organometallic")
-        .otherwise("Organic")
+        .when(F.size(metals(of_formula)) > 0, "Organometallic")
+        .otherwise("Organic"),
     )
