@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tracewater.operators import similar
 from tracewater.plans import places
@@ -53,3 +54,16 @@ def test_suggestions_for_missed_addresses(spark):
         ("DAN 1, AMSTERDAM", 1, "DAM 1, AMSTERDAM", 1, True), ("DAN 1, AMSTERDAM", 2, "DAM 2, AMSTERDAM", 2, False),
         ("MRKT 10, DELFT", 1, "MARKT 10, DELFT", 1, True),
     ]
+
+
+def test_texts_spread_into_remainders_are_not_broadcast(spark):
+    """Each text of 28 characters becomes 407 rows, so a small list is no small join side."""
+    known = spark.range(3000).select(F.format_string("CUSTOMER#%09d, MACHINERY", "id").alias("s"))
+    asked = known.limit(20).select(F.replace("s", F.lit("OMER"), F.lit("OMR")).alias("t"))
+    near = similar.near_texts(asked, "t", known, "s", 2)
+    rows = near.count()
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "__key" in line and "Join" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+    want = sum(distance(f"CUSTOMR#{i:09d}", f"CUSTOMER#{j:09d}") <= 2 for i in range(20) for j in range(3000))
+    assert rows == want

@@ -31,18 +31,29 @@ def near_texts(left: DataFrame, left_text: str, right: DataFrame, right_text: st
     and equal texts are pairs at distance 0. Characters are code points. A
     digest that many texts share is an ordinary hot key, which AQE splits: its
     pairs are nearly all within twice ``edits``, and two texts that meet
-    several times are folded after the distance is known.
+    several times are folded by their ids before the distance is worked out.
     """
     if edits not in (1, 2):
         raise ValueError("edits is 1 or 2")
-    a = left.select(F.col(left_text).alias("__a")).filter("__a is not null").distinct()
-    b = right.select(F.col(right_text).alias("__b")).filter("__b is not null").distinct()
-    a = a.select("__a", F.explode(_remainders("__a", edits)).alias("__key"))
-    b = b.select("__b", F.explode(_remainders("__b", edits)).alias("__key"))
-    met = a.join(b, "__key").select("__a", "__b", F.levenshtein("__a", "__b", edits).alias("distance"))
-    return met.filter("distance >= 0").distinct().select(
-        F.col("__a").alias(left_text), F.col("__b").alias(right_text), "distance"
-    )
+    # Neither side is small once it is spread, though its texts are: Spark takes the size of a list's rows from the list,
+    # so the merge join is asked for, and the texts are spread in as many tasks as a shuffle has.
+    sides = [_posted(left, left_text, "__a", edits), _posted(right, right_text, "__b", edits)]
+    (a, a_texts), (b, b_texts) = sides
+    met = a.hint("merge").join(b, "__key").select("__a_id", "__b_id").distinct()
+    near = met.join(a_texts, "__a_id").join(b_texts, "__b_id").select("__a", "__b", F.levenshtein("__a", "__b", edits).alias("distance"))
+    return near.filter("distance >= 0").select(F.col("__a").alias(left_text), F.col("__b").alias(right_text), "distance")
+
+
+def _posted(df: DataFrame, text: str, name: str, edits: int) -> tuple[DataFrame, DataFrame]:
+    """``__key`` and the text's id for every remainder, and the different texts with their ids.
+
+    Should two texts have one id, each pair with either is compared with both.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(F.col(text).alias(name)).filter(F.col(name).isNotNull()).distinct()
+    # By the id, not the text: Spark drops a partitioning that it takes for the one it has, and makes few tasks of few texts.
+    texts = texts.withColumn(f"{name}_id", F.xxhash64(name)).repartition(parts, f"{name}_id")
+    return texts.select(F.explode(_remainders(name, edits)).alias("__key"), f"{name}_id"), texts
 
 
 def suggestions(df: DataFrame, text: str, register: DataFrame, known: str, edits: int = 1) -> DataFrame:
