@@ -84,3 +84,18 @@ def test_pieces_lie_in_both(spark):
     n = middle.count()
     assert n > 5 and spatial.points_in_polygons(middle, "x", "y", a, "rings", ["id"], 3.0).count() == n
     assert spatial.points_in_polygons(middle, "x", "y", b, "rings", ["other"], 3.0).count() == n
+
+
+def test_only_edges_in_the_common_box_cut_slabs(spark):
+    """A polygon with many corners elsewhere in the cell is not cut at them; boxes that miss each other in a cell give nothing."""
+    comb = [(0.0, 0.0), (0.0, 1.0), (30.0, 1.0), (30.0, 0.6), (28.0, 0.5), (30.0, 0.4), (30.0, 0.0), (0.0, 0.0)]
+    square = [(17.0, 0.25), (19.0, 0.25), (19.0, 0.75), (17.0, 0.75), (17.0, 0.25)]
+    apart = [(1.0, -5.0), (2.0, -5.0), (2.0, -4.0), (1.0, -4.0), (1.0, -5.0)]
+    touching = [(1.0, -1.0), (2.0, -1.0), (2.0, 0.0), (1.0, 0.0), (1.0, -1.0)]
+    schema = "name string, rings array<array<struct<x: double, y: double>>>"
+    a = spark.createDataFrame([("square", [square]), ("apart", [apart]), ("touching", [touching])], schema)
+    b = spark.createDataFrame([("comb", [comb])], schema.replace("name", "other"))
+    got = overlay.polygon_overlaps(a, "rings", ["name"], b, "rings", ["other"], 100.0).collect()
+    assert [(r.name, r.other, r.area, r.share) for r in got] == [("square", "comb", 1.0, 1.0)]
+    pieces = overlay.clipped_pieces(a, "rings", ["name"], b, "rings", ["other"], 100.0).collect()
+    assert len(pieces) == 1  # before, a slab for each corner of the notch at the other end

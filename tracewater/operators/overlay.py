@@ -9,6 +9,10 @@ trapezoid's area is its middle width times its height, without error from the
 shape, and boundaries that run along each other only make slabs or trapezoids
 of no width. Nothing needs the direction of rings or the order of holes.
 
+Of two polygons only the edges that reach into the box common to both cut
+slabs, and only within its heights: what is left or right of it changes no side
+within it, and nothing above or below it is shared.
+
 Work and memory of a row grow with the edges of one cell, cubed at worst, not
 with the polygons; the caller chooses cells so small that few edges pass each.
 """
@@ -26,17 +30,24 @@ _PIECE = "struct<y0: double, y1: double, l0: double, l1: double, r0: double, r1:
 
 
 def _pieces_sql(sides: Sequence[str], size: float) -> str:
-    """Trapezoids of the row's cell that lie in every side; ``sides`` are prefixes of ``edges`` and ``inside`` columns."""
+    """Trapezoids of the row's cell that lie in every side; ``sides`` are prefixes of ``edges``, ``inside`` and ``box`` columns."""
     s = f"{float(size)!r}D"
-    left, right, low, high = f"(cx * {s})", f"((cx + 1) * {s})", f"(cy * {s})", f"((cy + 1) * {s})"
-    edges = "concat(" + ", ".join(f"{p}edges" for p in sides) + ")"
+    left, right = f"(cx * {s})", f"((cx + 1) * {s})"
+    low = f"greatest(cy * {s}, {', '.join(f'{p}box.min_y' for p in sides)})"
+    high = f"least((cy + 1) * {s}, {', '.join(f'{p}box.max_y' for p in sides)})"
+    reach = " AND ".join(
+        f"greatest(e.{v}1, e.{v}2) >= {p}box.min_{v} AND least(e.{v}1, e.{v}2) <= {p}box.max_{v}" for p in sides for v in "xy"
+    )
+    # The edges and the two ends are bound once, as the only element of an array.
+    edges = "filter(concat(" + ", ".join(f"{p}edges" for p in sides) + f"), e -> {reach})"
     at_side = "e.y1 + ({} - e.x1) * (e.y2 - e.y1) / nullif(e.x2 - e.x1, 0)"
     turn = "((e.x2 - e.x1) * (f.y2 - f.y1) - (e.y2 - e.y1) * (f.x2 - f.x1))"
     meeting = f"e.y1 + ((f.x1 - e.x1) * (f.y2 - f.y1) - (f.y1 - e.y1) * (f.x2 - f.x1)) / nullif({turn}, 0) * (e.y2 - e.y1)"
-    heights = f"""array_sort(array_distinct(filter(concat(array({low}, {high}),
-        flatten(transform({edges}, e -> array(e.y1, e.y2, {at_side.format(left)}, {at_side.format(right)}))),
-        flatten(transform({edges}, e -> transform({edges}, f -> {meeting})))), y -> y >= {low} AND y <= {high})))"""
-    slabs = f"""transform(sequence(1, size(hs) - 1), i -> named_struct('lo', hs[i - 1], 'hi', hs[i], 'mid', (hs[i - 1] + hs[i]) / 2))"""
+    cuts = f"""array_sort(array_distinct(filter(concat(array(b.low, b.high),
+        flatten(transform(b.edges, e -> array(e.y1, e.y2, {at_side.format(left)}, {at_side.format(right)}))),
+        flatten(transform(b.edges, e -> transform(b.edges, f -> {meeting})))), y -> y >= b.low AND y <= b.high)))"""
+    heights = f"transform(array(named_struct('low', {low}, 'high', {high}, 'edges', {edges})), b -> {cuts})[0]"
+    slabs = f"""transform(filter(sequence(1, greatest(size(hs) - 1, 1)), i -> i < size(hs)), i -> named_struct('lo', hs[i - 1], 'hi', hs[i], 'mid', (hs[i - 1] + hs[i]) / 2))"""
 
     def across(y: str) -> str:
         return f"least(greatest((e.x2 - e.x1) * ({y} - e.y1) / nullif(e.y2 - e.y1, 0) + e.x1, {left}), {right})"
@@ -73,6 +84,9 @@ def _met(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
         for p, side in (("a", left), ("b", right))
     )
     boxes = " AND ".join(f"__{p}_box.min_{v} <= __{q}_box.max_{v}" for v in "xy" for p, q in (("a", "b"), ("b", "a")))
+    # Few and small rows make much work: unless spread, a few tasks would read whichever side is not broadcast.
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = a.repartition(parts, "cx", "cy", "__a"), b.repartition(parts, "cx", "cy", "__b")
     pairs = a.join(b, ["cx", "cy"]).where(F.expr(boxes))
     return pairs.select("__a", "__b", F.expr(_pieces_sql(["__a_", "__b_"], size)).alias("pieces"))
 
