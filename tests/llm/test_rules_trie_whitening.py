@@ -305,3 +305,18 @@ def test_sums_of_very_large_entries_are_exact(spark):
     n, s, m = whitening.scatter(spark.createDataFrame([(r,) for r in y], "y array<long>").repartition(4), 3)
     assert n == 40 and s == [sum(c) for c in zip(*y, strict=True)]
     assert m == [[40 * sum(r[i] * r[j] for r in y) - s[i] * s[j] for j in range(3)] for i in range(3)]
+
+
+def test_tokens_beyond_the_most_telling_ones_are_mined_too(spark):
+    """Eight folders tell more than each of the three keys that only together decide: a cut at eight tokens lost their rule."""
+    folders = "/".join(f"f{k}" for k in range(8))
+    rows = []
+    for i in range(320):
+        unwanted = i % 8 == 7
+        keys = "&".join(f"{k}=1" for k, bit in (("x", 1), ("y", 2), ("z", 4)) if i & bit)
+        rows.append((f"http://a.org/{folders + '/' if unwanted or i // 8 % 3 == 0 else ''}p.html?{keys}", unwanted))
+    table = spark.createDataFrame(rows, "url string, unwanted boolean")
+    tokens = {r.url: r.t for r in table.select("url", urlrules.tokens(F.col("url")).alias("t")).collect()}
+    got = {tuple(r["items"]): (r.support, round(r.confidence, 12)) for r in urlrules.mine(table, support=0.01).collect()}
+    assert got == brute_rules(rows, tokens, urlrules.LEAST, urlrules.CONFIDENCE, None)
+    assert got[("key:x", "key:y", "key:z")] == (40, 1.0)

@@ -1,4 +1,4 @@
-"""URL filters: stated host and path rules, and association rules that Spark's FP-growth mines from labels.
+"""URL filters: stated host and path rules, and association rules mined from labels.
 
 **Stated rules.** A rule has a host, a path and a verdict. It fits its host and
 all subdomains, if the url's path starts with the rule's path. Of several the
@@ -9,12 +9,15 @@ rule's path on that host.
 
 **Mined rules.** A url becomes tokens: scheme, host labels and their words,
 folders, the last part of the path with digits folded, query keys. Labelled
-pages are transactions of tokens; FP-growth finds the combinations that are
-frequent among all of them, and a combination is a rule if it implies the
-unwanted label with at least ``confidence``. Rules below the support go, and so
-do rules that contain a rule of at least their own confidence. A transaction
-enters with the ``width`` tokens that tell most about the label, so it adds at
-most ``2**width`` combinations and correlated tokens cannot blow up the search.
+pages are transactions of tokens; a combination that is frequent together with
+the unwanted label is a rule if it implies the label with at least
+``confidence``. Rules that contain a rule of at least their own confidence go.
+Combinations grow by a token a round, as rows of an equi join, from all tokens
+of a page. Two kinds are not grown, since whatever contains them would go: those
+that imply the label without exception, and those with a token that the others
+imply without exception (the host of a path that only it has). So the rules are
+the same as without this, and tokens that always come together add nothing.
+Tokens that nearly always do are costly: rows then grow with their combinations.
 
 Rules are posted under their rarest token. A url's tokens meet the postings in
 an equi join, and a rule fires if the url has all its tokens.
@@ -34,15 +37,15 @@ are not read.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewater.llm.common import stage
 
 BLOCK, ALLOW = "block", "allow"
-SUPPORT, LEAST, CONFIDENCE, WIDTH = 0.002, 5, 0.8, 8
+SUPPORT, LEAST, CONFIDENCE = 0.002, 5, 0.8
 RULE_SCHEMA = "rule_host string, rule_path string, rule_verdict string"
 MINED_SCHEMA = "items array<string>, support long, confidence double"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -91,12 +94,13 @@ def mine(
     support: float = SUPPORT,
     least: int = LEAST,
     confidence: float = CONFIDENCE,
-    width: int = WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """``url, unwanted`` (boolean) -> ``items, support, confidence``: what implies an unwanted page.
 
     ``support`` is the least share, ``least`` the least number of all labelled
-    pages that have the combination and the label.
+    pages that have the combination and the label. A ``width`` lets a page enter
+    with that many tokens only, those that tell most about the label.
     """
     spark = labelled.sparkSession
     rows = stage(
@@ -109,25 +113,43 @@ def mine(
     floor = max(support, least / n)
     if floor > 1:
         return spark.createDataFrame([], MINED_SCHEMA)
+    # A hair below the floor, so that a count right at it is not lost to rounding.
+    need = F.lit(floor * (1 - 1e-9) * n)
     single = rows.select("row", "unwanted", F.explode("items").alias("item"))
-    seen = single.groupBy("item").agg(F.count("*").alias("n"), F.count_if("unwanted").alias("bad"))
     # Only an item that is frequent together with the label can stand in a rule.
-    telling = F.abs(F.col("bad") / F.col("n") - F.lit(bad / n)) * F.sqrt("n")
-    frequent = stage(seen.filter(F.col("bad") >= F.lit(floor * n)).select("item", telling.alias("telling")), "tokens")
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("telling")).alias("order"), "item"))), 1, width)
-    chosen = single.join(frequent, "item").groupBy("row", "unwanted").agg(F.transform(best, lambda x: x["item"]).alias("items"))
-    label = F.when(F.col("unwanted"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))
-    baskets = rows.select("row", "unwanted").join(chosen.select("row", "items"), "row", "left").select(
-        F.concat(F.coalesce("items", F.array().cast("array<string>")), label).alias("items")
-    )
-    # A hair below the floor, so that a count right at it is not lost to rounding; the filter states it exactly.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    model = FPGrowth(itemsCol="items", minSupport=floor * (1 - 1e-9), minConfidence=confidence, numPartitions=parts).fit(baskets)
-    implied = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BLOCK)))
-    found = implied.select(
-        F.array_sort("antecedent").alias("items"), F.round(F.col("support") * n).cast("long").alias("support"), "confidence"
-    )
-    return _without_narrower(stage(found.filter(F.col("confidence") >= confidence), "rules"))
+    frequent = _counted(single.withColumn("items", F.array("item"))).filter(F.col("bad") >= need)
+    if width is not None:
+        telling = F.abs(F.col("bad") / F.col("n") - F.lit(bad / n)) * F.sqrt("n")
+        best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("telling")).alias("order"), "item"))), 1, width)
+        chosen = single.join(frequent.select(F.col("items")[0].alias("item"), telling.alias("telling")), "item").groupBy("row", "unwanted").agg(best.alias("best"))
+        single = stage(chosen.select("row", "unwanted", F.explode("best.item").alias("item")), "chosen")
+        frequent = _counted(single.withColumn("items", F.array("item"))).filter(F.col("bad") >= need)
+    level = stage(frequent, "tokens")
+    posts = stage(single.join(level.select(F.col("items")[0].alias("item")), "item"), "posts")
+    have = posts.select("row", "unwanted", F.array("item").alias("items"))
+    found = [level]
+    while not (growing := level.filter(F.col("bad") < F.col("n"))).isEmpty():
+        held = have.join(growing.select("items"), "items").withColumn("last", F.element_at("items", -1))
+        longer = held.join(posts.select("row", "item"), "row").filter(F.col("item") > F.col("last"))
+        have = stage(longer.select("row", "unwanted", F.array_append("items", F.col("item")).alias("items")), "grown")
+        level = stage(_needing_all(_counted(have).filter(F.col("bad") >= need), growing), "combinations")
+        found.append(level)
+    implied = reduce(DataFrame.unionByName, found).withColumn("confidence", F.col("bad") / F.col("n"))
+    rules = implied.select("items", F.col("bad").alias("support"), "confidence")
+    return _without_narrower(stage(rules.filter(F.col("confidence") >= confidence), "rules"))
+
+
+def _counted(holding: DataFrame) -> DataFrame:
+    """``items, n, bad``: the transactions, and the unwanted ones, that have the items."""
+    return holding.groupBy("items").agg(F.count("*").alias("n"), F.count_if("unwanted").alias("bad"))
+
+
+def _needing_all(longer: DataFrame, growing: DataFrame) -> DataFrame:
+    """Combinations that without any one of their items are all growing ones with more transactions."""
+    less = longer.select("*", F.explode(F.transform("items", lambda x: F.array_remove("items", x))).alias("fewer"))
+    kept = less.join(growing.select(F.col("items").alias("fewer"), F.col("n").alias("of_fewer")), "fewer").filter(F.col("of_fewer") > F.col("n"))
+    whole = kept.groupBy("items").agg(F.any_value("n").alias("n"), F.any_value("bad").alias("bad"), F.count("*").alias("held"))
+    return whole.filter(F.col("held") == F.size("items")).drop("held")
 
 
 def _without_narrower(rules: DataFrame) -> DataFrame:
