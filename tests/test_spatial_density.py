@@ -74,6 +74,16 @@ def test_points_on_broken_numbers_and_copies(spark):
         assert sorted((r.n, r.id) for r in got.collect()) == expected, cell
 
 
+def test_pairs_of_points_and_polygons_are_not_joined_again(spark):
+    """The pairs may be far more than both inputs: the last join is the one by cell, and the columns to keep are there already."""
+    named = [("a", [CONCAVE, HOLE]), ("b", box(0, 0, 0, 0)), ("a", [CONCAVE, HOLE])]
+    points = spark.createDataFrame([(1, 2.0, 2.0), (2, 1.0, 1.0), (3, math.nan, 0.5), (4, 0.0, 0.0), (5, 9.0, 3.5)], "n int, px double, py double")
+    got = spatial.points_in_polygons(points, "px", "py", polygons(spark, named), "rings", ["id"], 16.0)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "__cx" in next(line for line in plan.splitlines() if "Join" in line)
+    assert sorted((r.n, r.id) for r in got.collect()) == [(2, "a"), (2, "a"), (4, "a"), (4, "a"), (4, "b"), (5, "a"), (5, "a")]
+
+
 def test_index_grows_with_cells_and_edges(spark):
     """A polygon of many edges: each edge stands in the cells it passes only, inside cells are marks without edges."""
     n = 4000

@@ -185,16 +185,95 @@ def _found(points: DataFrame, x: str, y: str, index: DataFrame, size: float, als
     return met.where(in_box).where((F.size("__edges") == 0) | covered).select(*points.columns, "__id")
 
 
+def _refined(index: DataFrame, size: float, parts: int) -> DataFrame:
+    """``__id, __level, __cx, __cy, __inside, __edges``: the index with crossed cells cut into ``parts`` x ``parts``, a power of 2.
+
+    Level 0 holds the whole cells that are inside without an edge, level 1 the
+    parts of the others, but for those outside. Most parts have one or two
+    edges, and there are at most ``parts`` squared for each cell of the index.
+    A part's corner follows from the cell's corner as a point does: up the
+    cell's side to the part's row, and across to the part.
+    """
+    s, f = f"{float(size)!r}D", f"{float(size) / parts!r}D"
+    side, left, low, high = f"(cx * {s})", f"(px * {f})", f"(py * {f})", f"((py + 1) * {f})"
+    rows = index.withColumn("row", F.explode(F.expr(f"IF(size(edges) = 0, array(-1), sequence(0, {parts - 1}))")))
+    rows = rows.withColumn("py", F.expr(f"cy * {parts} + row"))
+    at = [f"e.x1 + (least(greatest({h}, e.y1), e.y2) - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)" for h in (low, high)]
+    met = f"""transform(filter(edges, e -> floor(e.y1 / {f}) <= py AND floor(e.y2 / {f}) >= py), e -> named_struct('e', e,
+        'c0', floor(IF(e.y1 = e.y2, least(e.x1, e.x2), least({at[0]}, {at[1]})) / {f} - 1e-9D),
+        'c1', floor(IF(e.y1 = e.y2, greatest(e.x1, e.x2), greatest({at[0]}, {at[1]})) / {f} + 1e-9D),
+        'spans', e.y1 <= {low} AND e.y2 > {low} AND {_cross('e', side, low)} > 0))"""
+    up = f"e.past <> {_past('e', side, low)}"
+    rows = rows.withColumns({"met": F.expr(met), "up": F.expr(f"IF(row < 0, 0, int(inside) + size(filter(edges, e -> {up})))")})
+    cut = rows.withColumn("column", F.explode(F.expr(f"IF(row < 0, array(0), sequence(0, {parts - 1}))")))
+    cut = cut.withColumn("px", F.expr(f"cx * {parts} + column"))
+    across = f"m.spans AND NOT {_cross('m.e', left, low)} > 0"
+    past = f"IF((m.e.x1 > {left}) <> (m.e.x2 > {left}), {_past('m.e', left, low)}, NULL)"
+    kept = f"""transform(filter(met, m -> m.c0 <= px AND m.c1 >= px), m ->
+        named_struct('x1', m.e.x1, 'y1', m.e.y1, 'x2', m.e.x2, 'y2', m.e.y2, 'past', {past}))"""
+    split = cut.select(
+        "__id", F.expr("int(row >= 0)").alias("__level"),
+        F.expr("IF(row < 0, cx, px)").alias("__cx"), F.expr("IF(row < 0, cy, py)").alias("__cy"),
+        F.expr(f"IF(row < 0, inside, (up + size(filter(met, m -> {across}))) % 2 = 1)").alias("__inside"),
+        F.expr(f"IF(row < 0, edges, {kept})").alias("__edges"),
+    )
+    return split.where(F.col("__inside") | (F.size("__edges") > 0))
+
+
+def _plain_edge(n: int) -> dict[str, Column]:
+    """Edge ``n`` of ``__edges`` as columns without nulls; one that is missing is passed by no point."""
+    e = f"get(__edges, {n})"
+    beyond = "double('infinity')"
+    return {
+        f"__x1_{n}": F.expr(f"coalesce({e}.x1, 0D)"), f"__y1_{n}": F.expr(f"coalesce({e}.y1, {beyond})"),
+        f"__x2_{n}": F.expr(f"coalesce({e}.x2, 0D)"), f"__y2_{n}": F.expr(f"coalesce({e}.y2, {beyond})"),
+        f"__past_{n}": F.expr(f"coalesce(int({e}.past), -1)"),
+    }
+
+
+def _covers_few_sql(x: str, y: str, left: str, few: int) -> str:
+    """As ``covers_sql`` for a cell with at most ``few`` edges, given by ``_plain_edge``, without a loop over an array."""
+    turns, on = [], []
+    for n in range(few):
+        x1, y1, x2, y2 = (f"__{c}_{n}" for c in ("x1", "y1", "x2", "y2"))
+        at_left = f"({x2} - {x1}) * ({y} - {y1}) > ({y2} - {y1}) * ({left} - {x1})"
+        turns.append(f"int(__past_{n} >= 0 AND __past_{n} <> int(IF({y1} = {y2}, {y} >= {y1}, {at_left})))")
+        turns.append(f"int({y1} <= {y} AND {y2} > {y} AND {x} >= ({x2} - {x1}) * ({y} - {y1}) / IF({y1} = {y2}, 1D, {y2} - {y1}) + {x1} AND {at_left})")
+        on.append(
+            f"""({y} >= {y1} AND {y} <= {y2} AND ({x2} - {x1}) * ({y} - {y1}) = ({y2} - {y1}) * ({x} - {x1})
+            AND {x} >= least({x1}, {x2}) AND {x} <= greatest({x1}, {x2}))"""
+        )
+    return f"((int(__inside) + {' + '.join(turns)}) % 2 = 1 OR {' OR '.join(on)})"
+
+
 def points_in_polygons(
     points: DataFrame, x: str, y: str, polygons: DataFrame, rings: str, keep: Sequence[str], cell: float
 ) -> DataFrame:
     """Each point with every polygon that covers it; ``keep`` names polygon columns to return.
 
-    A point lies in one cell, so each pair meets once.
+    A point lies in one cell and in one part of it, so each pair meets once.
+    Pairs may be far more than points and polygons: ``keep`` goes along with
+    the index, so no pair is shuffled, and few pairs need a loop over edges.
     """
+    parts, few = 8, 2
+    s, f = f"{float(cell)!r}D", f"{float(cell) / parts!r}D"
     areas = _keyed(polygons, keep, rings)
-    found = _found(points, x, y, cell_index(areas, "__id", "__rings", cell), cell)
-    return found.join(areas.select("__id", *keep), "__id").select(*points.columns, *keep)
+    index = _refined(cell_index(areas, "__id", "__rings", cell), cell, parts)
+    named = areas.select("__id", F.struct(F.lit(0).alias("__none"), *keep).alias("__keep"))
+    edges = {name: value for n in range(few) for name, value in _plain_edge(n).items()}
+    cells = index.join(named, "__id").withColumns({"__n": F.size("__edges"), **edges}).withColumn(
+        "__edges", F.when(F.col("__n") > few, F.col("__edges"))
+    )
+    at = [f"named_struct('level', {n}, 'x', floor({x} / {d}), 'y', floor({y} / {d}))" for n, d in enumerate((s, f))]
+    known = points.where(F.expr(f"NOT isnan({x}) AND NOT isnan({y})"))
+    placed = known.withColumn("__at", F.explode(F.expr(f"array({', '.join(at)})"))).select(
+        *points.columns, F.col("__at.level").alias("__pl"), F.col("__at.x").alias("__px"), F.col("__at.y").alias("__py")
+    )
+    same = (F.col("__pl") == F.col("__level")) & (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy"))
+    left = f"(__cx * {f})"
+    covered = f"CASE WHEN __n = 0 THEN true WHEN __n <= {few} THEN {_covers_few_sql(x, y, left, few)} ELSE {covers_sql('__', x, y, left)} END"
+    met = placed.join(cells.drop("__id"), same).where(F.expr(covered))
+    return met.select(*points.columns, *[F.col("__keep")[c].alias(c) for c in keep])
 
 
 def polygons_meeting(
