@@ -84,6 +84,18 @@ def test_pairs_of_points_and_polygons_are_not_joined_again(spark):
     assert sorted((r.n, r.id) for r in got.collect()) == [(2, "a"), (2, "a"), (4, "a"), (4, "a"), (4, "b"), (5, "a"), (5, "a")]
 
 
+def test_pairs_of_polygons_are_shuffled_once_and_not_folded_before(spark):
+    """Pairs may be far more than polygons: no table of them before the shuffle, no join after it."""
+    named = [("a", box(0, 0, 9, 9)), ("a", box(1, 1, 30, 30)), ("a", box(0, 0, 9, 9)), (None, box(9, 9, 12, 12)), ("far", box(90, 90, 91, 91)), ("none", [])]
+    other = polygons(spark, [("x", [CONCAVE, HOLE]), ("x", box(8, 8, 10, 10)), ("y", box(12, 12, 12, 12))]).withColumnRenamed("id", "other")
+    got = spatial.polygons_meeting(polygons(spark, named), "rings", ["id"], other, "rings", ["other"], 4.0)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RepartitionByExpression") < plan.index("Join")
+    assert "cx" in next(line for line in plan.splitlines() if "Join" in line)
+    found = [tuple(r) for r in got.collect()]
+    assert len(found) == 4 and set(found) == {(None, "x"), (None, "y"), ("a", "x"), ("a", "y")}
+
+
 def test_index_grows_with_cells_and_edges(spark):
     """A polygon of many edges: each edge stands in the cells it passes only, inside cells are marks without edges."""
     n = 4000

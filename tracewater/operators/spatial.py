@@ -26,7 +26,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewater.session import shared_folder
+
 BOX = ("min_x", "min_y", "max_x", "max_y")
+PAIRS_OF_A_TASK = 2_000_000
 
 
 # The predicates are SQL text over column or field names, one expression each:
@@ -281,11 +284,30 @@ def polygons_meeting(
     right: DataFrame, right_rings: str, right_keep: Sequence[str],
     cell: float,
 ) -> DataFrame:
-    """Pairs of polygons that overlap or touch, as distinct ``left_keep`` + ``right_keep``."""
-    sides = [_keyed(left, left_keep, left_rings), _keyed(right, right_keep, right_rings)]
-    indexes = [cell_index(side, "__id", "__rings", cell) for side in sides]
+    """Pairs of polygons that overlap or touch, as distinct ``left_keep`` + ``right_keep``.
+
+    Pairs may be far more than polygons. The columns to keep go along with the
+    indexes, which are written to the shared folder, so pairs are shuffled once,
+    to be made distinct, over as many tasks as cells have pairs to offer.
+    """
+    from tracewater.sources.sinks import write_stage  # which imports this module
+
+    spark = left.sparkSession
+    sides, indexes = [], []
+    for df, rings, keep in ((left, left_rings, left_keep), (right, right_rings, right_keep)):
+        keyed = _keyed(df, keep, rings)
+        kept = F.struct(F.lit(0).alias("__none"), *keep).alias("__keep")
+        index = cell_index(keyed, "__id", "__rings", cell).join(keyed.dropDuplicates(["__id"]).select("__id", kept), "__id")
+        sides.append(keyed.select(kept, "__rings"))
+        indexes.append(write_stage(index, shared_folder(spark, "cells")))
+    counts = [i.where(F.size("edges") > 0).groupBy("cx", "cy").agg(F.count(F.lit(1)).cast("double").alias(n)) for i, n in zip(indexes, "ab", strict=True)]
+    offered = counts[0].join(counts[1], ["cx", "cy"]).agg(F.sum(F.col("a") * F.col("b"))).first()[0] or 0.0
+    # Few and small rows make much work: unless spread, a few tasks would read whichever side is not broadcast.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     a, b = (
-        i.select(F.col("__id").alias(f"__{tag}"), "cx", "cy", F.col("edges").alias(f"__{tag}_edges"), F.col("box").alias(f"__{tag}_box")).where(F.size("edges") > 0)
+        i.where(F.size("edges") > 0).repartition(parts, "cx", "cy", "__id").select(
+            F.col("__keep").alias(f"__{tag}"), "cx", "cy", F.col("edges").alias(f"__{tag}_edges"), F.col("box").alias(f"__{tag}_box")
+        )
         for tag, i in zip("ab", indexes, strict=True)
     )
     crossing = f"exists(__a_edges, d -> exists(__b_edges, e -> {edges_meet_sql('d', 'e')}))"
@@ -293,12 +315,10 @@ def polygons_meeting(
         f"__{p}_box.min_{v} <= __{q}_box.max_{v}" for v in "xy" for p, q in (("a", "b"), ("b", "a"))
     )
     pairs = a.join(b, ["cx", "cy"]).where(F.expr(boxes)).where(F.expr(crossing)).select("__a", "__b")
-    for here, there, index in (("__a", "__b", indexes[1]), ("__b", "__a", indexes[0])):
-        side = sides[0] if here == "__a" else sides[1]
-        starts = side.select(F.col("__id").alias(here), F.explode(F.expr("transform(filter(__rings, r -> size(r) > 0), r -> r[0])")).alias("p"))
-        inside = _found(starts.select(here, "p.x", "p.y"), "x", "y", index, cell)
+    for here, there, side, index in (("__a", "__b", sides[0], indexes[1]), ("__b", "__a", sides[1], indexes[0])):
+        starts = side.select(F.col("__keep").alias(here), F.explode(F.expr("transform(filter(__rings, r -> size(r) > 0), r -> r[0])")).alias("p"))
+        inside = _found(starts.select(here, "p.x", "p.y"), "x", "y", index.withColumn("__id", F.col("__keep")), cell)
         pairs = pairs.unionByName(inside.select(here, F.col("__id").alias(there)))
-    pairs = pairs.distinct()
-    for tag, side, keep in (("__a", sides[0], left_keep), ("__b", sides[1], right_keep)):
-        pairs = pairs.join(side.select(F.col("__id").alias(tag), *keep), tag)
-    return pairs.select(*left_keep, *right_keep).distinct()
+    named = pairs.select(*[F.col("__a")[c].alias(c) for c in left_keep], *[F.col("__b")[c].alias(c) for c in right_keep])
+    # Made distinct behind the shuffle only: pairs seldom repeat within a task, and a table of them would grow with their number.
+    return named.repartition(max(parts, int(offered / PAIRS_OF_A_TASK) + 1), *named.columns).distinct()
