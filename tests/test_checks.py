@@ -49,3 +49,11 @@ def test_company_contours_with_plug_in_bandwidth(frame):
     assert {r.band for r in rings} == {50, 90} and all(r.points[0] == r.points[-1] for r in rings)
     total = {b: sum(r.area for r in rings if r.band == b) for b in (50, 90)}
     assert 0 < total[50] < total[90]
+
+
+def test_postcode_sizes_count_step_by_step(spark):
+    schema = "plant string, postcode6 string"
+    pairs = spark.createDataFrame([("P", "1234AB"), ("P", "1234AB"), ("P", "1234CD"), ("P", None), ("Q", None), (None, "9")], schema)
+    found = checks.postcode_sizes(pairs)
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r) for r in found.collect()} == {("P", 2, 1), ("Q", 0, 0), (None, 1, 1)}
