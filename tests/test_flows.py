@@ -102,6 +102,23 @@ def test_region(navigator, names, pmt, activity, companies, selection):
     assert [r.substance for r in region.sorted_region_suspects(got).where("plant = 'Bath'").collect()] == ["kwik", "lood"]
 
 
+def test_region_with_names_of_substances(frame, navigator, names, pmt, activity, companies, selection, rows):
+    linked = bridge.substance_bridge(navigator, names, pmt, activity)
+    codes = frame("substance string, use_id string", ("lood", "1"), ("lood", "2"), ("zink", "3"), (None, "4"))
+    plain = region.region_suspects(companies, selection, linked, ["pmt_score"])
+    got = region.region_suspects(companies, selection, linked, ["pmt_score"], names=codes)
+    assert rows(got) == rows(plain.join(codes, "substance", "left").select(*got.columns)) and got.count() == 5
+    # Lists of substances meet the plants in merge joins, whatever their files' size.
+    text = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "SortMergeJoin [substance_id" in text and "SortMergeJoin [coalesce(code" in text
+
+
+def test_sorted_final_list_is_made_once(spark):
+    final = spark.range(8).select(*[(F.col("id") % 3).cast("string").alias(c) for c in suspects.DISPLAY_NAMES]).join(spark.range(3).withColumnRenamed("id", "n"))
+    text = suspects.sorted_final_list(final)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in text and "Join" not in text
+
+
 def test_region_side_reports(companies, selection, rows):
     assert rows(region.unselected_counts(region.code_counts(companies), selection)) == [("Bath", 1, 1), ("Heugem", 1, 1)]
     totals = region.group_totals(companies, selection)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tracewater.functions.codes import plain_code
 from tracewater.functions.text import address_text, wrap_label
 from tracewater.operators.first import top_k_with_ties
-from tracewater.operators.joins import in_set, join_with_attribute, not_in_set, null_safe_join
+from tracewater.operators.joins import in_set, join_with_attribute, not_in_set, null_safe_join, strict_join
 from tracewater.operators.order import sort_nulls_last
 from tracewater.operators.reshape import explode_parallel
 
@@ -51,7 +51,7 @@ def unselected_counts(counts: DataFrame, selection: DataFrame) -> DataFrame:
 def with_substance_id(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A 256-bit digest of the columns, nulls told apart from texts, as a short grouping key."""
     content = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
-    return df.withColumn("substance_id", F.sha2(content, 256))
+    return df.withColumn("substance_id", F.unhex(F.sha2(content, 256)))
 
 
 def region_suspects(
@@ -60,6 +60,7 @@ def region_suspects(
     bridge: DataFrame,
     scores: Sequence[str] = (),
     statuses: dict[str, str] = STATUSES,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Per plant and substance: number of companies and of codes, by status; all plants in one job.
 
@@ -67,13 +68,18 @@ def region_suspects(
     substances, and the fan-out carries a short substance id only; names and
     score texts come back at the end. As (plant, code) and (code, substance,
     status) are unique on both sides, counting the pairs counts the codes, and
-    one aggregation gives all cells of the wide table.
+    one aggregation gives all cells of the wide table. Further columns of
+    ``names``, by ``substance``, are joined to the substances before they meet
+    the plants. Both tables of the substances grow with the lists, so they are
+    merged: files that pack well would pass for small enough to broadcast.
     """
     described = [*SUBSTANCE, *scores]
     listed = bridge.where(F.col("emission_status").isin(*statuses) & F.col("code_written").isNotNull())
     known = with_substance_id(listed.select("code_plain", "emission_status", *described), described)
     detail = known.select("substance_id", *described).distinct()
-    links = known.select("code_plain", "substance_id", "emission_status").distinct()
+    if names is not None:
+        detail = strict_join(detail, names.hint("merge"), ["substance"], spread_by=["substance_id"])
+    links = known.select("code_plain", "substance_id", "emission_status").distinct().hint("merge")
 
     allowed = selection_codes(selection).where(F.col("process").isNotNull())
     counts = in_set(code_counts(companies), allowed, [("code", "code_plain")])
@@ -87,7 +93,8 @@ def region_suspects(
     flags = {
         label: F.when(F.col(f"total_companies_{label}").isNotNull(), 1) for label in statuses.values()
     }
-    return wide.withColumns(flags).join(detail, "substance_id").select("plant", *described, *cells, *flags)
+    shown = wide.withColumns(flags).join(detail.hint("merge"), "substance_id")
+    return shown.select("plant", *described, *cells, *flags, *[c for c in detail.columns if c not in ("substance_id", *described)])
 
 
 def sorted_region_suspects(suspects: DataFrame, statuses: dict[str, str] = STATUSES) -> DataFrame:

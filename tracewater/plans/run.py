@@ -39,8 +39,8 @@ class Options:
 def suspect_list(inputs: Inputs, options: Options, folder: str) -> DataFrame:
     """The delivered list, unsorted.
 
-    The bridge, the parameter list, both sides of the merge and the merged
-    list each feed several later steps. They are written to ``folder`` (shared
+    The bridge, the parameter list and both sides of the merge each feed
+    several later steps. They are written to ``folder`` (shared
     storage) and read back: each is computed once, later plans stay short, and
     a lost executor costs a re-read. The emissions need none of the others, so
     they run beside them.
@@ -60,9 +60,11 @@ def suspect_list(inputs: Inputs, options: Options, folder: str) -> DataFrame:
             )
         )
         scores, listed, use = _expected_use(inputs, options, folder)
-        merged = write_stage(suspects.merged_suspects(use, emissions.result()), f"{folder}/merged")
-    classified = suspects.classify(suspects.enrich_compounds(merged.select("cas"), inputs.compounds))
-    return suspects.final_list(merged, classified, listed, scores)
+        reported = emissions.result()
+    # The merge keeps the CAS numbers of both sides, so they are known before it.
+    substances = use.select("cas").union(reported.select("cas"))
+    classified = suspects.classify(suspects.enrich_compounds(substances, inputs.compounds))
+    return suspects.final_list(suspects.merged_suspects(use, reported), classified, listed, scores)
 
 
 def _expected_use(inputs: Inputs, options: Options, folder: str) -> tuple[list[str], DataFrame, DataFrame]:
@@ -73,5 +75,7 @@ def _expected_use(inputs: Inputs, options: Options, folder: str) -> tuple[list[s
     listed = write_stage(
         suspects.parameter_list(linked, inputs.parameters, options.listed_by), f"{folder}/parameter_list"
     )
-    expected = region.region_suspects(inputs.companies, inputs.selection, linked, scores, dict(options.statuses))
-    return scores, listed, write_stage(suspects.named_use(expected, listed, options.aliases), f"{folder}/use")
+    expected = region.region_suspects(
+        inputs.companies, inputs.selection, linked, scores, dict(options.statuses), suspects.use_names(listed)
+    )
+    return scores, listed, write_stage(suspects.plant_alias(expected, options.aliases), f"{folder}/use")

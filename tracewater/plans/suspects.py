@@ -13,6 +13,8 @@ from tracewater.operators.joins import full_merge, null_safe_join, strict_join
 from tracewater.operators.order import sort_nulls_last
 from tracewater.operators.reshape import group_text
 from tracewater.operators.rows import repeated_keys
+from tracewater.session import shared_folder
+from tracewater.sources.sinks import write_stage
 
 # Fixed values of the inputs.
 SINGLE_SUBSTANCES = "Individuele stoffen"
@@ -51,12 +53,11 @@ def plant_alias(df: DataFrame, aliases: Mapping[str, str], column: str = "plant"
     return df.withColumn(column, F.coalesce(F.try_element_at(literal, F.col(column)), F.col(column)))
 
 
-def named_use(region: DataFrame, parameter_names: DataFrame, aliases: Mapping[str, str] | None = None) -> DataFrame:
-    """Expected use with the parameter's id, code and text."""
-    names = parameter_names.select(
+def use_names(parameter_names: DataFrame) -> DataFrame:
+    """The parameters' ids, codes and texts of each substance, for the expected use."""
+    return parameter_names.select(
         "substance", F.col("id").alias("use_id"), F.col("codes").alias("use_code"), F.col("omschrijving").alias("use_text")
     ).distinct()
-    return plant_alias(strict_join(region, names, ["substance"], spread_by=["plant", "cas"]), aliases or {})
 
 
 def merged_suspects(use: DataFrame, emissions: DataFrame) -> DataFrame:
@@ -151,6 +152,8 @@ def final_list(merged: DataFrame, classified: DataFrame, groups: DataFrame, scor
 
 
 def sorted_final_list(final: DataFrame) -> DataFrame:
+    """A global sort reads its rows twice, to cut the ranges and to sort; the list is written before, so that it is made once."""
+    final = write_stage(final, shared_folder(final.sparkSession, "final"))
     return sort_nulls_last(final, *FINAL_ORDER, tie_break=["cas", "company", "register_name"])
 
 
