@@ -34,6 +34,13 @@ def test_full_merge_on_hot_and_missing_keys(spark, skewed, lookup, rows):
     assert "FullOuter" not in plan(got)
 
 
+def test_sides_and_key_lists_of_a_full_merge_are_not_broadcast(spark):
+    # Small by their statistics, as files that pack well are; what the lists hold is not known from that.
+    got = joins.full_merge(spark.range(900).withColumnRenamed("id", "k"), spark.range(600, 1500).selectExpr("id as k", "id as w"), ["k"])
+    assert plan(got).count("SortMergeJoin") == 3 and "Broadcast" not in plan(got)
+    assert got.count() == 1500 and got.where("w is null").count() == 600
+
+
 def test_strict_join_spreads_missing_keys(spark, skewed, lookup, rows):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -191,12 +191,15 @@ def full_merge(
         return reduce(or_, [F.col(f"`{c}`").isNull() for c in keys])
 
     def keys_of(df: DataFrame, keys: list[str]) -> DataFrame:
-        return df.select(*[F.col(f"`{c}`") for c in keys]).distinct()
+        return df.select(*[F.col(f"`{c}`") for c in keys]).distinct().hint("merge")
 
+    # All three are merge joins by statement: a side, or its key list as long as
+    # it, that was written to a file that packs well would pass for small enough
+    # to be sent around by the driver.
     left_full, right_full = left.where(filled(lk)), right.where(filled(rk))
     match = reduce(and_, [F.col(f"l.`{l}`") == F.col(f"r.`{r}`") for l, r in pairs])
     parts = [
-        complete(left_full.alias("l").join(right_full.alias("r"), match, "inner"), "both"),
+        complete(left_full.alias("l").join(right_full.alias("r").hint("merge"), match, "inner"), "both"),
         complete(left_full.alias("l").join(keys_of(right_full, rk).alias("r"), match, "left_anti"), "l"),
         complete(right_full.alias("r").join(keys_of(left_full, lk).alias("l"), match, "left_anti"), "r"),
         complete(left.where(missing(lk)).alias("l"), "l"),
