@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewater.llm import chat, chunks, components, fingerprints, forest, minhash, mixing, pieces, quality, suffixes, suffixtree
+from tracewater.llm import texts as texts_
 from tracewater.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -319,6 +320,23 @@ def test_quality_fit_takes_repeated_rows_once_and_keeps_its_bound(spark, monkeyp
     assert taken == [130, 20, 29]
 
 
+def test_quality_sample_is_packed_and_reads_back(spark, monkeypatch):
+    df = spark.createDataFrame([(i, prose(40 + i, 400), i % 2) for i in range(30)], "doc_id long, text string, quality int")
+    taken = []
+    monkeypatch.setattr(quality, "train", lambda order, *a, **b: taken.append(order))
+    quality.fit(df.drop("quality"), df.drop("text"))
+    rows = [taken[0][k] for k in range(30)]
+    features = sum(len(ids) for _, ids, _ in rows)
+    assert sum(len(body) for _, body in taken[0].rows) < 4 * features  # a number and a share of 4 bytes each before
+    assert [(label, len(ids), ids.tobytes()) for label, ids, _ in rows] == sorted((label, len(ids), ids.tobytes()) for label, ids, _ in rows)
+    batch = pa.RecordBatch.from_arrays([pa.array([prose(40, 400)])], names=["text"])
+    _, data, offsets = next(iter(texts_.blocks([batch])))
+    found = [b for b, _ in quality.features(data, offsets, quality.BITS)] + [np.zeros(1, np.uint32)]
+    want, n = np.unique(np.concatenate(found), return_counts=True)
+    shares = next(s for label, ids, s in rows if label == 0 and np.array_equal(ids, want))
+    assert np.array_equal(shares, (n / n.sum()).astype(np.float32)) and rows[0][1].dtype == np.int32
+
+
 # 6
 
 
@@ -516,6 +534,16 @@ def test_near_duplicates_against_brute_force(spark, docs, width, block, wide):
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got) and len(got) == len(texts()) + 40
 
 
+def test_near_duplicates_link_components_that_are_left():
+    copies, other = prose(77, 150), prose(78, 150)
+    group = pa.table({
+        "doc_id": [11, 12, 13, 14], "text": [copies, copies + " end", copies + " and end", other],
+        "component": [3, 3, 5, 6], "is_left": [True, False, False, False],
+    })
+    found = minhash._links(5, minhash.COORDINATES, minhash.MATCHES, 80)(group)
+    assert found.to_pylist() == [{"a": 3, "b": 5}]
+
+
 def test_near_duplicates_of_nothing(empty):
     assert minhash.near_duplicates(empty).count() == 0
 

@@ -129,13 +129,12 @@ def common(left: list[np.ndarray], right: list[np.ndarray], at: tuple[np.ndarray
 
 
 def _links(width: int, coordinates: int, matches: int, percent: int):
-    """Task function on one group: left rows against right rows; links that join components."""
+    """Task function on one group: left rows against right rows; links between the components that they join."""
 
     def of(group: pa.Table) -> pa.Table:
-        sets, ids, comps, left = [], [], [], []
+        sets, comps, left = [], [], []
         for rows, data, offsets in texts.blocks(group.to_batches()):
             sets += shingle_sets(data, offsets, width)
-            ids += rows.column("doc_id").to_pylist()
             comps += rows.column("component").to_pylist()
             left += rows.column("is_left").to_pylist()
         l_at = [i for i, x in enumerate(left) if x and len(sets[i])]
@@ -165,7 +164,7 @@ def _links(width: int, coordinates: int, matches: int, percent: int):
                     a, b = root(comps[l_at[i]]), root(comps[r_at[j]])
                     if a != b:
                         parent[a] = b
-                        found.append((ids[l_at[i]], ids[r_at[j]]))
+                        found.append((comps[l_at[i]], comps[r_at[j]]))
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
     return of
@@ -199,7 +198,7 @@ def merged_lists(heads: DataFrame, coordinates: int, matches: int) -> DataFrame:
 
 
 def _confirm(docs: DataFrame, blocks: DataFrame, width: int, coordinates: int, matches: int, percent: int) -> DataFrame:
-    """Links among the documents of each block: ``key`` columns, ``doc_id, component, is_left``."""
+    """Links among the components of each block: ``key`` columns, ``doc_id, component, is_left``."""
     keys = [c for c in blocks.columns if c not in ("doc_id", "component", "is_left")]
     rows = blocks.hint("merge").join(docs.select("doc_id", "text"), "doc_id")  # one plan at every size
     return rows.groupBy(*keys).applyInArrow(_links(width, coordinates, matches, percent), "a long, b long")
@@ -287,7 +286,11 @@ def near_duplicates(
     )
     more = stage(_confirm(listed, meeting, *setup), "near")
     if more.limit(1).count():
-        roots = components(links.unionByName(more))
+        # Only components that are left are linked anew; their ids are their least members, so a root stays the least.
+        further = components(more).select(F.col("node").alias("component"), F.col("root").alias("_far"))
+        roots = labelled.join(further, "component", "left").select(
+            F.col("doc_id").alias("node"), F.coalesce("_far", "component").alias("root")
+        )
     named = stage(
         classes.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(*digest, F.coalesce("root", "doc_id").alias("component_id")),
         "named",

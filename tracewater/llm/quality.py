@@ -8,7 +8,8 @@ stochastic gradient descent in numpy.
 
 The fit takes a sample of at most ``sample`` labelled documents, those with the
 least keyed hash of their id; rows that repeat a doc_id and its text count once,
-and different texts of a doc_id one each. Since the layer is linear, a bucket's vector
+and different texts of a doc_id one each. The driver gets and holds the sample's
+features packed. Since the layer is linear, a bucket's vector
 gives one number when scoring, so the model that travels to the tasks has
 ``2**bits`` numbers, and scoring is one pass over the texts without a shuffle.
 
@@ -23,6 +24,11 @@ id alone; extra columns are kept, whatever their names, and not read.
 
 from __future__ import annotations
 
+import itertools
+import pickle
+import zlib
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -60,27 +66,53 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int):
     yield again + np.uint32(1), starts
 
 
+def _packed(buckets: np.ndarray, n: np.ndarray) -> bytes:
+    steps = np.diff(buckets.astype(np.int64), prepend=0)
+    return zlib.compress(pickle.dumps([a.astype(np.min_scalar_type(a.max())) for a in (steps, n)]), 1)
+
+
+class Sample:
+    """Rows ``(label, buckets, shares)`` of a sample, held packed; a row is unpacked each time it is asked for."""
+
+    def __init__(self, rows: list[tuple[int, bytes]]):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, k: int) -> tuple[int, np.ndarray, np.ndarray]:
+        label, body = self.rows[k]
+        steps, n = (a.astype(np.int64) for a in pickle.loads(zlib.decompress(body)))
+        return label, np.cumsum(steps).astype(np.int32), (n / n.sum()).astype(np.float32)
+
+    def ordered(self) -> Sample:
+        """Rows by label, number of buckets and buckets: reruns train alike, however rows arrive."""
+        sizes = [(label, len(ids)) for label, ids, _ in self]
+        by_size = sorted(range(len(self)), key=sizes.__getitem__)
+        out = []
+        for _, same in itertools.groupby(by_size, key=sizes.__getitem__):
+            out += sorted(same, key=lambda k: self[k][1].tobytes())
+        return Sample([self.rows[k] for k in out])
+
+
 def _sparse(bits: int):
-    """Task function: a text's distinct buckets and their shares."""
+    """Task function: a text's distinct buckets and how often each occurs, packed."""
 
     def of(batches):
         for rows, data, offsets in texts.blocks(batches):
             kinds = list(features(data, offsets, bits))
-            ids, shares = [], []
+            bodies = []
             for i in range(rows.num_rows):
                 found = [b[np.searchsorted(at, offsets[i]) : np.searchsorted(at, offsets[i + 1])] for b, at in kinds]
                 found.append(np.zeros(1, np.uint32))
                 bucket, n = np.unique(np.concatenate(found), return_counts=True)
-                ids.append(bucket.astype(np.int32))
-                shares.append((n / n.sum()).astype(np.float32))
-            yield texts.table(
-                rows, ["quality"], ids=pa.array(ids, pa.list_(pa.int32())), shares=pa.array(shares, pa.list_(pa.float32()))
-            )
+                bodies.append(_packed(bucket, n))
+            yield texts.table(rows, ["quality"], body=pa.array(bodies, pa.binary()))
 
     return of
 
 
-def train(rows: list[tuple], bits: int = BITS, width: int = WIDTH, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> np.ndarray:
+def train(rows: Sequence[tuple], bits: int = BITS, width: int = WIDTH, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> np.ndarray:
     """``(label, buckets, shares)`` -> a number for each bucket; a text's log-odds are their average."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / width, 1 / width, (1 << bits, width)).astype(np.float32)
@@ -111,21 +143,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
         docs.select("doc_id").join(usable, "doc_id").distinct()
         .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "quality").limit(sample)
     )
-    schema = "quality int, ids array<int>, shares array<float>"
     found = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "quality", F.xxhash64("text").alias("k")).agg(F.min("text").alias("text"))
         .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "quality", "k").limit(sample)
-        .select("quality", "text").mapInArrow(_sparse(bits), schema)
+        .select("quality", "text").mapInArrow(_sparse(bits), "quality int, body binary")
     )
     got = found.toArrow()
-    order = []
-    for batch in got.to_batches():
-        labels_, ids, shares = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
-        for i, label in enumerate(labels_):
-            order.append((int(label), ids[i].values.to_numpy(), shares[i].values.to_numpy()))
-    order.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes()))  # reruns train alike, however rows arrive
-    ones = sum(r[0] for r in order)
+    order = Sample(list(zip(map(int, got.column(0).to_pylist()), got.column(1).to_pylist(), strict=True))).ordered()
+    del got
+    ones = sum(label for label, _ in order.rows)
     if ones in (0, len(order)):
         share = ones / len(order) if order else 0.5
         return np.full(1 << bits, {0.0: -50.0, 1.0: 50.0}.get(share, 0.0), np.float32)
