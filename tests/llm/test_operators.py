@@ -207,6 +207,30 @@ def test_suffix_tree_folds_a_common_context_before_it_is_sent():
     assert sent == [6, 6]  # runs of 3, 4 and 5, and the ends of them
 
 
+def test_suffix_tree_keeps_blocks_in_place_and_sends_contexts_by_number(spark, docs):
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    got = suffixtree.score(docs, F.lit(False), bucket=2000)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()  # before, blocks crossed a shuffle here
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+    rng = np.random.default_rng(5)
+    bodies = []
+    for blob in range(6):
+        at = rng.integers(0, 50, 20_000)
+        words = suffixtree.Words((None, np.array([False]), np.array([len(at)]), suffixtree.texts.mix(np.arange(50, dtype=np.uint64)), at), 4)
+        keys, number, _, _ = words.ask([1, 2])
+        bodies += [(blob, keys, number, words, *suffixtree._parts(blob, keys, number, 1))]
+    sums = suffixtree._summed(suffixtree._rows([b[4] for b in bodies], 1))
+    for (_, keys, _, words, sent), body in zip(bodies, sums.column("body").to_pylist(), strict=True):
+        back = {1: [(0, suffixtree._opened(body))]}
+        words.answer([1, 2], back[1][0][1][0].astype(np.int64))
+        words.answer([3, 4, 5], words.ask([3, 4, 5])[1])
+        ((kind, bucket, at, place),) = [c for c in suffixtree._contexts(words, back) if c[0] == 1]
+        assert (kind, bucket) == (1, 0) and (np.diff(place.astype(np.int64)) > 0).all() and len(at) > 2000
+        assert len(suffixtree._shut(suffixtree._packed(place))) < len(sent[2]) / 4  # before, the keys again
+    signed = np.array([0, -1, 1, 2**40, -(2**40)])
+    assert (suffixtree._unsigned(*suffixtree._signed(signed)) == signed).all()
+
+
 # 4
 
 
