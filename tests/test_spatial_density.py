@@ -241,3 +241,15 @@ def test_band_levels_equal_quantiles_with_one_crowded_plant(spark):
     for plant in ("crowded", "small"):
         want = np.quantile([r[1] for r in rows if r[0] == plant], [0.1, 0.5, 0.9])
         assert got[plant] == pytest.approx(list(want))
+
+
+def test_pairs_of_polygons_are_plain_rows_and_crowded_cells_are_dealt(spark, monkeypatch):
+    """Many rings start in one cell, kept values repeat, cells are dealt to several tasks: all pairs, each once."""
+    monkeypatch.setattr(spatial, "PAIRS_OF_A_TASK", 3)
+    many = [box(3 * i, 0, 3 * i + 1, 1)[0] for i in range(70)]
+    a = polygons(spark, [("many", many), ("twice", box(0, 50, 1, 51)), ("twice", box(600, 50, 601, 51)), ("alone", box(900, 900, 901, 901))])
+    right = [(f"around {i}", box(3 * i - 0.5, -0.5, 3 * i + 1.5, 1.5)) for i in (0, 59, 60, 69)]
+    right += [("gap", box(1.25, 0.25, 2.75, 0.75)), ("wide", box(-5, 40, 700, 60)), ("hole", [*box(-9, -9, 300, 9), *box(-1, -1, 211, 2)])]
+    found = spatial.polygons_meeting(a, "rings", ["id"], polygons(spark, right).withColumnRenamed("id", "other"), "rings", ["other"], 250.0)
+    assert sorted(map(tuple, found.collect())) == [*[("many", f"around {i}") for i in (0, 59, 60, 69)], ("twice", "wide")]
+    assert "lambda" not in found._jdf.queryExecution().executedPlan().toString()  # before, loops over edges for each pair

@@ -279,6 +279,97 @@ def points_in_polygons(
     return met.select(*points.columns, *[F.col("__keep")[c].alias(c) for c in keep])
 
 
+def cells_of(keyed: DataFrame, index: DataFrame, items: Column, keep: Sequence[str], *more: Column) -> DataFrame:
+    """The index with ``items``, the columns to keep and whether the polygon has no other cell, written to the shared folder."""
+    from tracewater.sources.sinks import write_stage  # which imports this module
+
+    spark = keyed.sparkSession
+    index = index.select("__id", "cx", "cy", "box", items.alias("items"), *more).where(F.size("items") > 0)
+    rows = write_stage(index, shared_folder(spark, "cells"))
+    own = rows.groupBy("__id").agg((F.count_distinct("cx", "cy") == 1).alias("single"))
+    kept = F.struct(F.lit(0).alias("__none"), *keep).alias("keep")
+    named = own.join(keyed.dropDuplicates(["__id"]).select("__id", kept), "__id")
+    return write_stage(rows.join(named, "__id"), shared_folder(spark, "cells"))
+
+
+def pairs_in_cells(a: DataFrame, b: DataFrame) -> tuple[list[DataFrame], DataFrame, int]:
+    """Rows of both sides (see ``cells_of``) that share a cell and whose boxes meet, with ``__a_``, ``__b_`` before their names.
+
+    First those of pairs that meet in one cell only, since one of both has no
+    other, then the rest, and over how many tasks all pairs may be spread. Rows
+    of a pair and cell are in one task, told by ``__z``, so they are grouped
+    without a shuffle; a crowded cell is dealt to several tasks, by the left
+    polygon. Merge joins, since written lists pack too well to be broadcast by
+    their size.
+    """
+    from tracewater.sources.sinks import write_stage
+
+    spark = a.sparkSession
+    counts = [i.groupBy("cx", "cy").agg(F.count(F.lit(1)).cast("double").alias(n)) for i, n in ((a, "a"), (b, "b"))]
+    crowd = write_stage(counts[0].join(counts[1], ["cx", "cy"]).withColumn("n", F.col("a") * F.col("b")), shared_folder(spark, "crowds"))
+    offered = crowd.agg(F.sum("n")).first()[0] or 0.0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(offered / PAIRS_OF_A_TASK) + 1)
+    dealt = crowd.select("cx", "cy", F.ceil(F.col("n") / PAIRS_OF_A_TASK).alias("deals"))
+    left = a.join(dealt, ["cx", "cy"]).withColumn("deal", F.pmod(F.xxhash64("__id"), "deals"))
+    right = b.join(dealt, ["cx", "cy"]).withColumn("deal", F.explode(F.expr("sequence(0L, deals - 1)")))
+
+    def named(df: DataFrame, tag: str) -> DataFrame:
+        df = df.withColumn("__z", F.xxhash64("cx", "cy", "deal")).drop("deal", "deals")
+        return df.select("__z", *[F.col(c).alias(f"__{tag}_{c.strip('_')}") for c in df.columns if c != "__z"]).repartition(parts, "__z")
+
+    boxes = " AND ".join(f"__{p}_box.min_{v} <= __{q}_box.max_{v}" for v in "xy" for p, q in (("a", "b"), ("b", "a")))
+    same = "__a_cx - __b_cx = 0 AND __a_cy - __b_cy = 0"  # no further join keys: both sides are dealt by __z
+
+    def met(which_a: Column, which_b: Column) -> DataFrame:
+        return named(left.where(which_a), "a").hint("merge").join(named(right.where(which_b), "b"), "__z").where(F.expr(f"{same} AND {boxes}"))
+
+    single, every = F.col("single"), F.lit(True)
+    return [met(single, every), met(~single, single)], met(~single, ~single), parts
+
+
+def _flips_sql(e: str, p: str, left: str) -> str:
+    """Whether an edge of a cell changes sides on the way from the cell's corner to a point, as ``covers_sql`` goes.
+
+    Both are prefixes of plain columns; an edge's ``past`` is -1 where it does not cross the cell's left side.
+    """
+    x1, y1, x2, y2 = (f"{e}{c}" for c in ("x1", "y1", "x2", "y2"))
+    x, y = f"{p}x1", f"{p}y1"
+    at_left = f"({x2} - {x1}) * ({y} - {y1}) > ({y2} - {y1}) * ({left} - {x1})"
+    up = f"({e}past >= 0 AND {e}past <> int(IF({y1} = {y2}, {y} >= {y1}, {at_left})))"
+    across = f"({y1} <= {y} AND {y2} > {y} AND {x} >= ({x2} - {x1}) * ({y} - {y1}) / IF({y1} = {y2}, 1D, {y2} - {y1}) + {x1} AND {at_left})"
+    return f"({up} <> {across})"
+
+
+def _sides_sql(a: str, b: str) -> str:
+    """Whether two closed segments whose boxes meet share a point; both are prefixes of plain columns."""
+
+    def side(e: str, x: str, y: str) -> str:
+        return f"signum(({e}x2 - {e}x1) * ({y} - {e}y1) - ({e}y2 - {e}y1) * ({x} - {e}x1))"
+
+    return " AND ".join(f"{side(p, f'{q}x1', f'{q}y1')} * {side(p, f'{q}x2', f'{q}y2')} <= 0D" for p, q in ((a, b), (b, a)))
+
+
+STARTS = 60  # bits for the starts of a polygon's rings in a cell; more take further rows
+
+
+def _meeting_cells(df: DataFrame, rings: str, keep: Sequence[str], size: float) -> DataFrame:
+    """Cells of polygons with ``items``: edges (kind 0), the corner if it is inside (1) and where rings start (2)."""
+    keyed = _keyed(df, keep, rings)
+    s = f"{float(size)!r}D"
+    starts = keyed.select("__id", F.explode(F.expr("transform(filter(__rings, r -> size(r) > 0), r -> r[0])")).alias("p"))
+    starts = starts.groupBy("__id", F.expr(f"floor(p.x / {s})").alias("cx"), F.expr(f"floor(p.y / {s})").alias("cy")).agg(F.collect_set("p").alias("starts"))
+    index = cell_index(keyed, "__id", "__rings", size).join(starts, ["__id", "cx", "cy"], "left")
+    index = index.withColumn("starts", F.coalesce("starts", F.expr("slice(array(named_struct('x', 0D, 'y', 0D)), 1, 0)")))
+    index = index.withColumn("nth", F.explode(F.expr(f"sequence(0, greatest(int(ceil(size(starts) / {STARTS})) - 1, 0))")))
+    item = "named_struct('kind', {}, 'bit', {}, 'x1', {}, 'y1', {}, 'x2', {}, 'y2', {}, 'past', {})"
+    no = "CAST(NULL AS boolean)"
+    edges = f"transform(edges, e -> {item.format(0, '0L', 'e.x1', 'e.y1', 'e.x2', 'e.y2', 'e.past')})"
+    mark = f"array({item.format(1, '0L', '0D', '0D', '0D', '0D', no)})"
+    points = f"transform(slice(starts, nth * {STARTS} + 1, {STARTS}), (p, i) -> {item.format(2, 'shiftleft(1L, i)', 'p.x', 'p.y', 'p.x', 'p.y', no)})"
+    items = F.expr(f"concat(IF(nth = 0, {edges}, slice({edges}, 1, 0)), IF(nth = 0 AND inside, {mark}, slice({mark}, 1, 0)), {points})")
+    return cells_of(keyed, index, items, keep, F.col("nth"))
+
+
 def polygons_meeting(
     left: DataFrame, left_rings: str, left_keep: Sequence[str],
     right: DataFrame, right_rings: str, right_keep: Sequence[str],
@@ -287,38 +378,48 @@ def polygons_meeting(
     """Pairs of polygons that overlap or touch, as distinct ``left_keep`` + ``right_keep``.
 
     Pairs may be far more than polygons. The columns to keep go along with the
-    indexes, which are written to the shared folder, so pairs are shuffled once,
-    to be made distinct, over as many tasks as cells have pairs to offer.
+    indexes, which are written to the shared folder. Within a cell each edge of
+    one meets each edge of the other, and the edges and the corner passed on
+    the way to a ring's start are counted, a bit for each start; both are plain
+    rows, without a loop over arrays in an expression. Pairs of which one
+    polygon has a single cell are found there once and for all; only the others
+    are shuffled, to be made distinct.
     """
-    from tracewater.sources.sinks import write_stage  # which imports this module
-
-    spark = left.sparkSession
-    sides, indexes = [], []
-    for df, rings, keep in ((left, left_rings, left_keep), (right, right_rings, right_keep)):
-        keyed = _keyed(df, keep, rings)
-        kept = F.struct(F.lit(0).alias("__none"), *keep).alias("__keep")
-        index = cell_index(keyed, "__id", "__rings", cell).join(keyed.dropDuplicates(["__id"]).select("__id", kept), "__id")
-        sides.append(keyed.select(kept, "__rings"))
-        indexes.append(write_stage(index, shared_folder(spark, "cells")))
-    counts = [i.where(F.size("edges") > 0).groupBy("cx", "cy").agg(F.count(F.lit(1)).cast("double").alias(n)) for i, n in zip(indexes, "ab", strict=True)]
-    offered = counts[0].join(counts[1], ["cx", "cy"]).agg(F.sum(F.col("a") * F.col("b"))).first()[0] or 0.0
-    # Few and small rows make much work: unless spread, a few tasks would read whichever side is not broadcast.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    a, b = (
-        i.where(F.size("edges") > 0).repartition(parts, "cx", "cy", "__id").select(
-            F.col("__keep").alias(f"__{tag}"), "cx", "cy", F.col("edges").alias(f"__{tag}_edges"), F.col("box").alias(f"__{tag}_box")
-        )
-        for tag, i in zip("ab", indexes, strict=True)
+    a, b = _meeting_cells(left, left_rings, left_keep, cell), _meeting_cells(right, right_rings, right_keep, cell)
+    # Pairs of polygons are pairs of what is kept, unless different polygons keep the same or a cell takes several rows.
+    plain = all(
+        i.agg(F.count_distinct("__id") == F.count_distinct(F.struct("keep")), F.coalesce(F.max("nth"), F.lit(0)) == 0).first() == (True, True) for i in (a, b)
     )
-    crossing = f"exists(__a_edges, d -> exists(__b_edges, e -> {edges_meet_sql('d', 'e')}))"
-    boxes = " AND ".join(
-        f"__{p}_box.min_{v} <= __{q}_box.max_{v}" for v in "xy" for p, q in (("a", "b"), ("b", "a"))
+    local, spread, parts = pairs_in_cells(a, b)
+    corner = f"(__a_cx * {float(cell)!r}D)"
+    edges = "__p.kind = 0 AND __q.kind = 0 AND __p.y1 <= __q.y2 AND __q.y1 <= __p.y2"  # lower ends come first
+    spans = " AND ".join(f"least(__{p}.x1, __{p}.x2) <= greatest(__{q}.x1, __{q}.x2)" for p, q in (("p", "q"), ("q", "p")))
+    starts = " OR ".join(
+        f"(__{p}.kind = 2 AND __{q}.kind < 2 AND __{p}.x1 BETWEEN __{o}_box.min_x AND __{o}_box.max_x AND __{p}.y1 BETWEEN __{o}_box.min_y AND __{o}_box.max_y)"
+        for p, q, o in (("p", "q", "b"), ("q", "p", "a"))
     )
-    pairs = a.join(b, ["cx", "cy"]).where(F.expr(boxes)).where(F.expr(crossing)).select("__a", "__b")
-    for here, there, side, index in (("__a", "__b", sides[0], indexes[1]), ("__b", "__a", sides[1], indexes[0])):
-        starts = side.select(F.col("__keep").alias(here), F.explode(F.expr("transform(filter(__rings, r -> size(r) > 0), r -> r[0])")).alias("p"))
-        inside = _found(starts.select(here, "p.x", "p.y"), "x", "y", index.withColumn("__id", F.col("__keep")), cell)
-        pairs = pairs.unionByName(inside.select(here, F.col("__id").alias(there)))
-    named = pairs.select(*[F.col("__a")[c].alias(c) for c in left_keep], *[F.col("__b")[c].alias(c) for c in right_keep])
-    # Made distinct behind the shuffle only: pairs seldom repeat within a task, and a table of them would grow with their number.
-    return named.repartition(max(parts, int(offered / PAIRS_OF_A_TASK) + 1), *named.columns).distinct()
+    # Plain columns without nulls, and no condition on what is worked out of them: the code for a row stays small enough to be compiled.
+    ends = {"x1": "0D", "y1": "0D", "x2": "0D", "y2": "0D", "kind": "0", "bit": "0L"}
+    plainly = {f"__{p}_{c}": F.expr(f"coalesce(__{p}.{c}, {none})") for p in "pq" for c, none in ends.items()}
+    plainly |= {f"__{p}_past": F.expr(f"coalesce(int(__{p}.past), -1)") for p in "pq"}
+
+    def bit(p: str, q: str) -> str:
+        return f"IF(__{p}_kind = 2 AND __{q}_kind < 2 AND (__{q}_kind = 1 OR {_flips_sql(f'__{q}_', f'__{p}_', corner)}), __{p}_bit, 0L)"
+
+    def found(met: DataFrame) -> DataFrame:
+        each = met.withColumn("__p", F.explode("__a_items")).withColumn("__q", F.explode("__b_items"))
+        told = each.where(F.expr(f"({edges} AND {spans}) OR {starts}")).withColumns(plainly).withColumns({
+            "__meets": F.expr(f"IF(__p_kind = 0 AND __q_kind = 0 AND {_sides_sql('__p_', '__q_')}, 1, 0)"),
+            "__in_b": F.expr(bit("p", "q")), "__in_a": F.expr(bit("q", "p")),
+        })
+        keys = ["__z", "__a_id", "__b_id", "__a_nth", "__b_nth", "__a_keep", "__b_keep"]
+        by_cell = told.groupBy(*keys).agg(F.max("__meets").alias("m"), F.bit_xor("__in_a").alias("a"), F.bit_xor("__in_b").alias("b"))
+        return by_cell.where("m = 1 OR a <> 0 OR b <> 0").select(
+            *[F.col("__a_keep")[c].alias(c) for c in left_keep], *[F.col("__b_keep")[c].alias(c) for c in right_keep]
+        )
+
+    once, again = found(local[0]).unionByName(found(local[1])), found(spread)
+    if not plain:
+        once, again = None, again.unionByName(once)
+    again = again.repartition(parts, *again.columns).distinct()
+    return again if once is None else once.unionByName(again)
