@@ -57,3 +57,12 @@ def test_postcode_sizes_count_step_by_step(spark):
     found = checks.postcode_sizes(pairs)
     assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert {tuple(r) for r in found.collect()} == {("P", 2, 1), ("Q", 0, 0), (None, 1, 1)}
+
+
+def test_postcode_sizes_of_distinct_pairs_are_not_shuffled_for_it(frame, rows):
+    pairs = frame("plant string, postcode6 string", ("P", "1234AB"), ("P", "1234AC"), ("P", "9999ZZ"), ("Q", None)).repartition(2)
+    found = checks.postcode_sizes(pairs, distinct=True)
+    assert rows(found) == [("P", 3, 2), ("Q", 0, 0)]
+    twice = checks.postcode_sizes(pairs)
+    plans = [df._jdf.queryExecution().executedPlan().toString().count("HashAggregate") for df in (found, twice)]
+    assert plans[0] < plans[1]

@@ -54,7 +54,7 @@ def register_sizes(spark, sf):
 )
 def postcode_sizes(spark, sf):
     pairs = polygons_meeting(areas(spark, sf), "rings", ["postcode6"], catchments(spark, sf), "rings", ["naam"], CELL)
-    return checks.postcode_sizes(pairs.withColumnRenamed("naam", "plant"))
+    return checks.postcode_sizes(pairs.withColumnRenamed("naam", "plant"), distinct=True)
 
 
 @query(
