@@ -21,10 +21,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewater.operators.spatial import _cross, _keyed, _past, cell_index
+from tracewater.operators.spatial import _cross, _keyed, _past, cell_index, cells_of, pairs_in_cells
 
 _PIECE = "struct<y0: double, y1: double, l0: double, l1: double, r0: double, r1: double, area: double>"
 
@@ -120,14 +120,60 @@ def polygon_overlaps(
     touch give no row; where slanted boundaries touch, rounding may leave an
     area of its own size, which ``least`` removes. Repeated rows count once.
     Null and empty rings meet nothing.
+
+    Each polygon is cut into trapezoids of a cell once, and pairs of trapezoids
+    are plain rows, so no pair of polygons needs a loop over arrays in an
+    expression. Only pairs of polygons that both have several cells are
+    shuffled, to be summed.
     """
-    sides = [_keyed(left, left_keep, left_rings), _keyed(right, right_keep, right_rings)]
-    common = _met(*sides, cell).groupBy("__a", "__b").agg(F.expr(_AREA).alias("area")).where(F.col("area") > least)
-    own = _own_areas(sides[0], cell).select(F.col("__id").alias("__a"), F.col("area").alias("__own"))
-    found = common.join(own, "__a").withColumn("share", F.col("area") / F.col("__own"))
-    for tag, side, keep in (("__a", sides[0], left_keep), ("__b", sides[1], right_keep)):
-        found = found.join(side.select(F.col("__id").alias(tag), *keep).distinct(), tag)
-    return found.select(*left_keep, *right_keep, "area", "share")
+    a, b = _piece_cells(left, left_rings, left_keep, cell), _piece_cells(right, right_rings, right_keep, cell)
+    own = a.groupBy("__id").agg(F.sum(F.expr("aggregate(items, 0D, (total, p) -> total + p.area)")).alias("own"))
+    local, spread, parts = pairs_in_cells(a.join(own, "__id"), b)
+    keys = ["__a_id", "__b_id", "__a_keep", "__b_keep", "__a_own"]
+
+    def by_cell(met: DataFrame) -> DataFrame:
+        return _common(met).groupBy("__z", *keys).agg(F.sum("__area").alias("area"))
+
+    both = by_cell(spread).repartition(parts, "__a_id", "__b_id").groupBy(*keys).agg(F.sum("area").alias("area"))
+    found = by_cell(local[0]).unionByName(by_cell(local[1])).select(*keys, "area").unionByName(both).where(F.col("area") > least)
+    return found.select(
+        *[F.col("__a_keep")[c].alias(c) for c in left_keep], *[F.col("__b_keep")[c].alias(c) for c in right_keep],
+        "area", (F.col("area") / F.col("__a_own")).alias("share"),
+    )
+
+
+def _piece_cells(df: DataFrame, rings: str, keep: Sequence[str], size: float) -> DataFrame:
+    """Cells of polygons with ``items``: the trapezoids of some area that the polygon has there."""
+    keyed = _keyed(df, keep, rings)
+    return cells_of(keyed, cell_index(keyed, "__id", "__rings", size), F.expr(f"filter({_pieces_sql([''], size)}, p -> p.area > 0)"), keep)
+
+
+def _common(met: DataFrame) -> DataFrame:
+    """A row for each two trapezoids of a pair that may meet, with ``__area``, what they share.
+
+    Along a line of some height the stretches from l to r and from m to s share
+    ``(|r - m| + |s - l| - |r - s| - |l - m|) / 2``. So over common heights the
+    area follows from the mean distance of each two sides, which may cross once.
+    """
+    each = met.withColumn("__p", F.explode("__a_items")).withColumn("__q", F.explode("__b_items"))
+    near = " AND ".join(
+        f"__{p}.y0 < __{q}.y1 AND least(__{p}.l0, __{p}.l1) < greatest(__{q}.r0, __{q}.r1)" for p, q in (("p", "q"), ("q", "p"))
+    )
+    plain = each.where(F.expr(near)).withColumns({f"__{p}_{c}": F.expr(f"coalesce(__{p}.{c}, 0D)") for p in "pq" for c in ("y0", "y1", "l0", "l1", "r0", "r1")})
+    plain = plain.withColumns({"__lo": F.expr("greatest(__p_y0, __q_y0)"), "__hi": F.expr("least(__p_y1, __q_y1)")})
+
+    def at(p: str, side: str, y: str) -> Column:
+        own = f"__{p}_{side}"
+        return F.expr(f"{own}0 + ({own}1 - {own}0) * (__{y} - __{p}_y0) / (__{p}_y1 - __{p}_y0)")
+
+    sided = plain.withColumns({f"__{p}{side}_{y}": at(p, side, y) for p in "pq" for side in "lr" for y in ("lo", "hi")})
+    apart = sided.withColumns({f"__{m}{n}_{y}": F.expr(f"__p{m}_{y} - __q{n}_{y}") for m in "lr" for n in "lr" for y in ("lo", "hi")})
+
+    def mean(k: str) -> str:
+        d, e = f"__{k}_lo", f"__{k}_hi"
+        return f"IF(({d} < 0) = ({e} < 0) OR {d} = 0 OR {e} = 0, (abs({d}) + abs({e})) / 2, ({d} * {d} + {e} * {e}) / (2 * (abs({d}) + abs({e}))))"
+
+    return apart.withColumn("__area", F.expr(f"(__hi - __lo) * ({mean('rl')} + {mean('lr')} - {mean('rr')} - {mean('ll')}) / 2"))
 
 
 def clipped_pieces(
